@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from postfeed.functions.keys import usable_key
+from postfeed.functions.keys import has_key, no_key
 from postfeed.operators.keyed import key_rows
 
 
@@ -20,19 +20,18 @@ def recency() -> list[Column]:
 def _newest(keyed: DataFrame) -> DataFrame:
     """One row per key. Spark cuts each key to one row per input partition before the shuffle,
     so a hot key does not fill a task."""
-    window = W.partitionBy(usable_key()).orderBy(*recency())
+    window = W.partitionBy("partner_job_id").orderBy(*recency())
     return keyed.withColumn("__rank", F.row_number().over(window)).where("__rank = 1").drop("__rank")
 
 
 def keep_latest(df: DataFrame) -> DataFrame:
     """The newest row per usable key and all rows with a blank key, which skip the shuffle."""
-    has_key = usable_key().isNotNull()
-    return _newest(df.where(has_key)).unionByName(df.where(~has_key))
+    return _newest(df.where(has_key())).unionByName(df.where(no_key()))
 
 
 def duplicates_to_remove(df: DataFrame) -> DataFrame:
     """The rows ``keep_latest`` leaves out, found by unique id so that no task gets a whole key."""
-    keyed = df.where(usable_key().isNotNull())
+    keyed = df.where(has_key())
     kept = _newest(keyed.select("id", "partner_job_id", "updated_at", "created_at")).select("id")
     return keyed.join(kept, "id", "left_anti")
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.functions.keys import usable_key
+from postfeed.functions.keys import has_key, usable_key
 
 # Rows of one key per salt, and the longest list of hot keys. A key with more than 1/HOT_KEYS
 # of all rows is always among the HOT_KEYS largest, so the list that is broadcast is both
@@ -33,7 +33,7 @@ def key_rows(df: DataFrame, *aggregates: Column, key: str = "partner_job_id") ->
 
 def key_set(df: DataFrame, key: str = "partner_job_id") -> DataFrame:
     """Distinct usable keys, in a column of the key's own name."""
-    return df.select(usable_key(key).alias(key)).where(F.col(key).isNotNull()).distinct()
+    return df.where(has_key(key)).select(key).distinct()
 
 
 def keyed_join(
@@ -43,10 +43,9 @@ def keyed_join(
 
     ``entries`` holds each key at most once. ``spread`` is a column of ``rows`` with many values.
     """
-    keyed = rows.withColumn(_KEY, usable_key(key))
     hot = (
-        keyed.where(F.col(_KEY).isNotNull())
-        .groupBy(_KEY)
+        rows.where(has_key(key))
+        .groupBy(F.col(key).alias(_KEY))
         .agg(F.count(F.lit(1)).alias("__n"))
         .where(F.col("__n") > hot_rows)
         .orderBy(F.desc("__n"), _KEY)
@@ -54,6 +53,7 @@ def keyed_join(
         .select(_KEY, F.ceil(F.col("__n") / hot_rows).cast("int").alias(_SALTS))
     )
     salts = F.when(F.col(_KEY).isNull(), _SPREAD).otherwise(F.coalesce(_SALTS, F.lit(1)))
+    keyed = rows.withColumn(_KEY, usable_key(key))
     left = keyed.join(F.broadcast(hot), _KEY, "left").withColumn(_SALT, F.pmod(F.xxhash64(spread), salts))
     right = (
         entries.withColumnRenamed(key, _KEY)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.functions.keys import usable_key
+from postfeed.functions.keys import has_key
 from postfeed.functions.text import NOT_AVAILABLE, ellipsis, or_not_available, percent
 from postfeed.operators.keyed import HOT_ROWS, key_rows, key_set, keyed_join
 from postfeed.operators.posting import sink_accepts
@@ -20,19 +20,19 @@ def new_postings(
     rows that share a new key all pass; ``blank_keys='skip'`` leaves blank ones out."""
     if blank_keys not in ("new", "skip"):
         raise ValueError("blank_keys is 'new' or 'skip'")
-    rows = staging if blank_keys == "new" else staging.where(usable_key(KEY).isNotNull())
+    rows = staging if blank_keys == "new" else staging.where(has_key(KEY))
     return keyed_join(rows, key_set(published), KEY, "left_anti", hot_rows=hot_rows)
 
 
 def already_published(staging: DataFrame, published: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Staging rows that ``new_postings`` leaves out."""
-    rows = staging.where(usable_key(KEY).isNotNull())
+    rows = staging.where(has_key(KEY))
     return keyed_join(rows, key_set(published), KEY, "left_semi", hot_rows=hot_rows)
 
 
 def expired_postings(published: DataFrame, staging: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Published rows with a usable key that staging lacks. With an empty staging nothing expires."""
-    rows = published.where(usable_key(KEY).isNotNull() & staging.select(F.lit(1)).exists())
+    rows = published.where(has_key(KEY) & staging.select(F.lit(1)).exists())
     return keyed_join(rows, key_set(staging), KEY, "left_anti", hot_rows=hot_rows)
 
 

@@ -65,6 +65,8 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     jobs = (
         spark.read.format("xml")
         .option("rowTag", "job")
+        # A part holds many jobs and no root element, which only this parser reads to the end.
+        .option("useLegacyXMLParser", "true")
         .option("ignoreSurroundingSpaces", "false")
         .schema(FEED_JOB)
         .load(f"{path}/{_FOLDERS[JOBS]}")
