@@ -12,6 +12,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postfeed.sources.tables import spread
+
 RUN_TS = datetime(2024, 1, 8, 11, 34, 23)
 BRAND = "Feed AI"
 INSTRUCTION = "Format the posting below. Keep its language and its text."
@@ -156,8 +158,7 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _from(view: str, tables: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
-    used = {name: df for name, df in tables.items() if "{" + name + "}" in VIEWS[view]}
-    return _with_headers(view, spark.sql(VIEWS[view], **used))
+    return _with_headers(view, spark.sql(VIEWS[view], **tables))
 
 
 def _with_headers(view: str, df: DataFrame) -> DataFrame:
@@ -178,7 +179,8 @@ def _with_headers(view: str, df: DataFrame) -> DataFrame:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _from(name, {t: table(spark, sf_dir, t) for t in TABLES}, spark)
+    used = [t for t in TABLES if "{" + t + "}" in VIEWS[name]]
+    return _from(name, {t: spread(table(spark, sf_dir, t)) for t in used}, spark)
 
 
 def view_stream(spark: SparkSession, sf_dir: str, name: str, source: str) -> DataFrame:

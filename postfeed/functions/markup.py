@@ -1,7 +1,4 @@
-"""Formatting rules for posting texts, as column expressions.
-
-The patterns use neither look-around nor back-references, so another engine can check them.
-"""
+"""Formatting rules for posting texts, as column expressions."""
 
 from __future__ import annotations
 
@@ -49,9 +46,8 @@ def _drop(value: Column, pattern: str) -> Column:
 
 def allow_tags(html: Column | str) -> Column:
     """Only the allowed tags, without attributes; other tags go, their text stays."""
-    clean = F.translate(_col(html), "\x01\x02", "")
-    marked = F.regexp_replace(clean, rf"(?i)<(/?)({_ALLOWED}){_ATTRS}>", "\x01$1$2\x02")
-    return F.translate(_drop(marked, _ANY_TAG), "\x01\x02", "<>")
+    allowed = _drop(_col(html), rf"(?i)<(?!/?(?:{_ALLOWED})[ \t\r\n\f/>])[a-zA-Z/!?][^<>]*>")
+    return F.regexp_replace(allowed, rf"(?i)<(/?)({_ALLOWED})[ \t\r\n\f/][^<>]*>", "<$1$2>")
 
 
 def drop_hidden(html: Column | str) -> Column:
@@ -95,10 +91,11 @@ def without_labels(text: Column | str) -> Column:
 
 def end_labels(text: Column | str) -> Column:
     """All labels, in their order, at the very end; texts without labels stay as they are."""
-    found = labels_of(text)
-    body = _drop(without_labels(text), rf"{_WS}+$")
-    last = F.concat_ws(" ", F.nullif(body, F.lit("")), F.array_join(found, " "))
-    return F.when(F.size(found) > 0, last).otherwise(_col(text))
+    text = _col(text)
+    body = F.rtrim(without_labels(text), F.lit(" \t\r\n\f"))
+    found = F.array_join(labels_of(text), " ")
+    last = F.concat(body, F.when(body == "", F.lit("")).otherwise(F.lit(" ")), found)
+    return F.when(text.rlike(_LABEL), last).otherwise(text)
 
 
 def head_of(html: Column | str) -> Column:

@@ -17,8 +17,11 @@ EMPTY_TEXT = "(vuoto)"
 CUT_TEXT = "... [troncato]"
 NOT_AVAILABLE = "N/A"
 
-# Unicode white space plus the four separators that Python's strip() removes as well.
-_OUTER_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# What counts as white space around a text, Unicode spaces and separators included.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def clean_utf8(value: Column | str) -> Column:
@@ -36,7 +39,7 @@ def escape_cdata(value: Column | str) -> Column:
 
 
 def strip(value: Column | str) -> Column:
-    return F.regexp_replace(_col(value), _OUTER_SPACE, "")
+    return F.btrim(_col(value), F.lit(SPACES))
 
 
 def ellipsis(value: Column | str, longest: int) -> Column:
