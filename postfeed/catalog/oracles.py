@@ -296,7 +296,7 @@ _CHECKED = _with(
     "page_postings",
     more=_rewrite_steps("page_postings", "html").replace("rewritten AS", "rewritten0 AS").replace("formatted AS", "formatted0 AS").replace("FROM formatted)", "FROM formatted0)")
     + f""",
-pairs AS (SELECT id, html, CASE WHEN id % 3 = 0 THEN html ELSE {_labels_last('whole')} END AS after, body AS old_body FROM rewritten0),
+pairs AS (SELECT id, html, CASE WHEN contains(html, '[#J-REMOTE]') THEN html ELSE {_labels_last('whole')} END AS after, body AS old_body FROM rewritten0),
 heads AS (SELECT *, {_head('after')} AS new_head, {_head('html')} AS old_head FROM pairs),
 bodies AS (SELECT *, substr(after, length(new_head) + 1) AS new_body,
   nullif(regexp_extract(after, {_q('(?s)Questa posizione è in (.*?)</strong>')}, 1), '') AS company,

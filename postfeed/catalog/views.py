@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postfeed.sources.tables import spread
+from postfeed.session import spread
 
 RUN_TS = datetime(2024, 1, 8, 11, 34, 23)
 BRAND = "Feed AI"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postfeed.functions.keys import _col
@@ -32,7 +34,7 @@ _LABEL = r"\[#J-(?:REMOTE|INTERNAL|MCITY|ENTERPRISE|ONE|MIN)\]"
 # An address does not end in a dash, so one inside a comment leaves the comment's end alone.
 _URL = r"(?i)https?://[^ \t\r\n\f<>\"]*[^ \t\r\n\f<>\"-]"
 _ANCHOR = rf"(?i)</?a(?:{_WS}[^<>]*)?>"
-# The parts a head can end with, last one first: a text that marks the part, and what ends it.
+# The parts a head can end with, the last part first: what marks the part and what ends it.
 _HEAD_ENDS = [
     ("Questa opportunità è disponibile su ", r".*?</em></p>"),
     ("Il processo di selezione sarà interamente gestito da ", r".*?</em></p>"),
@@ -101,11 +103,9 @@ def end_labels(text: Column | str) -> Column:
 def head_of(html: Column | str) -> Column:
     """The fixed head of a posting up to the last of its parts; '' if it has none."""
     html = _col(html)
-    found = [
-        F.when(html.contains(mark), F.nullif(F.regexp_extract(html, f"(?s)^(.*?{mark}{end})", 1), F.lit("")))
-        for mark, end in _HEAD_ENDS
-    ]
-    return F.coalesce(*found, F.when(html.isNotNull(), F.lit("")))
+    marked = reduce(Column.__or__, [html.contains(mark) for mark, _ in _HEAD_ENDS])
+    ends = "|".join(f".*?{mark}{end}" for mark, end in _HEAD_ENDS)
+    return F.when(marked, F.regexp_extract(html, f"(?s)^({ends})", 1)).when(html.isNotNull(), F.lit(""))
 
 
 def body_of(html: Column | str) -> Column:
@@ -163,10 +163,17 @@ def format_body(html: Column | str) -> Column:
     return paragraph_breaks(_map_visible(remove_links(drop_hidden(html))))
 
 
-def format_posting(html: Column | str) -> Column:
-    """The head as it is, the body formatted, the labels last."""
-    html = _col(html)
-    return end_labels(F.concat(head_of(html), format_body(body_of(html))))
+def format_posting(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with the column's head as it is, its body formatted and its labels last.
+
+    In steps, as each one uses the text before it several times.
+    """
+    return (
+        df.withColumn("__head", head_of(column))
+        .withColumn("__whole", F.concat("__head", format_body(F.substr(column, F.length("__head") + 1))))
+        .withColumn(column, end_labels("__whole"))
+        .drop("__head", "__whole")
+    )
 
 
 def plain_text(html: Column | str) -> Column:
@@ -177,30 +184,30 @@ def plain_text(html: Column | str) -> Column:
 
 
 def conformance(
-    before: Column | str, after: Column | str, max_summary: int = SUMMARY_MAX_CHARS, head_required: bool = False
-) -> Column:
-    """One boolean per formatting rule; all true means the new text may be published."""
-    before, after = _col(before), _col(after)
-    body = body_of(after)
+    before: Column,
+    after: Column,
+    old_head: Column,
+    new_head: Column,
+    old_body: Column,
+    new_body: Column,
+    max_summary: int = SUMMARY_MAX_CHARS,
+    head_required: bool = False,
+) -> dict[str, Column]:
+    """One boolean per formatting rule, for two texts and their heads and bodies."""
     other_tag = _drop(after, rf"(?i)</?(?:{_ALLOWED})>")
-    parts, old = posting_parts(after), posting_parts(before)
-    head = head_of(after)
+    parts = posting_parts(new_head)
     has_head = parts["company"].isNotNull() & parts["closing_company"].isNotNull() & parts["places"].isNotNull()
-    fixed = (head == head_of(before)) | ((head != "") & has_head & (parts["company"] == parts["closing_company"]))
-    rules = {
-        "tags_ok": ~other_tag.rlike(r"<[a-zA-Z/!?][^<>]*>"),
-        "links_ok": ~(body.rlike(r"(?i)<a[ \t\r\n\f>]") | body.rlike(r"(?i)https?://[^ \t\r\n\f<>\"]")),
-        "breaks_ok": body == paragraph_breaks(body),
-        "labels_ok": F.sort_array(old["labels"]) == F.sort_array(parts["labels"]),
+    fixed = (new_head == old_head) | ((new_head != "") & has_head & (parts["company"] == parts["closing_company"]))
+    return {
+        "tags_ok": ~other_tag.rlike(_ANY_TAG),
+        "links_ok": ~new_body.rlike(r"(?i)<a[ \t\r\n\f>]|https?://[^ \t\r\n\f<>\"]"),
+        "breaks_ok": new_body == paragraph_breaks(new_body),
+        "labels_ok": F.sort_array(labels_of(before)) == F.sort_array(labels_of(after)),
         "labels_last": after == end_labels(after),
         "head_ok": F.coalesce(fixed, F.lit(False)) & (has_head if head_required else F.lit(True)),
-        "text_ok": plain_text(body_of(before)) == plain_text(body),
+        "text_ok": plain_text(old_body) == plain_text(new_body),
         "summary_ok": F.coalesce(F.length(plain_text(parts["summary"])) <= max_summary, F.lit(True)),
     }
-    every = F.lit(True)
-    for rule in rules.values():
-        every = every & rule
-    return F.struct(*[rule.alias(name) for name, rule in rules.items()], every.alias("conforms"))
 
 
 RULES = ["tags_ok", "links_ok", "breaks_ok", "labels_ok", "labels_last", "head_ok", "text_ok", "summary_ok", "conforms"]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from postfeed.session import scratch_path
+from postfeed.session import scratch_path, spread
 
 # Consecutive batches whose running total one task computes.
 BATCHES_PER_GROUP = 65_536
@@ -24,7 +25,8 @@ def row_numbers(df: DataFrame, order: str = "id") -> DataFrame:
     placed = df.select(order).repartitionByRange(order).sortWithinPartitions(order)
     placed.withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
     # monotonically_increasing_id holds the partition in its upper bits, the row in the lower 33.
-    parts = spark.read.parquet(path).select(
+    written = spark.read.schema(T.StructType([df.schema[order], T.StructField("place", T.LongType())])).parquet(path)
+    parts = spread(written).select(
         order, F.shiftright("place", 33).alias("part"), F.col("place").bitwiseAND((1 << 33) - 1).alias("row")
     )
     sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))

@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.functions.markup import RULES, conformance, labels_of
+from postfeed.functions.markup import RULES, conformance, head_of, labels_of
 
 
 def conformance_rows(df: DataFrame, before: str, after: str, id: str = "id", **options) -> DataFrame:
-    """One row per posting with a column per formatting rule."""
-    return df.select(id, conformance(before, after, **options).alias("rules")).select(id, "rules.*")
+    """One row per posting with a column per formatting rule, and ``conforms`` if all hold."""
+    texts = df.select(id, F.col(before).alias("before"), F.col(after).alias("after"))
+    heads = texts.withColumns({"old_head": head_of("before"), "new_head": head_of("after")})
+    bodies = heads.withColumns(
+        {
+            "old_body": F.substr("before", F.length("old_head") + 1),
+            "new_body": F.substr("after", F.length("new_head") + 1),
+        }
+    )
+    rules = conformance(*[F.col(c) for c in bodies.columns if c != id], **options)
+    found = bodies.select(id, *[rule.alias(name) for name, rule in rules.items()])
+    return found.withColumn("conforms", reduce(Column.__and__, [F.col(name) for name in rules]))
 
 
 def conformance_report(rows: DataFrame, *by: Column | str) -> DataFrame:

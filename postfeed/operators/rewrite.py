@@ -63,9 +63,10 @@ def rewrite_text(
 
     Without a rewriter the formatting rules apply, all inside the JVM.
     """
-    text = F.nullif(F.col(column), F.lit(""))
-    new = strip(format_posting(text)) if rewriter is None else rewriter_column(text, rewriter, workers)
-    return df.withColumn(column, new)
+    if rewriter is not None:
+        return df.withColumn(column, rewriter_column(F.col(column), rewriter, workers))
+    given = df.withColumn(column, F.when(F.col(column) != "", F.col(column)))
+    return format_posting(given, column).withColumn(column, strip(column))
 
 
 def next_id(published: DataFrame) -> int:

@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.parquet.aggregatePushdown": "true",
 }
 
+# The largest scan ``spread`` moves, in splits; at the default split size about 1 GB.
+MAX_SPLITS = 8
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -50,6 +53,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/postfeed/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of a few splits over all cores; what is moved is at most MAX_SPLITS splits.
+
+    One small file would otherwise keep one core busy with expensive text rules.
+    """
+    splits = df.rdd.getNumPartitions()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if splits < min(cores, MAX_SPLITS + 1) else df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -12,9 +12,6 @@ from postfeed.operators.keyed import key_set
 from postfeed.operators.posting import conform_schema
 from postfeed.schema import PUBLISHED, STAGING
 
-# At the default split size, about 1 GB.
-MAX_SPLITS = 8
-
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PUBLISHED).parquet(path)
@@ -24,16 +21,6 @@ def read_staging(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STAGING).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of a few splits over all cores; what is moved is at most MAX_SPLITS splits.
-
-    One small file would otherwise keep one core busy with expensive text rules.
-    """
-    splits = df.rdd.getNumPartitions()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if splits < min(cores, MAX_SPLITS + 1) else df
-
-
 def read_keys(df: DataFrame) -> DataFrame:
     """Distinct usable partner keys; only the key column is read."""
     return key_set(df)
