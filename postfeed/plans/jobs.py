@@ -18,7 +18,7 @@ from postfeed.operators.rewrite import RewriterFactory, load_new, next_id, rejec
 from postfeed.operators.sync import delete_rows, expired_postings, reconcile
 from postfeed.session import materialise
 from postfeed.sources.feed import write_feed
-from postfeed.sources.tables import read_published
+from postfeed.sources.tables import read_published, refuse_own_input
 
 
 @dataclass(frozen=True)
@@ -55,6 +55,7 @@ def run_sync(
     hot_rows: int = HOT_ROWS,
 ) -> SyncResult:
     """Write the snapshot after ``published`` to ``out`` and check it against staging."""
+    refuse_own_input(out, staging, published)
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     gone = expired_postings(published.select("id", "partner_job_id"), staging, hot_rows=hot_rows).select("id")
     gone = materialise(gone, "expired")
@@ -72,6 +73,7 @@ def run_sync(
 
 def run_dedup(spark: SparkSession, published: DataFrame, out: str) -> DedupResult:
     """Write ``published`` with one row per key to ``out`` and check the row count."""
+    refuse_own_input(out, published)
     victims = materialise(duplicates_to_remove(published).select("id"), "duplicates")
     total, removed = published.count(), victims.count()
     delete_rows(published, victims).write.mode("overwrite").parquet(out)

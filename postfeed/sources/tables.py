@@ -5,6 +5,8 @@ Parquet has no row updates, so a table is a series of snapshots: read one, write
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,8 +61,19 @@ def append_postings(df: DataFrame, path: str) -> None:
     conform_schema(df).write.mode("append").parquet(path)
 
 
+def refuse_own_input(path: str, *sources: DataFrame) -> None:
+    """Raise if a source reads files below ``path``: overwriting it would lose them half way."""
+    spark = sources[0].sparkSession
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target = urlparse(hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop_path).toString())
+    for file in (urlparse(f) for source in sources for f in source.inputFiles()):
+        if file.scheme == target.scheme and file.netloc == target.netloc and file.path.startswith(f"{target.path}/"):
+            raise ValueError(f"cannot overwrite {path}, it is being read")
+
+
 def full_refresh(df: DataFrame, path: str) -> None:
-    """Replace the whole table; ``df`` must not read from ``path``, which Spark checks."""
+    """Replace the whole table, which ``df`` must not read."""
+    refuse_own_input(path, df)
     conform_schema(df).write.mode("overwrite").parquet(path)
 
 
