@@ -108,7 +108,7 @@ _ORACLES["expired_report"] = _BOTH + (
 _NA = "CASE WHEN coalesce({0}, '') = '' THEN 'N/A' ELSE {0} END AS {0}"
 _ORACLES["expired_examples"] = _BOTH + (
     f"SELECT id, partner_job_id, {_NA.format('position')}, {_NA.format('company')}, {_NA.format('location')},"
-    " coalesce(strftime(created_at, '%Y-%m-%d %H:%M:%S'), 'N/A') AS created_at"
+    " coalesce(CAST(created_at AS VARCHAR), 'N/A') AS created_at"
     f" FROM published p WHERE {_EXPIRED} ORDER BY id LIMIT 5"
 )
 _ORACLES["published_after_expiry"] = _BOTH + (
@@ -354,7 +354,7 @@ _DEDUP = _with("published", more=_RANKED)
 _ORACLES["keep_latest"] = _DEDUP + "SELECT id, partner_job_id, position, description FROM ranked WHERE rn = 1"
 _ORACLES["duplicates_to_remove"] = _DEDUP + "SELECT id, partner_job_id FROM ranked WHERE rn > 1"
 _ORACLES["duplicate_examples"] = _DEDUP + (
-    "SELECT id, partner_job_id, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at FROM ranked WHERE rn > 1 ORDER BY id LIMIT 5"
+    "SELECT id, partner_job_id, CAST(updated_at AS VARCHAR) AS updated_at FROM ranked WHERE rn > 1 ORDER BY id LIMIT 5"
 )
 _ORACLES["duplicate_groups"] = _PUB + (
     "SELECT partner_job_id, count(*) AS n FROM published WHERE partner_job_id <> '' GROUP BY partner_job_id HAVING count(*) > 1"

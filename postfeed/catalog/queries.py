@@ -225,7 +225,7 @@ def duplicates_to_remove(spark, sf_dir):
 @_query
 def duplicate_examples(spark, sf_dir):
     rows = sync.examples(dedup.duplicates_to_remove(view(spark, sf_dir, "published")))
-    return rows.select("id", "partner_job_id", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
+    return rows.select("id", "partner_job_id", F.col("updated_at").cast("string").alias("updated_at"))
 
 
 @_query

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,27 +15,28 @@ from postfeed.session import scratch_path, spread
 BATCHES_PER_GROUP = 65_536
 
 
-def row_numbers(df: DataFrame, order: str = "id") -> DataFrame:
-    """``order`` with ``idx``, the 0-based position of each row; ``order`` is unique.
+def row_numbers(df: DataFrame, order: str = "id", carry: Sequence[str] = ()) -> DataFrame:
+    """``order``, the columns to ``carry`` and ``idx``, the 0-based position; ``order`` is unique.
 
-    Only the order column is range-partitioned, sorted and written to the scratch folder with
+    Only these columns are range-partitioned, sorted and written to the scratch folder with
     its place in its partition. The written places do not change when an executor is lost.
     Adding up the rows of earlier partitions then needs one row per partition.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "row-numbers")
-    placed = df.select(order).repartitionByRange(order).sortWithinPartitions(order)
+    slim = df.select(order, *carry)
+    placed = slim.repartitionByRange(order).sortWithinPartitions(order)
     placed.withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
     # monotonically_increasing_id holds the partition in its upper bits, the row in the lower 33.
-    written = spark.read.schema(T.StructType([df.schema[order], T.StructField("place", T.LongType())])).parquet(path)
+    written = spark.read.schema(T.StructType([*slim.schema, T.StructField("place", T.LongType())])).parquet(path)
     parts = spread(written).select(
-        order, F.shiftright("place", 33).alias("part"), F.col("place").bitwiseAND((1 << 33) - 1).alias("row")
+        order, *carry, F.shiftright("place", 33).alias("part"), F.col("place").bitwiseAND((1 << 33) - 1).alias("row")
     )
     sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     # One row per shuffle partition: spark.sql.shuffle.partitions bounds what is broadcast.
-    return parts.join(F.broadcast(starts), "part").select(order, (F.col("start") + F.col("row")).alias("idx"))
+    return parts.join(F.broadcast(starts), "part").select(order, *carry, (F.col("start") + F.col("row")).alias("idx"))
 
 
 def assign_ids(df: DataFrame, start: int, order: str = "id", name: str = "new_id") -> DataFrame:
@@ -41,9 +44,9 @@ def assign_ids(df: DataFrame, start: int, order: str = "id", name: str = "new_id
     return row_numbers(df, order).select(order, (F.col("idx") + start).alias(name))
 
 
-def batch_no(df: DataFrame, size: int = 20, order: str = "id") -> DataFrame:
+def batch_no(df: DataFrame, size: int = 20, order: str = "id", carry: Sequence[str] = ()) -> DataFrame:
     """``order`` and the 1-based number of the batch of ``size`` rows it falls in."""
-    return row_numbers(df, order).select(order, F.expr(f"idx div {int(size)} + 1").alias("batch_no"))
+    return row_numbers(df, order, carry).select(order, *carry, F.expr(f"idx div {int(size)} + 1").alias("batch_no"))
 
 
 def running_total(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
@@ -64,13 +67,9 @@ def running_total(df: DataFrame, order: str, value: str, name: str) -> DataFrame
     )
 
 
-def batch_outcomes(df: DataFrame, accepted, size: int = 20) -> DataFrame:
+def batch_outcomes(df: DataFrame, accepted: Column, size: int = 20) -> DataFrame:
     """Per batch: rows, rows the sink accepts, and their running total."""
     flags = df.select("id", accepted.alias("__ok"))
-    per_batch = (
-        batch_no(flags, size)
-        .join(flags, "id")
-        .groupBy("batch_no")
-        .agg(F.count(F.lit(1)).alias("rows"), F.count_if("__ok").alias("inserted"))
-    )
+    numbered = batch_no(flags, size, carry=["__ok"]).groupBy("batch_no")
+    per_batch = numbered.agg(F.count(F.lit(1)).alias("rows"), F.count_if("__ok").alias("inserted"))
     return running_total(per_batch, "batch_no", "inserted", "total_inserted")

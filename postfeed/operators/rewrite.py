@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from postfeed.functions.keys import _col
@@ -122,10 +123,14 @@ def sync(
 
 def preview_pairs(staging: DataFrame, n: int = 10, rewriter: RewriterFactory | None = None) -> DataFrame:
     """``n`` sample rows with the text before and after; in full for the first row only."""
-    sample = sample_rows(staging, n).withColumn("improved", F.col("job_description"))
+    # The window sees the n sampled rows only.
+    place = F.row_number().over(W.orderBy("id"))
+    sample = sample_rows(staging, n).withColumns({"improved": F.col("job_description"), "place": place})
     pairs = rewrite_text(sample, rewriter, column="improved")
-    first = F.col("id") == sample.agg(F.min("id")).scalar()
-    show = lambda c: F.when(first, truncate_text(c, 2**31 - 1)).otherwise(truncate_text(c, 800))
+
+    def show(text: str) -> Column:
+        return F.when(F.col("place") == 1, truncate_text(text, 2**31 - 1)).otherwise(truncate_text(text, 800))
+
     return pairs.select(
         "id",
         "position",

@@ -32,8 +32,8 @@ def already_published(staging: DataFrame, published: DataFrame, hot_rows: int =
 
 def expired_postings(published: DataFrame, staging: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Published rows with a usable key that staging lacks. With an empty staging nothing expires."""
-    rows = published.where(has_key(KEY) & staging.select(F.lit(1)).exists())
-    return keyed_join(rows, key_set(staging), KEY, "left_anti", hot_rows=hot_rows)
+    gone = keyed_join(published.where(has_key(KEY)), key_set(staging), KEY, "left_anti", hot_rows=hot_rows)
+    return gone.where(staging.select(F.lit(1)).exists())
 
 
 def missing_keys(staging: DataFrame, published: DataFrame) -> DataFrame:
@@ -132,12 +132,11 @@ def examples(df: DataFrame, n: int = 5, order: str = "id") -> DataFrame:
 
 def expired_details(expired: DataFrame, n: int = 5) -> DataFrame:
     """The full entry of the first expired rows, with N/A for blanks."""
-    created = F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")
     return examples(expired, n).select(
         "id",
         KEY,
         *[or_not_available(c).alias(c) for c in ("position", "company", "location")],
-        F.coalesce(created, F.lit(NOT_AVAILABLE)).alias("created_at"),
+        F.coalesce(F.col("created_at").cast("string"), F.lit(NOT_AVAILABLE)).alias("created_at"),
     )
 
 

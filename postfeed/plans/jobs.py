@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postfeed.operators.dedup import duplicates_to_remove
-from postfeed.operators.keyed import HOT_ROWS
+from postfeed.operators.keyed import HOT_ROWS, key_set
 from postfeed.operators.rewrite import RewriterFactory, load_new, next_id, rejected_new
 from postfeed.operators.sync import delete_rows, expired_postings, reconcile
 from postfeed.session import materialise
@@ -59,8 +59,9 @@ def run_sync(
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     gone = expired_postings(published.select("id", "partner_job_id"), staging, hot_rows=hot_rows).select("id")
     gone = materialise(gone, "expired")
-    refused = materialise(rejected_new(staging, published, hot_rows), "rejected")
-    new = load_new(staging, published, now, next_id(published), rewriter, workers, hot_rows)
+    known = materialise(key_set(published), "published-keys")
+    refused = materialise(rejected_new(staging, known, hot_rows), "rejected")
+    new = load_new(staging, known, now, next_id(published), rewriter, workers, hot_rows)
     delete_rows(published, gone).unionByName(new).write.mode("overwrite").parquet(out)
     if rejected_out:
         refused.write.mode("overwrite").parquet(rejected_out)

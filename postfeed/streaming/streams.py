@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from threading import Event
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -104,16 +105,24 @@ def stream_progress(
     run_dir: str,
     run_id: str,
     trigger: dict | None = None,
+    on_sample: Callable[[Row], None] | None = None,
 ) -> StreamingQuery:
-    """Write a progress sample to ``run_dir``/samples for every micro-batch of ``ticks``."""
+    """Write a progress sample to ``run_dir``/samples for every micro-batch of ``ticks``.
+
+    ``on_sample`` gets each sample, one row, once it is written.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         taken = F.lit(datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
         sample = progress(staging(), published()).select(
             F.lit(run_id).alias("run_id"), taken.alias("sampled_at"), "processed", "total", "percentage", "complete"
         )
-        sample.write.mode("overwrite").parquet(f"{run_dir}/samples/batch_id={batch_id}")
+        target = f"{run_dir}/samples/batch_id={batch_id}"
+        sample.write.mode("overwrite").parquet(target)
+        if on_sample:
+            on_sample(spark.read.parquet(target).first())
 
+    spark = ticks.sparkSession
     return _start(ticks, run_dir, handle, trigger or {"processingTime": WATCH_INTERVAL})
 
 
@@ -132,14 +141,17 @@ def watch(
 ) -> None:
     """Sample the progress until all staged rows are published."""
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    query = stream_progress(ticks, staging, published, run_dir, run_id, {"processingTime": interval})
+    done = Event()
+
+    def stop_when_complete(sample: Row) -> None:
+        if sample.complete:
+            done.set()
+
+    query = stream_progress(
+        ticks, staging, published, run_dir, run_id, {"processingTime": interval}, on_sample=stop_when_complete
+    )
     try:
-        while not query.awaitTermination(1):
-            if path_exists(spark, f"{run_dir}/samples") and _complete(spark, run_dir):
-                break
+        while not done.is_set() and not query.awaitTermination(1):
+            pass
     finally:
         query.stop()
-
-
-def _complete(spark: SparkSession, run_dir: str) -> bool:
-    return bool(spark.read.parquet(f"{run_dir}/samples").agg(F.bool_or("complete")).first()[0])
