@@ -12,7 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 # The largest scan ``spread`` moves, in splits; at the default split size about 1 GB.

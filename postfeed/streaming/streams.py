@@ -17,7 +17,7 @@ from postfeed.operators.requests import log_lines, request_records
 from postfeed.operators.rewrite import RewriterFactory, load_new, rejected_new
 from postfeed.operators.sync import progress
 from postfeed.schema import PUBLISHED
-from postfeed.session import path_exists
+from postfeed.session import materialise, path_exists
 from postfeed.sources.tables import read_published
 
 WATCH_INTERVAL = "5 seconds"
@@ -61,9 +61,13 @@ def stream_sync(
     def handle(batch: DataFrame, batch_id: int) -> None:
         before = f"{run_dir}/next_id/batch_id={batch_id - 1}"
         start = spark.read.parquet(before).first()[0] if batch_id else first
+        # The batch's keys are written first, so their size is known: while they are few they are
+        # broadcast to the frozen keys, which are then scanned without being shuffled.
+        asked = materialise(key_set(batch), "batch-keys")
+        known = materialise(keys.join(asked, "partner_job_id", "left_semi"), "known-keys")
         target = f"{run_dir}/postings/batch_id={batch_id}"
-        load_new(batch, keys, now, start, rewriter, workers, hot_rows).write.mode("overwrite").parquet(target)
-        refused = rejected_new(batch, keys, hot_rows)
+        load_new(batch, known, now, start, rewriter, workers, hot_rows).write.mode("overwrite").parquet(target)
+        refused = rejected_new(batch, known, hot_rows)
         refused.write.mode("overwrite").parquet(f"{run_dir}/rejected/batch_id={batch_id}")
         after = read_published(spark, target).agg((F.count(F.lit(1)) + start).alias("id"))
         after.write.mode("overwrite").parquet(f"{run_dir}/next_id/batch_id={batch_id}")

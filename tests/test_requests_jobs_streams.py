@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from postfeed.functions import requests as fr
 from postfeed.operators import requests
 from postfeed.plans.jobs import run_dedup, run_feed, run_sync
-from postfeed.schema import GEO_DIM
+from postfeed.schema import GEO_DIM, PUBLISHED
 from postfeed.session import scratch_root
 from postfeed.sources import accesslog, tables
 from postfeed.streaming import streams
@@ -138,6 +138,26 @@ def test_tables(spark, published, tmp_path):
     assert [r.id for r in tables.read_published(spark, path).collect()] == [3]
 
 
+def test_jdbc_reads_id_ranges(published):
+    """No database is at hand: this checks the arguments only."""
+    calls = []
+
+    class Reader:
+        def jdbc(self, *args, **options):
+            calls.append((args, options))
+            return published({"id": 1}).drop("description", "company")
+
+    class Session:
+        read = Reader()
+
+    table = tables.read_jdbc(Session(), "jdbc:x:y", "postings", 1, 900, 8, user="u")
+    assert table.columns == PUBLISHED.names and table.first().company is None
+    (args, options), = calls
+    assert args == ("jdbc:x:y", "postings")
+    assert (options["column"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", 1, 900, 8)
+    assert options["properties"]["user"] == "u"
+
+
 def test_key_filter_and_columns_reach_the_scan(spark, published, tmp_path):
     path = str(tmp_path / "t")
     tables.append_postings(published({"id": 1, "partner_job_id": "k", "description": "long"}), path)
