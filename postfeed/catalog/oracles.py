@@ -162,13 +162,7 @@ def _allow(expr: str) -> str:
 
 
 def _visible(expr: str) -> str:
-    for pattern in (
-        "(?s)<!--.*?-->",
-        f"(?is)<script{_END_OF_TAG}.*?</script{_S}*>",
-        f"(?is)<style{_END_OF_TAG}.*?</style{_S}*>",
-    ):
-        expr = _rx(expr, pattern)
-    return expr
+    return _rx(expr, f"(?is)<!--.*?-->|<script{_END_OF_TAG}.*?</script{_S}*>|<style{_END_OF_TAG}.*?</style{_S}*>")
 
 
 def _mapped(expr: str) -> str:

@@ -33,6 +33,7 @@ _ALLOWED = "|".join(ALLOWED_TAGS)
 _LABEL = r"\[#J-(?:REMOTE|INTERNAL|MCITY|ENTERPRISE|ONE|MIN)\]"
 # An address does not end in a dash, so one inside a comment leaves the comment's end alone.
 _URL = r"(?i)https?://[^ \t\r\n\f<>\"]*[^ \t\r\n\f<>\"-]"
+_HIDDEN = rf"(?is)<!--.*?-->|<script{_ATTRS}>.*?</script{_WS}*>|<style{_ATTRS}>.*?</style{_WS}*>"
 _ANCHOR = rf"(?i)</?a(?:{_WS}[^<>]*)?>"
 # The parts a head can end with, the last part first: what marks the part and what ends it.
 _HEAD_ENDS = [
@@ -54,22 +55,29 @@ def allow_tags(html: Column | str) -> Column:
 
 def drop_hidden(html: Column | str) -> Column:
     """No comments, scripts and styles."""
-    value = _drop(_col(html), r"(?s)<!--.*?-->")
-    value = _drop(value, rf"(?is)<script{_ATTRS}>.*?</script{_WS}*>")
-    return _drop(value, rf"(?is)<style{_ATTRS}>.*?</style{_WS}*>")
+    return _drop(_col(html), _HIDDEN)
 
 
 def map_tags(html: Column | str) -> Column:
     """Unsupported tags become supported ones; scripts, styles and comments go with their content."""
-    return _map_visible(drop_hidden(html))
+    return allow_tags(_blocks(_ordered_lists(_headings(drop_hidden(html)))))
 
 
-def _map_visible(html: Column) -> Column:
-    value = F.regexp_replace(html, rf"(?i)<h[1-6]{_ATTRS}>", "<p><strong>")
-    value = F.regexp_replace(value, rf"(?i)</h[1-6]{_WS}*>", "</strong></p>")
-    value = F.regexp_replace(value, rf"(?i)<(/?)ol{_ATTRS}>", "<$1ul>")
-    value = F.regexp_replace(value, rf"(?i)<(/?)(?:div|section|article){_ATTRS}>", "<$1p>")
-    return allow_tags(value)
+def _headings(html: Column) -> Column:
+    opened = F.regexp_replace(html, rf"(?i)<h[1-6]{_ATTRS}>", "<p><strong>")
+    return F.regexp_replace(opened, rf"(?i)</h[1-6]{_WS}*>", "</strong></p>")
+
+
+def _ordered_lists(html: Column) -> Column:
+    return F.regexp_replace(html, rf"(?i)<(/?)ol{_ATTRS}>", "<$1ul>")
+
+
+def _blocks(html: Column) -> Column:
+    return F.regexp_replace(html, rf"(?i)<(/?)(?:div|section|article){_ATTRS}>", "<$1p>")
+
+
+def _addresses(html: Column) -> Column:
+    return _drop(html, _URL)
 
 
 def remove_links(html: Column | str) -> Column:
@@ -97,7 +105,7 @@ def end_labels(text: Column | str) -> Column:
     body = F.rtrim(without_labels(text), F.lit(" \t\r\n\f"))
     found = F.array_join(labels_of(text), " ")
     last = F.concat(body, F.when(body == "", F.lit("")).otherwise(F.lit(" ")), found)
-    return F.when(text.rlike(_LABEL), last).otherwise(text)
+    return F.when(text.contains("[#J-") & text.rlike(_LABEL), last).otherwise(text)
 
 
 def head_of(html: Column | str) -> Column:
@@ -158,9 +166,17 @@ def intro_wrap(
     )
 
 
-def format_body(html: Column | str) -> Column:
-    """The deterministic formatting rules, for text that follows the head."""
-    return paragraph_breaks(_map_visible(remove_links(drop_hidden(html))))
+# The formatting rules for a body, in order, each with texts of which one is in every body it
+# changes. Searching for them is far cheaper than a pattern. Anchors go with the other tags.
+_BODY_RULES = [
+    (["<!--", "<s", "<S"], drop_hidden),
+    (["://"], _addresses),
+    (["<h", "<H", "</h", "</H"], _headings),
+    (["<o", "<O", "</o", "</O"], _ordered_lists),
+    (["<"], _blocks),
+    (["<"], allow_tags),
+    (["<"], paragraph_breaks),
+]
 
 
 def format_posting(df: DataFrame, column: str) -> DataFrame:
@@ -168,12 +184,14 @@ def format_posting(df: DataFrame, column: str) -> DataFrame:
 
     In steps, as each one uses the text before it several times.
     """
-    return (
-        df.withColumn("__head", head_of(column))
-        .withColumn("__whole", F.concat("__head", format_body(F.substr(column, F.length("__head") + 1))))
-        .withColumn(column, end_labels("__whole"))
-        .drop("__head", "__whole")
-    )
+    steps = df.withColumn("__head", head_of(column))
+    steps = steps.withColumn("__text", F.substr(column, F.length("__head") + 1))
+    for marks, rule in _BODY_RULES:
+        text = F.col("__text")
+        found = reduce(Column.__or__, [text.contains(mark) for mark in marks])
+        steps = steps.withColumn("__text", F.when(found, rule(text)).otherwise(text))
+    steps = steps.withColumn("__text", F.concat("__head", "__text"))
+    return steps.withColumn(column, end_labels("__text")).drop("__head", "__text")
 
 
 def plain_text(html: Column | str) -> Column:

@@ -17,7 +17,7 @@ from postfeed.operators.requests import log_lines, request_records
 from postfeed.operators.rewrite import RewriterFactory, load_new, rejected_new
 from postfeed.operators.sync import progress
 from postfeed.schema import PUBLISHED
-from postfeed.session import materialise, path_exists
+from postfeed.session import materialise, path_exists, spread
 from postfeed.sources.tables import read_published
 
 WATCH_INTERVAL = "5 seconds"
@@ -59,6 +59,7 @@ def stream_sync(
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = spread(batch)
         before = f"{run_dir}/next_id/batch_id={batch_id - 1}"
         start = spark.read.parquet(before).first()[0] if batch_id else first
         # The batch's keys are written first, so their size is known: while they are few they are
@@ -92,7 +93,7 @@ def stream_access_log(
     """Write arriving requests as JSON lines to ``run_dir``/log."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        lines = log_lines(request_records(batch, geo_dim, mask, hot_rows=hot_rows)).select("line")
+        lines = log_lines(request_records(spread(batch), geo_dim, mask, hot_rows=hot_rows)).select("line")
         lines.write.mode("overwrite").text(f"{run_dir}/log/batch_id={batch_id}")
 
     return _start(requests, run_dir, handle, trigger)
