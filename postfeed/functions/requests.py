@@ -87,16 +87,15 @@ def cors_headers(headers: Column | str) -> Column:
     return F.struct(*[value(h).alias(h.replace("-", "_")) for h in CORS_HEADERS])
 
 
-def geo_struct(found: Column) -> Column:
-    """The geo block of a dimension row; NULL for no row or a failed lookup.
+def geo_struct() -> Column:
+    """The geo block of a dimension row; NULL for a failed lookup.
 
     An unset ``success`` counts as success. ``location`` needs both coordinates.
     """
     lat, lon = F.col("latitude"), F.col("longitude")
     location = F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lon.alias("lon"), lat.alias("lat")))
     named = [F.col(source).alias(name) for name, source in GEO_FIELDS.items()]
-    ok = found & F.coalesce(F.col("success"), F.lit(True))
-    return F.when(ok, F.struct(*named, location.alias("location")))
+    return F.when(F.coalesce(F.col("success"), F.lit(True)), F.struct(*named, location.alias("location")))
 
 
 def authorization_field(value: Column | str, mask: bool = True) -> Column:

@@ -20,9 +20,8 @@ def geo_enrich(
     the rows are shuffled, a busy address in several parts and private ones spread out.
     """
     keyed = log.withColumn("__ip", F.when(~is_private_ip(ip), F.col(ip)))
-    known = geo_dim.withColumnRenamed("ip", "__ip").withColumn("__found", F.lit(True))
-    joined = keyed_join(keyed, known, "__ip", "left", spread=spread, hot_rows=hot_rows)
-    return joined.select(*log.columns, geo_struct(F.coalesce("__found", F.lit(False))).alias("geo"))
+    known = geo_dim.select(F.col("ip").alias("__ip"), geo_struct().alias("geo")).where("geo IS NOT NULL")
+    return keyed_join(keyed, known, "__ip", "left", spread=spread, hot_rows=hot_rows).select(*log.columns, "geo")
 
 
 def request_records(
