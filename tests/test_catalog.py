@@ -26,6 +26,8 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", list(queries()))
 def test_query(spark, engine, name):
     df = queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     cursor = engine.execute(oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(columns)
