@@ -14,6 +14,7 @@ from postfeed.llm.exact_dedup import exact_duplicates
 from postfeed.llm.minhash import near_duplicates
 from postfeed.llm.packing import pack_documents
 from postfeed.llm.quality import KEEP_FROM, score, train
+from postfeed.llm.substring import without_repeats
 from postfeed.llm.tokenizers_public import rank_encoder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,16 +27,30 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("score") >= KEEP_FROM).select(*[F.col(f"__keep_{k}").alias(c) for k, c in enumerate(COLUMNS)])
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents as a written table with a number for each row, as ids may be null or repeat."""
+    return written(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()), "numbered")
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id."""
-    dropped = exact_duplicates(docs).where("NOT kept").select("doc_id")
-    return docs.select(*COLUMNS).join(written(dropped, "dropped"), "doc_id", "left_anti")
+    rows = _numbered(docs)
+    dropped = exact_duplicates(rows, row_col="__row").where("NOT kept").select("__row")
+    return rows.join(written(dropped, "dropped"), "__row", "left_anti").select(*COLUMNS)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
-    dropped = near_duplicates(docs).where("NOT kept").select("doc_id")
-    return docs.select(*COLUMNS).join(written(dropped, "dropped"), "doc_id", "left_anti")
+    rows = _numbered(docs)
+    dropped = near_duplicates(rows, row_col="__row").where("NOT kept").select("__row")
+    return rows.join(written(dropped, "dropped"), "__row", "left_anti").select(*COLUMNS)
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier place has; n_chars follows the text."""
+    cut = without_repeats(docs, keep=("lang", "source", "n_chars"))
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("__keep_2"))
+    return cut.select("doc_id", "text", F.col("__keep_0").alias("lang"), F.col("__keep_1").alias("source"), n_chars.alias("n_chars"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +58,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, rank_encoder())
 
 
-STAGES = [("quality", quality), ("exact_dedup", exact), ("minhash", near), ("packing", packed)]
+STAGES = [("quality", quality), ("exact_dedup", exact), ("minhash", near), ("substring", substrings), ("packing", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

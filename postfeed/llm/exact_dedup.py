@@ -7,7 +7,6 @@ from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from postfeed.llm.common import slices, written
@@ -16,6 +15,9 @@ from postfeed.llm.common import slices, written
 FIRST_DIGIT = 64
 DIGIT_GROWTH = 32
 
+# Stands for a null id, which is smaller than any other.
+NO_ID = -(1 << 63)
+
 # Text bytes of one task after which it forgets what it has seen; the radix levels join the parts again.
 LOCAL_BYTES = 64 << 20
 
@@ -59,34 +61,37 @@ def _fold(batches):
         yield _folded(rows, texts, count, best)
 
 
-def exact_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """One row per row of ``documents``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal if they are identical after lower-casing A-Z; null counts as empty. The row with
     the largest id stays. A null id is smaller than any other, and of several rows with the largest id
-    one stays. An empty table gives an empty result; other columns are not looked at.
+    one stays. An empty table gives an empty result; other columns are not looked at. ``row_col`` names a
+    column of unique longs that comes first in the result, to find the rows again.
 
     Every task first folds the equal texts it reads, so a text sends one row per task however often it
     occurs. The heads are split by their first bytes, and those that are not alone by ever longer
     digits, until a group has one row or has ended. Only bytes decide; the digest is a result column.
     """
-    source = documents.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"))
-    rows = written(source.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_fold, _LOCAL), "fold")
+    source = documents.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"), (F.monotonically_increasing_id() if row_col is None else F.col(row_col)).alias("row"))
+    keep = [] if row_col is None else [F.col("row").alias(row_col)]
+    rows = written(source.mapInArrow(_fold, _LOCAL), "fold")
     heads = rows.where("n IS NOT NULL").select("head", "text", "n", "best", "best_row")
 
     digit = F.substring("text", 1, FIRST_DIGIT).alias("digit")
     state = heads.select("head", F.lit(0).cast("long").alias("gid"), digit, "n", "best", "best_row")
-    whole, width, done, rest = W.partitionBy("gid", "digit", "ended"), FIRST_DIGIT, [], []
+    width, done, rest, key = FIRST_DIGIT, [], [], ["gid", "digit", "ended"]
     while True:
         ended = state.withColumn("ended", F.length("digit") < width)
-        split = ended.withColumns({
-            "g_rows": F.count(F.lit(1)).over(whole), "g_n": F.sum("n").over(whole), "g_id": F.min("head").over(whole),
-            "g_best": F.max(F.struct("best", "best_row")).over(whole),
-        })
+        # Counted before the shuffle as well; a digit that many heads share is a key of a join that Spark may split.
+        groups = ended.groupBy(*key).agg(
+            F.count(F.lit(1)).alias("g_rows"), F.sum("n").alias("g_n"), F.min("head").alias("g_id"), F.max("best").alias("g_best"),
+            F.max_by("best_row", F.coalesce("best", F.lit(NO_ID))).alias("g_row"),
+        )
+        split = ended.join(groups, key).withColumn("settled", F.expr("ended OR g_rows = 1"))
+        split = written(split.drop(*key, "g_rows"), "radix")
         # Groups of one head, or whose texts have ended, are settled.
-        split = split.withColumn("settled", F.expr("ended OR g_rows = 1"))
-        split = written(split.drop("digit", "gid", "ended", "g_rows"), "radix")
-        done.append(split.where("settled").select("head", F.col("g_n").alias("group_size"), "g_best"))
+        done.append(split.where("settled").select("head", F.col("g_n").alias("group_size"), "g_best", "g_row"))
         left = split.where("NOT settled")
         if left.isEmpty():
             break
@@ -100,6 +105,6 @@ def exact_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     groups = reduce(DataFrame.unionAll, done)
     joined = rows.select("row", "doc_id", "head", "sha").join(groups, "head")
     return joined.select(
-        "doc_id", F.col("g_best.best").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("g_best.best_row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
+        *keep, "doc_id", F.col("g_best").alias("keep_id"), "group_size",
+        (F.col("row") == F.col("g_row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
     )

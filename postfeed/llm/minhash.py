@@ -24,6 +24,8 @@ COORDINATES, MATCHES = 128, 75
 # Coordinates under which documents are posted, and how many must collide; missed with probability 2e-7.
 POSTED, COLLISIONS = 32, 11
 
+PAYLOAD = "node long, sign binary, shingles binary"
+
 # Documents that are compared with one another in one step.
 BLOCK = 1024
 
@@ -67,7 +69,8 @@ def _signed(batches):
             at = np.concatenate([values[offsets[i] : offsets[i + 1]] for i in new])
             for i, sign in zip(new, signatures(np.concatenate([[0], np.cumsum(lengths)]), at)):
                 signs[i] = sign.tobytes()
-        yield pa.record_batch([part.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signs, pa.binary())], names=["doc_id", "n_shingles", "print", "sign"])
+        arrays = [part.column("row"), part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signs, pa.binary())]
+        yield pa.record_batch(arrays, names=["row", "doc_id", "n_shingles", "print", "sign"])
 
 
 def _post(batches):
@@ -163,7 +166,7 @@ def _second_pass(key, frame):
     return pd.DataFrame({"a": nodes[moved], "b": nodes[after[moved]]})
 
 
-def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, row_col: str | None = None) -> DataFrame:
     """One row per row of ``documents``: doc_id, n_shingles, component_id, kept.
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased; a text's set is its distinct
@@ -172,14 +175,16 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     Null and empty texts, and texts without words, have no shingle, are linked with nothing and stay.
     Rows with a null id stay, with a null component_id. Rows that share an id are placed by their own texts;
     two sets whose smallest id is the same are one node. An empty table gives an empty result, and other
-    columns are not looked at.
+    columns are not looked at; ``row_col`` names a column of longs that comes first in the result.
 
     Texts of one set are one class before anything is compared. Every class meets every other it could be
     linked with; nothing is capped. A large family is compared in blocks: all with the leader first, then
     only what that did not join with each block.
     """
-    source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = written(source.mapInArrow(_signed, "doc_id long, n_shingles long, print binary, sign binary"), "signed")
+    row = F.lit(None) if row_col is None else F.col(row_col)
+    numbered = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), row.cast("long").alias("row"))
+    source = numbered.select("doc_id", "text")
+    rows = written(numbered.mapInArrow(_signed, "row long, doc_id long, n_shingles long, print binary, sign binary"), "signed")
     keyed = rows.where("doc_id IS NOT NULL AND print IS NOT NULL")
     ids = keyed.groupBy("print").agg(F.min("doc_id").alias("node"))
     signs = keyed.where("sign IS NOT NULL").groupBy("print").agg(F.max("sign").alias("sign"))
@@ -187,9 +192,9 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     links = class_links(classes, source, block)
     root = components(links).withColumnRenamed("root", "component")
     named = classes.select("print", "node").join(root, "node", "left").select("print", F.coalesce("component", "node").alias("component"))
-    out = rows.select("doc_id", "n_shingles", "print").join(named, "print", "left")
+    out = rows.select("row", "doc_id", "n_shingles", "print").join(named, "print", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    out = out.select(*([] if row_col is None else [F.col("row").alias(row_col)]), "doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -205,8 +210,15 @@ def class_links(classes: DataFrame, source: DataFrame, block: int = BLOCK) -> Da
     leaders = leaders.where("n > 1").select("key", F.col("lead.node").alias("leader"))
     family = written(prefix.join(leaders, "key").select("leader", "node").distinct(), "family")
     wanted = family.select(F.col("node").alias("doc_id")).distinct()
-    payload = written(source.where("doc_id IS NOT NULL").join(wanted, "doc_id", "left_semi").mapInArrow(_payload, "node long, sign binary, shingles binary"), "payload")
+    payload = source.where("doc_id IS NOT NULL").join(wanted, "doc_id", "left_semi").mapInArrow(_payload, PAYLOAD)
+    return family_links(family, written(payload, "payload"), block)
+
 
+def family_links(family: DataFrame, payload: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) whose components are those of the similar members of each family.
+
+    ``family`` (leader, node) holds the leader as a member too; ``payload`` has node, sign and shingles.
+    """
     sizes = family.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).where("blocks > 0")
     members = family.join(sizes, "leader")
     spot = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")

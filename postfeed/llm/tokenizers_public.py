@@ -15,13 +15,13 @@ def rank_encoding(path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
 
 
-def rank_encoder(name: str = "byte_bpe_50k.tiktoken"):
-    """A factory of text -> ids by a rank file; special strings are ordinary text."""
+def rank_encoder(name: str = "byte_bpe_50k.tiktoken", prepare=None):
+    """A factory of text -> ids by a rank file; special strings are ordinary text. ``prepare`` changes texts first."""
 
     def build():
         import public_tokenizers as public
 
         encoding = rank_encoding(public.path(name), public.PATTERN)
-        return lambda text: encoding.encode_to_numpy(text, disallowed_special=())
+        return lambda text: encoding.encode_to_numpy(prepare(text) if prepare else text, disallowed_special=())
 
     return build
