@@ -137,6 +137,35 @@ def fingerprint(values: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(values.tobytes())
 
 
+def grouped(df: DataFrame, keys: list[str], order: list[str], work, schema: str) -> DataFrame:
+    """``work`` on each group's rows as one Arrow table, in ``order``; it returns a table of ``schema``.
+
+    For many small groups: a task goes through its sorted rows, so a group costs no call of its own between
+    Spark and Python. Only the rows of one group and one batch are held, and groups have to be bounded.
+    """
+    width = len(keys)
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            held = held.combine_chunks()
+            columns = [held.column(i).to_numpy() for i in range(width)]
+            change = np.zeros(max(0, held.num_rows - 1), bool)
+            for column in columns:
+                change |= column[1:] != column[:-1]
+            cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
+            for a, b in zip(cuts, cuts[1:]):
+                yield from work(held.slice(a, b - a)).to_batches()
+            held = held.slice(cuts[-1])
+        if held is not None and held.num_rows:
+            yield from work(held).to_batches()
+
+    rest = [c for c in df.columns if c not in keys]
+    return df.select(*keys, *rest).repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
 def binary(array: np.ndarray) -> pa.Array:
     """Rows of a C-ordered 2-d array as fixed pieces of binary."""
     width = array.shape[1] * array.itemsize

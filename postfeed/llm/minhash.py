@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import SIMILARITY, binary, fingerprint, lower_words, ragged_binary, shingle_sets, slices, word_hashes, written
+from postfeed.llm.common import SIMILARITY, binary, fingerprint, grouped, lower_words, ragged_binary, shingle_sets, slices, word_hashes, written
 from postfeed.llm.graph import components
 
 # Coordinates of a signature, and how many must agree for a pair to be confirmed. A pair of similarity
@@ -29,6 +29,9 @@ PAYLOAD = "node long, sign binary, shingles binary"
 # Documents that are compared with one another in one step.
 BLOCK = 1024
 
+# Blocks so small are compared without a look at the signatures.
+SMALL = 6
+
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -96,7 +99,8 @@ def _payload(batches):
 def _similar(a: np.ndarray, b: np.ndarray) -> bool:
     if SIMILARITY * max(len(a), len(b)) > 100 * min(len(a), len(b)):
         return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    merged = np.sort(np.concatenate([a, b]), kind="stable")
+    both = int((merged[1:] == merged[:-1]).sum())
     return 100 * both >= SIMILARITY * (len(a) + len(b) - both)
 
 
@@ -114,6 +118,9 @@ def join_block(nodes, signs, sets, tags, rows, first) -> np.ndarray:
                 tags[tags == high] = low
 
     n = len(nodes)
+    if n <= SMALL:
+        join((int(i), j) for i in rows for j in range(n))
+        return tags
     if first is not None:
         enough = np.flatnonzero((signs == signs[first]).sum(axis=1) >= MATCHES)
         join((first, int(j)) for j in enough)
@@ -134,36 +141,36 @@ def join_block(nodes, signs, sets, tags, rows, first) -> np.ndarray:
     return tags
 
 
-def _block_arrays(frame):
-    signs = np.frombuffer(b"".join(frame["sign"]), dtype=np.uint32).reshape(-1, COORDINATES)
-    return frame["node"].to_numpy(), signs, [np.frombuffer(s, dtype=np.uint64) for s in frame["shingles"]]
+def _block_arrays(table):
+    signs = np.frombuffer(b"".join(table.column("sign").to_pylist()), dtype=np.uint32).reshape(-1, COORDINATES)
+    return table.column("node").to_numpy(), signs, [np.frombuffer(s, dtype=np.uint64) for s in table.column("shingles").to_pylist()]
 
 
-def _first_pass(key, frame):
+def _first_pass(table):
     """One block of a family, its leader included."""
-    import pandas as pd
-
-    frame = frame.sort_values("node", kind="stable")
-    nodes, signs, sets = _block_arrays(frame)
-    lead = np.flatnonzero(nodes == key[0])
+    leader = table.column("leader")[0].as_py()
+    nodes, signs, sets = _block_arrays(table)
+    lead = np.flatnonzero(nodes == leader)
     tags = join_block(nodes, signs, sets, np.arange(len(nodes)), np.arange(len(nodes)), int(lead[0]) if len(lead) else None)
     with_leader = tags == tags[lead[0]] if len(lead) else np.zeros(len(nodes), bool)
-    return pd.DataFrame({"leader": key[0], "node": nodes, "root": nodes[tags], "with_leader": with_leader})
+    return pa.table({"leader": np.full(len(nodes), leader), "node": nodes, "root": nodes[tags], "with_leader": with_leader})
 
 
-def _second_pass(key, frame):
+def _second_pass(table):
     """Documents not joined with their leader against one block of the family."""
-    import pandas as pd
-
-    frame = frame.sort_values(["node", "open"], kind="stable").drop_duplicates("node", keep="last")
-    nodes, signs, sets = _block_arrays(frame)
-    _, tags = np.unique(frame["root"].to_numpy(), return_inverse=True)
+    opened = table.column("open").to_numpy()
+    nodes = table.column("node").to_numpy()
+    # A document of this block that asks itself is there twice, the asking row last.
+    last = np.concatenate([nodes[1:] != nodes[:-1], [True]])
+    table, opened = table.filter(pa.array(last)), opened[last]
+    nodes, signs, sets = _block_arrays(table)
+    _, tags = np.unique(table.column("root").to_numpy(), return_inverse=True)
     firsts = np.full(tags.max() + 1, len(tags))
     np.minimum.at(firsts, tags, np.arange(len(tags)))
     before = firsts[tags]
-    after = join_block(nodes, signs, sets, before, np.flatnonzero(frame["open"].to_numpy()), None)
+    after = join_block(nodes, signs, sets, before, np.flatnonzero(opened), None)
     moved = np.flatnonzero(after != before)
-    return pd.DataFrame({"a": nodes[moved], "b": nodes[after[moved]]})
+    return pa.table({"a": nodes[moved], "b": nodes[after[moved]]})
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, row_col: str | None = None) -> DataFrame:
@@ -225,9 +232,8 @@ def family_links(family: DataFrame, payload: DataFrame, block: int = BLOCK) -> D
     # The leader goes to every block of its family.
     every = F.when(F.col("node") == F.col("leader"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(spot))
     placed = members.select("leader", "node", "blocks", F.explode(every).alias("block"))
-    first = placed.join(payload, "node").groupBy("leader", "block").applyInPandas(
-        _first_pass, "leader long, node long, root long, with_leader boolean"
-    )
+    placed = placed.join(payload, "node").select("leader", "block", "node", "sign", "shingles")
+    first = grouped(placed, ["leader", "block"], ["node"], _first_pass, "leader long, node long, root long, with_leader boolean")
     first = written(first, "first-pass")
     links = first.select(F.col("node").alias("a"), F.col("root").alias("b"))
     large = sizes.where("blocks > 1")
@@ -241,5 +247,5 @@ def family_links(family: DataFrame, payload: DataFrame, block: int = BLOCK) -> D
     asks = rest.join(groups, "leader").select("leader", "node", "root", part.alias("part"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.lit(True).alias("open"))
     gives = state.join(groups, "leader").select("leader", "node", "root", F.explode(F.expr("sequence(0, groups - 1)")).alias("part"), "block", F.lit(False).alias("open"))
     both = asks.unionByName(gives).join(payload, "node")
-    second = both.groupBy("leader", "part", "block").applyInPandas(_second_pass, "a long, b long")
+    second = grouped(both, ["leader", "part", "block"], ["node", "open"], _second_pass, "a long, b long")
     return links.unionByName(second)

@@ -199,7 +199,8 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     wanted = family.select(F.col("node").alias("digest")).distinct()
     places = lines.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct("doc", "print", "start", "words")).alias("p"))
     asked = places.groupBy("p.doc", "p.print").agg(F.collect_list(F.struct("digest", "p.start", "p.words")).alias("asked"))
-    payload = source.join(written(asked, "asked"), ["doc", "print"]).select("text", "asked").mapInArrow(_line_payload, PAYLOAD)
+    # Both lists grow with the input, so they are merged with the texts at every size.
+    payload = source.join(written(asked, "asked").hint("merge"), ["doc", "print"]).select("text", "asked").mapInArrow(_line_payload, PAYLOAD)
     payload = written(payload.dropDuplicates(["node"]), "payload")
     cluster = components(family_links(family, payload))
 
@@ -233,6 +234,8 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> tuple[str, int, in
     Blanks behind a cut go with it; a line end there stays, unless a line end is before the cut.
     """
     data = text.encode("utf-8", "surrogatepass")
+    if not spans:
+        return text, len(data.split()), 0
     places = [m.span() for m in _WORD.finditer(data)]
     gone = np.zeros(len(places) + 1, dtype=np.int64)
     for start, words in spans:
@@ -283,7 +286,7 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
     rows = rows.withColumn("print", F.xxhash64("text"))
     source = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").alias("doc"), "print", "text")
     spans = repeated_spans(source).groupBy(F.col("doc").alias("doc_id"), "print").agg(F.sort_array(F.collect_set(F.struct("start", "words"))).alias("spans"))
-    joined = rows.join(written(spans, "spans"), ["doc_id", "print"], "left")
+    joined = rows.join(written(spans, "spans").hint("merge"), ["doc_id", "print"], "left")
     width = len(keep) + 1
     ordered = joined.select(*[f"__keep_{k}" for k in range(len(keep))], "doc_id", "text", "spans")
     kinds = [f"__keep_{k} {ordered.schema[k].dataType.simpleString()}" for k in range(len(keep))]
