@@ -65,10 +65,13 @@ _WIDTHS = {
     "position": 255, "company": 255, "company_id": 255, "location": 255, "partner_job_id": 255,
     "workplace_types": 50, "experience_level": 50, "jobtype": 50,
 }
+_BYTES = ["job_description", "apply_url"]
 _VIOLATIONS = "SELECT id, 'position: missing' AS problem FROM staging WHERE position IS NULL" + "".join(
     f" UNION ALL SELECT id, '{c}: longer than {w}' FROM staging WHERE length({c}) > {w}" for c, w in _WIDTHS.items()
-)
-_OK = "(position IS NOT NULL" + "".join(f" AND coalesce(length({c}) <= {w}, TRUE)" for c, w in _WIDTHS.items()) + ")"
+) + "".join(f" UNION ALL SELECT id, '{c}: longer than 65535 bytes' FROM staging WHERE strlen({c}) > 65535" for c in _BYTES)
+_OK = "(position IS NOT NULL" + "".join(
+    f" AND coalesce(length({c}) <= {w}, TRUE)" for c, w in _WIDTHS.items()
+) + "".join(f" AND coalesce(strlen({c}) <= 65535, TRUE)" for c in _BYTES) + ")"
 _ORACLES["schema_violations"] = _STG + _VIOLATIONS
 _ORACLES["staging_mapped"] = _STG + "SELECT {} FROM staging".format(
     ", ".join("job_description AS description" if c == "description" else c for c in _PUBLISHED_COLUMNS[1:])
@@ -83,7 +86,8 @@ _BATCH = "CAST((row_number() OVER (ORDER BY id) - 1) // 20 + 1 AS BIGINT) AS bat
 _ORACLES["batches"] = _STG + f"SELECT id, {_BATCH} FROM staging"
 _ORACLES["batch_outcomes"] = _with("staging", more=f"numbered AS (SELECT {_BATCH}, {_OK} AS ok FROM staging)") + (
     "SELECT batch_no, count(*) AS rows, count(*) FILTER (ok) AS inserted,"
-    " CAST(sum(count(*) FILTER (ok)) OVER (ORDER BY batch_no) AS BIGINT) AS total_inserted"
+    " CAST(sum(count(*) FILTER (ok)) OVER (ORDER BY batch_no) AS BIGINT) AS total_inserted,"
+    " CAST((SELECT ceil(count(*) / 20) FROM staging) AS BIGINT) AS batches"
     " FROM numbered GROUP BY batch_no"
 )
 
@@ -108,7 +112,8 @@ _ORACLES["expired_report"] = _BOTH + (
 _NA = "CASE WHEN coalesce({0}, '') = '' THEN 'N/A' ELSE {0} END AS {0}"
 _ORACLES["expired_examples"] = _BOTH + (
     f"SELECT id, partner_job_id, {_NA.format('position')}, {_NA.format('company')}, {_NA.format('location')},"
-    " coalesce(CAST(created_at AS VARCHAR), 'N/A') AS created_at"
+    " coalesce(CAST(created_at AS VARCHAR), 'N/A') AS created_at,"
+    f" greatest((SELECT count(*) FROM published p WHERE {_EXPIRED}) - 5, 0) AS more"
     f" FROM published p WHERE {_EXPIRED} ORDER BY id LIMIT 5"
 )
 _ORACLES["published_after_expiry"] = _BOTH + (
@@ -139,7 +144,7 @@ _ORACLES["run_summary"] = _BOTH + (
     f" (SELECT count(*) FROM staging s WHERE NOT {_IN_PUB} AND {_OK}) AS processed"
 )
 _ORACLES["progress"] = _BOTH + (
-    "SELECT processed, total, CASE WHEN total > 0 THEN round_even(processed / total * 100, 1) ELSE 0 END AS percentage,"
+    "SELECT processed, total, CASE WHEN total > 0 THEN CAST(printf('%.1f', processed / total * 100) AS DOUBLE) ELSE 0 END AS percentage,"
     " processed >= total AND total > 0 AS complete"
     " FROM (SELECT (SELECT count(*) FROM published) AS processed, (SELECT count(*) FROM staging) AS total) c"
 )
@@ -179,7 +184,19 @@ def _no_links(expr: str) -> str:
 
 
 def _breaks(expr: str) -> str:
-    return _rx(expr, f"(?i)</p{_S}*>{_S}*(?:<br{_S}*/?>{_S}*)*<p({_S}[^<>]*)?>", "</p><br><br><p\\1>")
+    br = f"<br{_S}*/?>"
+    expr = _rx(expr, f"(?i){br}{_S}*{br}{_S}*{br}({_S}*{br})*", "<br><br>")
+    expr = _rx(expr, f"(?i)</p{_S}*>({_S}|{br})*<p({_S}[^<>]*)?>", "</p><br><br><p\\2>")
+    expr = _rx(expr, f"(?i)(</p{_S}*>{_S}*){br}({_S}*{br})*", "\\1<br><br>")
+    return _rx(expr, f"(?i){br}(?:{_S}*{br})*({_S}*<p(?:{_S}[^<>]*)?>)", "<br><br>\\1")
+
+
+# The rule told from what breaks it, not from the function above: paragraphs without a break between them,
+# three breaks in a row, one break alone behind or before a paragraph. Every break becomes one control character.
+def _breaks_ok(expr: str) -> str:
+    flat = _rx(_rx(_rx(expr, "[\x01\x02\x03]"), f"(?i)<br{_S}*/?>", "\x01"), f"(?i)</p{_S}*>", "\x02")
+    flat = _rx(_rx(flat, f"(?i)<p({_S}[^<>]*)?>", "\x03"), f"({_S}*)(\x01|\x02|\x03){_S}*", "\\2")
+    return f"NOT regexp_matches({flat}, {_q('\x02\x03|\x01\x01\x01|\x02\x01($|[^\x01])|(^|[^\x01])\x01\x03')})"
 
 
 def _labels_last(expr: str) -> str:
@@ -300,7 +317,7 @@ bodies AS (SELECT *, substr(after, length(new_head) + 1) AS new_body,
 rules AS (SELECT id,
   NOT regexp_matches({_rx('after', f'(?i)</?({_TAGS})>')}, '<[a-zA-Z/!?][^<>]*>') AS tags_ok,
   NOT (regexp_matches(new_body, '(?i)<a[ \\t\\r\\n\\f>]') OR regexp_matches(new_body, {_q(r'(?i)https?://[^ \t\r\n\f<>"]')})) AS links_ok,
-  new_body = {_breaks('new_body')} AS breaks_ok,
+  {_breaks_ok('new_body')} AS breaks_ok,
   list_sort(regexp_extract_all(html, {_q(_LABELS)})) = list_sort(regexp_extract_all(after, {_q(_LABELS)})) AS labels_ok,
   after = {_labels_last('after')} AS labels_last,
   coalesce(new_head = old_head OR (new_head <> '' AND company = closing AND places IS NOT NULL), FALSE) AS head_ok,
@@ -331,7 +348,7 @@ _LOADED_COLUMNS = ", ".join(
 _ORACLES["loaded_new"] = _LOADED + f"SELECT {_LOADED_COLUMNS} FROM rewritten"
 _ORACLES["stream_new_postings"] = _ORACLES["loaded_new"]
 _ORACLES["rejected_new"] = _with("staging", "published", more=f"violations AS ({_VIOLATIONS})") + (
-    f"SELECT s.id, string_agg(v.problem, '; ' ORDER BY CASE {' '.join(f"WHEN v.problem LIKE '{c}:%' THEN {i}" for i, c in enumerate(_WIDTHS))} END) AS reasons"
+    f"SELECT s.id, string_agg(v.problem, '; ' ORDER BY CASE {' '.join(f"WHEN v.problem LIKE '{c}:%' THEN {i}" for i, c in enumerate([*_WIDTHS, *_BYTES]))} END) AS reasons"
     f" FROM staging s JOIN violations v ON v.id = s.id WHERE NOT {_IN_PUB} GROUP BY s.id"
 )
 _ORACLES["sync_result"] = _LOADED + (
@@ -384,6 +401,7 @@ _JOB = "' <job>' || chr(10) || " + " || ".join(
 ) + " || ' </job>'"
 _ORACLES["feed_build_date"] = _DOCS + f"SELECT {_BUILD_DATE} AS build_date"
 _ORACLES["feed_rows"] = _DOCS + f"SELECT id, {_JOB} AS xml FROM doc_postings"
+_ORACLES["feed_order"] = _DOCS + "SELECT row_number() OVER (ORDER BY id) AS place, id FROM doc_postings"
 _ORACLES["feed_lines"] = _DOCS + (
     "SELECT 0 AS section, NULL AS id, '<?xml version=\"1.0\" encoding=\"UTF-8\"?>' || chr(10) || '<source>' || chr(10)"
     f" || ' <lastBuildDate> ' || {_BUILD_DATE} || ' </lastBuildDate>' AS xml"
@@ -493,7 +511,7 @@ _LINE = _object(
 _ORACLES["access_log_json"] = _LOG + f"SELECT event_id, {_LINE} AS line FROM located"
 _ORACLES["stream_access_log"] = _LOG + f"SELECT {_LINE} AS line FROM located"
 _ORACLES["stream_progress"] = _BOTH + (
-    "SELECT 'run-1' AS run_id, processed, total, CASE WHEN total > 0 THEN round_even(processed / total * 100, 1) ELSE 0 END AS percentage,"
-    " processed >= total AND total > 0 AS complete, processed AS new_records"
-    " FROM (SELECT (SELECT count(*) FROM published) AS processed, (SELECT count(*) FROM staging) AS total) c"
+    "SELECT 'run-1' AS run_id, processed, total, CASE WHEN total > 0 THEN CAST(printf('%.1f', processed / total * 100) AS DOUBLE) ELSE 0 END AS percentage,"
+    " processed >= total AND total > 0 AS complete, CASE WHEN sample = 1 THEN processed ELSE 0 END AS new_records"
+    " FROM range(1, 4) samples(sample), (SELECT (SELECT count(*) FROM published) AS processed, (SELECT count(*) FROM staging) AS total) c"
 )

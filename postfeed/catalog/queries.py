@@ -14,7 +14,7 @@ from postfeed.functions.requests import client_ip, cors_headers, is_private_ip,
 from postfeed.operators import dedup, numbering, posting, reports, requests, rewrite, sync
 from postfeed.operators import progress as progress_ops
 from postfeed.schema import REVISION_COLUMNS, revision_columns
-from postfeed.session import scratch_path
+from postfeed.session import scratch_path, spread
 from postfeed.sources import feed, tables
 from postfeed.streaming import streams
 
@@ -263,6 +263,15 @@ def feed_round_trip(spark, sf_dir):
     return feed.read_feed(spark, path)
 
 
+@_query
+def feed_order(spark, sf_dir):
+    """The ids in the written document, one after the other."""
+    path = scratch_path(spark, "feed")
+    feed.write_feed(view(spark, sf_dir, "doc_postings"), path, RUN_TS)
+    places = feed.feed_order(spark, path, r"<applyUrl><!\[CDATA\[[^\]]*b=([0-9]+)\]")
+    return places.select("place", F.col("found").cast("long").alias("id"))
+
+
 @_query
 def utf8_repair(spark, sf_dir):
     # Whole texts as bytes, each followed by bytes that are not valid there.
@@ -477,17 +486,17 @@ def access_log_json(spark, sf_dir):
 @_query
 def stream_new_postings(spark, sf_dir):
     run_dir = scratch_path(spark, "sync-stream")
-    arriving = view_stream(spark, sf_dir, "staging", "orders")
+    arriving = view_stream(spark, sf_dir, "staging", "orders", "o_orderkey")
     published = view(spark, sf_dir, "published").select("id", "partner_job_id")
-    streams.stream_sync(arriving, published, run_dir, RUN_TS).awaitTermination()
+    streams.stream_sync(arriving, published, run_dir, RUN_TS, prepare=spread).awaitTermination()
     return streams.read_stream_postings(spark, run_dir).drop("batch_id")
 
 
 @_query
 def stream_access_log(spark, sf_dir):
     run_dir = scratch_path(spark, "log-stream")
-    arriving = view_stream(spark, sf_dir, "requests", "events")
-    streams.stream_access_log(arriving, view(spark, sf_dir, "geo_dim"), run_dir).awaitTermination()
+    arriving = view_stream(spark, sf_dir, "requests", "events", "event_id")
+    streams.stream_access_log(arriving, view(spark, sf_dir, "geo_dim"), run_dir, prepare=spread).awaitTermination()
     return streams.read_access_log(spark, run_dir)
 
 
@@ -495,7 +504,7 @@ def stream_access_log(spark, sf_dir):
 def stream_progress(spark, sf_dir):
     run_dir = scratch_path(spark, "progress-stream")
     staging, published = _sides(spark, sf_dir)
-    ticks = view_stream(spark, sf_dir, "staging", "orders").select("id")
+    ticks = view_stream(spark, sf_dir, "staging", "orders", "o_orderkey").select("id")
     query = streams.stream_progress(
         ticks, lambda: staging, lambda: published, run_dir, "run-1", trigger={"availableNow": True}
     )

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postfeed.session import spread
+from postfeed.session import scratch_path, spread
 
 RUN_TS = datetime(2024, 1, 8, 11, 34, 23)
 BRAND = "Feed AI"
@@ -28,7 +28,7 @@ _POSTING_HEAD = (
 )
 
 _ORDER_TEXT = f"""
-  CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN ''
+  CASE WHEN o_orderkey % 1009 = 0 THEN repeat('è', 33000) WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN ''
        ELSE concat(
          CASE WHEN o_orderstatus = 'P' THEN {_POSTING_HEAD.format(name="o_orderpriority")} ELSE '' END,
          '  <h2>', o_orderpriority, '</h2><div class="x">Offer ', CAST(o_orderkey AS STRING),
@@ -102,6 +102,8 @@ SELECT page_id AS id, url, split_part(url, '/', 3) AS company,
          CASE WHEN page_id % 4 = 0 THEN {_POSTING_HEAD.format(name="split_part(url, '/', 3)")} ELSE '' END,
          replace(html, '</article>',
                  concat('<ol><li>See ', url, ' now</li></ol><p>x</p> <br> <br/><p>y</p></article>')),
+         CASE page_id % 8 WHEN 3 THEN 'a<br><BR/><br ><br>b<br>c' WHEN 4 THEN '<p>d</p><br><br> <br>e' WHEN 5 THEN 'f<br><p>g</p>'
+              WHEN 6 THEN '<p>h</p> <br>i' WHEN 7 THEN '<p>j</p><br><br><p>k</p>' ELSE '' END,
          CASE page_id % 3 WHEN 0 THEN ' [#J-REMOTE] [#J-MCITY]' WHEN 1 THEN '[#J-ONE]<p>last</p>' ELSE '' END) END AS html
 FROM {{pages}}""",
     "requests": """
@@ -151,10 +153,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table as a stream of files, whether it is one file or a folder of them."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
+def table_stream(spark: SparkSession, sf_dir: str, name: str, key: str, batches: int = 3) -> DataFrame:
+    """The table as a stream of ``batches`` micro-batches: files of rising ranges of ``key``, one after the other."""
+    rows, folder = table(spark, sf_dir, name), scratch_path(spark, f"arriving-{name}")
+    low, high = rows.agg(F.min(key), F.max(key)).first()
+    step = (high - low) // batches + 1
+    for i in range(batches):
+        part = rows.where(F.col(key).between(low + i * step, low + (i + 1) * step - 1))
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def _from(view: str, tables: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
@@ -183,9 +190,9 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _from(name, {t: spread(table(spark, sf_dir, t)) for t in used}, spark)
 
 
-def view_stream(spark: SparkSession, sf_dir: str, name: str, source: str) -> DataFrame:
-    """A view over one table read as a stream."""
-    return _from(name, {source: table_stream(spark, sf_dir, source)}, spark)
+def view_stream(spark: SparkSession, sf_dir: str, name: str, source: str, key: str) -> DataFrame:
+    """A view over one table read as a stream of a few batches."""
+    return _from(name, {source: table_stream(spark, sf_dir, source, key)}, spark)
 
 
 def view_sql(name: str) -> str:

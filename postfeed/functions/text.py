@@ -68,5 +68,6 @@ def rfc_date(value: Column | str, offset: str = "-0000") -> Column:
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """Share in percent to one decimal, half to even; 0 where there is nothing to do."""
-    return F.when(whole > 0, F.bround(part / whole * 100, 1)).otherwise(F.lit(0.0))
+    """Share in percent to one decimal, the one nearest to the binary value; 0 where there is nothing to do."""
+    rounded = F.replace(F.format_number(part / whole * 100, 1), F.lit(","), F.lit("")).cast("double")
+    return F.when(whole > 0, rounded).otherwise(F.lit(0.0))

@@ -14,11 +14,9 @@ from pyspark.sql import functions as F
 
 from postfeed.functions.keys import has_key, usable_key
 
-# Rows of one key per salt, and the longest list of hot keys. A key with more than 1/HOT_KEYS
-# of all rows is always among the HOT_KEYS largest, so the list that is broadcast is both
-# bounded and complete; a key outside it is small beside a task's share and needs no salt.
+# A key with more rows than a part of a shuffle task's fair share is hot, unless that part is below HOT_ROWS.
 HOT_ROWS = 20_000
-HOT_KEYS = 1_000
+PARTS_OF_SHARE = 4
 
 _KEY, _SALT, _SALTS, _SPREAD = "__key", "__salt", "__salts", 1 << 16
 
@@ -36,6 +34,18 @@ def key_set(df: DataFrame, key: str = "partner_job_id") -> DataFrame:
     return df.where(has_key(key)).select(key).distinct()
 
 
+def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more rows than a quarter of a shuffle task's fair share, and how many such parts each has.
+
+    No more keys than four for each shuffle partition can exceed it, which bounds the list; no key that does
+    is left out.
+    """
+    parts = PARTS_OF_SHARE * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.where(has_key(key)).groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("__n"))
+    part = F.greatest(F.lit(hot_rows), F.ceil(counts.agg(F.sum("__n")).scalar() / parts))
+    return counts.where(F.col("__n") > part).select(_KEY, F.ceil(F.col("__n") / part).cast("int").alias(_SALTS))
+
+
 def keyed_join(
     rows: DataFrame, entries: DataFrame, key: str, how: str, spread: str = "id", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -43,15 +53,7 @@ def keyed_join(
 
     ``entries`` holds each key at most once. ``spread`` is a column of ``rows`` with many values.
     """
-    hot = (
-        rows.where(has_key(key))
-        .groupBy(F.col(key).alias(_KEY))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > hot_rows)
-        .orderBy(F.desc("__n"), _KEY)
-        .limit(HOT_KEYS)
-        .select(_KEY, F.ceil(F.col("__n") / hot_rows).cast("int").alias(_SALTS))
-    )
+    hot = hot_keys(rows, key, hot_rows)
     salts = F.when(F.col(_KEY).isNull(), _SPREAD).otherwise(F.coalesce(_SALTS, F.lit(1)))
     keyed = rows.withColumn(_KEY, usable_key(key))
     left = keyed.join(F.broadcast(hot), _KEY, "left").withColumn(_SALT, F.pmod(F.xxhash64(spread), salts))

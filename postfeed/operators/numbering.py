@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postfeed.session import scratch_path, spread
+from postfeed.session import scratch_path
 
 # Consecutive batches whose running total one task computes.
 BATCHES_PER_GROUP = 65_536
@@ -18,6 +18,7 @@ BATCHES_PER_GROUP = 65_536
 def row_numbers(df: DataFrame, order: str = "id", carry: Sequence[str] = ()) -> DataFrame:
     """``order``, the columns to ``carry`` and ``idx``, the 0-based position; ``order`` is unique.
 
+    This acts at once: the rows are sorted and written before the result is asked for.
     Only these columns are range-partitioned, sorted and written to the scratch folder with
     its place in its partition. The written places do not change when an executor is lost.
     Adding up the rows of earlier partitions then needs one row per partition.
@@ -29,7 +30,7 @@ def row_numbers(df: DataFrame, order: str = "id", carry: Sequence[str] = ()) ->
     placed.withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
     # monotonically_increasing_id holds the partition in its upper bits, the row in the lower 33.
     written = spark.read.schema(T.StructType([*slim.schema, T.StructField("place", T.LongType())])).parquet(path)
-    parts = spread(written).select(
+    parts = written.select(
         order, *carry, F.shiftright("place", 33).alias("part"), F.col("place").bitwiseAND((1 << 33) - 1).alias("row")
     )
     sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
@@ -68,8 +69,9 @@ def running_total(df: DataFrame, order: str, value: str, name: str) -> DataFrame
 
 
 def batch_outcomes(df: DataFrame, accepted: Column, size: int = 20) -> DataFrame:
-    """Per batch: rows, rows the sink accepts, and their running total."""
+    """Per batch: rows, rows the sink accepts, their running total, and the number of batches."""
     flags = df.select("id", accepted.alias("__ok"))
     numbered = batch_no(flags, size, carry=["__ok"]).groupBy("batch_no")
     per_batch = numbered.agg(F.count(F.lit(1)).alias("rows"), F.count_if("__ok").alias("inserted"))
+    per_batch = per_batch.withColumn("batches", F.ceil(flags.agg(F.count(F.lit(1))).scalar() / size).cast("bigint"))
     return running_total(per_batch, "batch_no", "inserted", "total_inserted")

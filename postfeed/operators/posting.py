@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.schema import MAX_LENGTHS, PUBLISHED, STAGING
+from postfeed.schema import MAX_BYTES, MAX_LENGTHS, PUBLISHED, STAGING
 
 
 def conform_schema(df: DataFrame, staging: bool = False) -> DataFrame:
@@ -25,29 +25,33 @@ def conform_all(snapshots: list[DataFrame], staging: bool = False) -> DataFrame:
     return reduce(DataFrame.unionByName, [conform_schema(s, staging) for s in snapshots])
 
 
-def _problems() -> dict[str, Column]:
+def _problems(text: str) -> dict[str, Column]:
     """By column, the reason the sink would reject a row; NULL if the column is fine."""
-    found = {
-        name: F.when(F.length(name) > width, F.concat(F.lit(f"{name}: longer than "), F.lit(str(width))))
-        for name, width in MAX_LENGTHS.items()
-    }
+    widths = [(c, F.length(c), w, "") for c, w in MAX_LENGTHS.items()]
+    widths += [(c, F.octet_length(c), MAX_BYTES[c], " bytes") for c in (text, "apply_url")]
+    found = {c: F.when(size > width, F.lit(f"{c}: longer than {width}{unit}")) for c, size, width, unit in widths}
     found["position"] = F.when(F.col("position").isNull(), F.lit("position: missing")).otherwise(found["position"])
     return found
 
 
-def rejections() -> Column:
-    """All reasons the sink would reject the row, as an array."""
-    return F.array_compact(F.array(*_problems().values()))
+def rejections(text: str = "job_description") -> Column:
+    """All reasons the sink would reject the row, as an array. ``text`` is the posting text's column."""
+    return F.array_compact(F.array(*_problems(text).values()))
 
 
-def sink_accepts() -> Column:
-    bad = [F.col("position").isNull()] + [F.coalesce(F.length(c) > w, F.lit(False)) for c, w in MAX_LENGTHS.items()]
-    return ~reduce(Column.__or__, bad)
+def sink_accepts(text: str = "job_description") -> Column:
+    return reduce(Column.__and__, [problem.isNull() for problem in _problems(text).values()])
+
+
+def fits_text(text: Column | str) -> Column:
+    """Whether a posting text fits its column."""
+    return F.octet_length(text) <= MAX_BYTES["description"]
 
 
 def schema_violations(df: DataFrame) -> DataFrame:
-    """One row per reason: ``id`` and ``problem``."""
-    return df.select("id", F.explode(rejections()).alias("problem"))
+    """One row per reason: ``id`` and ``problem``; for staging as for published rows."""
+    text = "job_description" if "job_description" in df.columns else "description"
+    return df.select("id", F.explode(rejections(text)).alias("problem"))
 
 
 def staging_to_published(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postfeed.functions.requests import client_ip, geo_struct, is_private_ip, log_json, log_record
 from postfeed.operators.keyed import HOT_ROWS, keyed_join
+from postfeed.session import fits_broadcast
 
 LOGGER = "postfeed"
 
@@ -16,11 +17,14 @@ def geo_enrich(
 ) -> DataFrame:
     """``log`` with ``geo``: NULL for private, blank and unknown addresses and failed lookups.
 
-    ``geo_dim`` holds one row per address. Spark broadcasts it while it is small; beyond that
-    the rows are shuffled, a busy address in several parts and private ones spread out.
+    ``geo_dim`` holds one row per address. While its known size is below the broadcast threshold, the log
+    is read once and not shuffled; beyond that its rows are shuffled, a busy address in several parts and
+    private ones spread out.
     """
     keyed = log.withColumn("__ip", F.when(~is_private_ip(ip), F.col(ip)))
     known = geo_dim.select(F.col("ip").alias("__ip"), geo_struct().alias("geo")).where("geo IS NOT NULL")
+    if fits_broadcast(known):
+        return keyed.join(known, "__ip", "left").select(*log.columns, "geo")
     return keyed_join(keyed, known, "__ip", "left", spread=spread, hot_rows=hot_rows).select(*log.columns, "geo")
 
 

@@ -15,7 +15,7 @@ from postfeed.functions.markup import format_posting
 from postfeed.functions.text import or_not_available, strip, truncate_text
 from postfeed.operators.keyed import HOT_ROWS
 from postfeed.operators.numbering import assign_ids
-from postfeed.operators.posting import default_timestamps, rejections, sample_rows, sink_accepts, staging_to_published
+from postfeed.operators.posting import default_timestamps, fits_text, rejections, sample_rows, sink_accepts, staging_to_published
 from postfeed.operators.sync import delete_rows, expired_postings, new_postings
 
 # Fixed value: the line between the instruction and the original text of a request.
@@ -100,7 +100,10 @@ def load_new(
     fresh = new_postings(fit.select("id", "partner_job_id"), published, hot_rows=hot_rows)
     ids = assign_ids(fresh, start)
     rows = staging_to_published(fit.join(ids, "id").drop("id").withColumnRenamed("new_id", "id"), keep=["id"])
-    return default_timestamps(rewrite_text(rows, rewriter, workers=workers), run_ts)
+    rewritten = rewrite_text(rows.withColumn("__given", F.col("description")), rewriter, workers=workers)
+    # A rewritten text can be longer than its column; the given one fits.
+    kept = F.when(fits_text("description") | F.col("description").isNull(), F.col("description")).otherwise(F.col("__given"))
+    return default_timestamps(rewritten.withColumn("description", kept).drop("__given"), run_ts)
 
 
 def sync(

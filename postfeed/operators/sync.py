@@ -131,12 +131,14 @@ def examples(df: DataFrame, n: int = 5, order: str = "id") -> DataFrame:
 
 
 def expired_details(expired: DataFrame, n: int = 5) -> DataFrame:
-    """The full entry of the first expired rows, with N/A for blanks."""
+    """The full entry of the first expired rows, with N/A for blanks and the number of rows left out."""
+    more = F.greatest(expired.agg(F.count(F.lit(1))).scalar() - n, F.lit(0))
     return examples(expired, n).select(
         "id",
         KEY,
         *[or_not_available(c).alias(c) for c in ("position", "company", "location")],
         F.coalesce(F.col("created_at").cast("string"), F.lit(NOT_AVAILABLE)).alias("created_at"),
+        more.alias("more"),
     )
 
 

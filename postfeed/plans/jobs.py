@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from postfeed.operators.dedup import duplicates_to_remove
 from postfeed.operators.keyed import HOT_ROWS, key_set
+from postfeed.operators.posting import rejections
 from postfeed.operators.rewrite import RewriterFactory, load_new, next_id, rejected_new
 from postfeed.operators.sync import delete_rows, expired_postings, reconcile
 from postfeed.session import materialise
@@ -60,14 +61,14 @@ def run_sync(
     gone = expired_postings(published.select("id", "partner_job_id"), staging, hot_rows=hot_rows).select("id")
     gone = materialise(gone, "expired")
     known = materialise(key_set(published), "published-keys")
-    refused = materialise(rejected_new(staging, known, hot_rows), "rejected")
+    listed = materialise(rejected_new(staging, known, hot_rows).select("id"), "rejected")
     new = load_new(staging, known, now, next_id(published), rewriter, workers, hot_rows)
     delete_rows(published, gone).unionByName(new).write.mode("overwrite").parquet(out)
     if rejected_out:
-        refused.write.mode("overwrite").parquet(rejected_out)
+        staging.join(listed, "id").withColumn("reasons", rejections()).write.mode("overwrite").parquet(rejected_out)
     result = read_published(spark, out)
     check = reconcile(staging, result).first()
-    expired, rejected = gone.count(), refused.count()
+    expired, rejected = gone.count(), listed.count()
     processed = check.published_rows - (published.count() - expired)
     return SyncResult(expired, processed + rejected, processed, rejected, check.all_published, check.missing_keys)
 
@@ -81,5 +82,5 @@ def run_dedup(spark: SparkSession, published: DataFrame, out: str) -> DedupResul
     return DedupResult(total, total - removed, removed, read_published(spark, out).count())
 
 
-def run_feed(published: DataFrame, out: str, now: datetime, ordered: bool = False, **options: str) -> None:
+def run_feed(published: DataFrame, out: str, now: datetime, ordered: bool = True, **options: str) -> None:
     write_feed(published, out, now, ordered, **options)

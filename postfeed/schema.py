@@ -53,6 +53,9 @@ MAX_LENGTHS = {
     "jobtype": 50,
 }
 
+# Widths in bytes of the long text columns, under their published and staging names.
+MAX_BYTES = {"description": 65_535, "job_description": 65_535, "apply_url": 65_535}
+
 GEO_DIM = T.StructType(
     [
         T.StructField("ip", _STR),

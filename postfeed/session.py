@@ -62,11 +62,25 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if splits < min(cores, MAX_SPLITS + 1) else df
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's size of the table is below the broadcast threshold."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this package made below the scratch folder."""
+    if not path.startswith(f"{scratch_root(spark)}/postfeed/"):
+        raise ValueError(f"{path} is not a scratch folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """The DataFrame as a table in the scratch folder.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,12 +43,12 @@ def feed_lines(df: DataFrame, now: datetime) -> DataFrame:
     return head.unionAll(jobs).unionAll(tail)
 
 
-def write_feed(df: DataFrame, path: str, now: datetime, ordered: bool = False, **options: str) -> None:
+def write_feed(df: DataFrame, path: str, now: datetime, ordered: bool = True, **options: str) -> None:
     """Write the feed below ``path``: its parts in path order are the document.
 
-    Jobs follow the scan order, so nothing is shuffled. ``ordered`` sorts them by id: the raw
-    columns are range-partitioned first and rendered after, as rendered text is larger and
-    sampling the ranges would render it twice.
+    Jobs are in order of id: the raw columns are range-partitioned first and rendered after, as rendered
+    text is larger and sampling the ranges would render it twice. Without ``ordered`` nothing is shuffled and
+    jobs stand as they are scanned, which is not the order of the table's files.
     """
     spark = df.sparkSession
     head = feed_build_date(df, now).select(feed_head(F.col("build_date")))
@@ -60,6 +61,19 @@ def write_feed(df: DataFrame, path: str, now: datetime, ordered: bool = False, *
         part.write.mode("overwrite").options(**options).text(f"{path}/{_FOLDERS[section]}")
 
 
+def feed_order(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """``place`` in the document, from 1, and ``found``, what the pattern's group matches once in each job.
+
+    Parts are read whole, in the order of their names; only their sizes meet in one task.
+    """
+    parts = spark.read.text(f"{path}/{_FOLDERS[JOBS]}", wholetext=True)
+    found = parts.select(F.col("_metadata.file_name").alias("part"), F.posexplode(F.regexp_extract_all("value", F.lit(pattern), F.lit(1))).alias("pos", "found"))
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    sizes = found.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return found.join(starts, "part").select((F.col("start") + F.col("pos") + 1).alias("place"), "found")
+
+
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
     """The jobs of a written feed, one text column per child element."""
     jobs = (

@@ -38,7 +38,11 @@ def read_jdbc(
     staging: bool = False,
     **options: str,
 ) -> DataFrame:
-    """A posting table in a database, read in parallel id ranges between ``lower`` and ``upper``."""
+    """A posting table in a database, read in parallel id ranges between ``lower`` and ``upper``.
+
+    Every use reads the database again. Write the rows as a snapshot before comparing or numbering them, so
+    that all steps see the same.
+    """
     df = spark.read.jdbc(
         url,
         table,
@@ -61,13 +65,26 @@ def append_postings(df: DataFrame, path: str) -> None:
     conform_schema(df).write.mode("append").parquet(path)
 
 
+def _root_paths(df: DataFrame) -> list[str]:
+    """The folders and files that a DataFrame's file scans were given; not the files below them."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found = []
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and hasattr(leaf.relation(), "location"):
+            roots = leaf.relation().location().rootPaths()
+            found += [roots.apply(i).toString() for i in range(roots.size())]
+    return found
+
+
 def refuse_own_input(path: str, *sources: DataFrame) -> None:
-    """Raise if a source reads files below ``path``: overwriting it would lose them half way."""
+    """Raise if a source reads at, below or around ``path``: overwriting it would lose rows half way."""
     spark = sources[0].sparkSession
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     target = urlparse(hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop_path).toString())
-    for file in (urlparse(f) for source in sources for f in source.inputFiles()):
-        if file.scheme == target.scheme and file.netloc == target.netloc and file.path.startswith(f"{target.path}/"):
+    for root in (urlparse(p) for source in sources for p in _root_paths(source)):
+        same = root.scheme == target.scheme and root.netloc == target.netloc
+        below, above = f"{root.path}/".startswith(f"{target.path}/"), f"{target.path}/".startswith(f"{root.path}/")
+        if same and (below or above):
             raise ValueError(f"cannot overwrite {path}, it is being read")
 
 

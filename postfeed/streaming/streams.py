@@ -17,7 +17,7 @@ from postfeed.operators.requests import log_lines, request_records
 from postfeed.operators.rewrite import RewriterFactory, load_new, rejected_new
 from postfeed.operators.sync import progress
 from postfeed.schema import PUBLISHED
-from postfeed.session import materialise, path_exists, spread
+from postfeed.session import drop_scratch, path_exists, scratch_path
 from postfeed.sources.tables import read_published
 
 WATCH_INTERVAL = "5 seconds"
@@ -45,11 +45,13 @@ def stream_sync(
     workers: int = 1,
     hot_rows: int = HOT_ROWS,
     trigger: dict | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Append the new rows among arriving staging rows to ``run_dir``/postings.
 
     The published keys are frozen when the run starts, so two rows with the same new key both
-    pass, as in the batch job, and a restart with the same ``run_dir`` sees the same keys.
+    pass, as in the batch job, and a restart with the same ``run_dir`` sees the same keys. ``prepare``
+    may deal a batch of few files out over more tasks.
     """
     spark = staging.sparkSession
     keys = _write_once(key_set(published), f"{run_dir}/published_keys")
@@ -59,19 +61,23 @@ def stream_sync(
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = spread(batch)
+        # Kept while the batch is handled: its files are read once.
+        batch = (prepare(batch) if prepare else batch).persist()
+        scratch = scratch_path(spark, "sync-batch")
         before = f"{run_dir}/next_id/batch_id={batch_id - 1}"
         start = spark.read.parquet(before).first()[0] if batch_id else first
         # The batch's keys are written first, so their size is known: while they are few they are
         # broadcast to the frozen keys, which are then scanned without being shuffled.
-        asked = materialise(key_set(batch), "batch-keys")
-        known = materialise(keys.join(asked, "partner_job_id", "left_semi"), "known-keys")
+        asked = _write_once(key_set(batch), f"{scratch}/asked")
+        known = _write_once(keys.join(asked, "partner_job_id", "left_semi"), f"{scratch}/known")
         target = f"{run_dir}/postings/batch_id={batch_id}"
         load_new(batch, known, now, start, rewriter, workers, hot_rows).write.mode("overwrite").parquet(target)
         refused = rejected_new(batch, known, hot_rows)
         refused.write.mode("overwrite").parquet(f"{run_dir}/rejected/batch_id={batch_id}")
         after = read_published(spark, target).agg((F.count(F.lit(1)) + start).alias("id"))
         after.write.mode("overwrite").parquet(f"{run_dir}/next_id/batch_id={batch_id}")
+        batch.unpersist()
+        drop_scratch(spark, scratch)
 
     return _start(staging, run_dir, handle, trigger)
 
@@ -89,11 +95,12 @@ def stream_access_log(
     mask: bool = True,
     hot_rows: int = HOT_ROWS,
     trigger: dict | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Write arriving requests as JSON lines to ``run_dir``/log."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        lines = log_lines(request_records(spread(batch), geo_dim, mask, hot_rows=hot_rows)).select("line")
+        lines = log_lines(request_records(prepare(batch) if prepare else batch, geo_dim, mask, hot_rows=hot_rows)).select("line")
         lines.write.mode("overwrite").text(f"{run_dir}/log/batch_id={batch_id}")
 
     return _start(requests, run_dir, handle, trigger)

@@ -5,8 +5,10 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import TABLES, rows_of
+from postfeed.catalog.oracles import all_oracles as oracle_sql
+from postfeed.catalog.queries import all_queries as queries
 
 SF_DIR = "/root/testdata/sf0.001"
 

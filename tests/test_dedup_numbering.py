@@ -74,7 +74,7 @@ def test_running_total_across_groups(spark, monkeypatch):
 def test_batch_outcomes_count_rejected_rows(spark):
     rows = spark.range(45)
     got = numbering.batch_outcomes(rows, F.col("id") != 3, 20).orderBy("batch_no").collect()
-    assert [tuple(r) for r in got] == [(1, 20, 19, 19), (2, 20, 20, 39), (3, 5, 5, 44)]
+    assert [tuple(r) for r in got] == [(1, 20, 19, 3, 19), (2, 20, 20, 3, 39), (3, 5, 5, 3, 44)]
 
 
 def test_progress_delta_starts_from_zero_in_each_run(spark):

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from conftest import NOW
 from pyspark.sql import functions as F
@@ -148,11 +150,13 @@ def test_violations(staging):
         {"id": 2, "position": None, "company": "x" * 256},
         {"id": 3, "position": "x" * 256, "jobtype": "y" * 50},
         {"id": 4, "jobtype": "y" * 51, "partner_job_id": "è" * 255},
+        {"id": 5, "job_description": "è" * 32_768, "apply_url": "u" * 65_535},
+        {"id": 6, "job_description": "x" * 65_535, "apply_url": "u" * 65_536},
     )
     got = sorted((r.id, r.problem) for r in schema_violations(rows).collect())
     assert got == [
         (2, "company: longer than 255"), (2, "position: missing"), (3, "position: longer than 255"),
-        (4, "jobtype: longer than 50"),
+        (4, "jobtype: longer than 50"), (5, "job_description: longer than 65535 bytes"), (6, "apply_url: longer than 65535 bytes"),
     ]
     assert [r.id for r in rows.where(sink_accepts()).collect()] == [1]
 
@@ -192,3 +196,59 @@ def test_preview_shows_the_first_row_in_full(staging):
     shown = {r.id: r for r in rewrite.preview_pairs(rows).collect()}
     assert len(shown) == 10 and len(shown[1].original) == 900
     assert shown[2].improved == "x" * 800 + "... [troncato]" and shown[2].company == "N/A"
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("a<br><br><br><br>b", "a<br><br>b"),
+        ("a<br>b", "a<br>b"),
+        ("<p>a</p><br><BR/><br >text", "<p>a</p><br><br>text"),
+        ("<p>a</p> <br>text", "<p>a</p> <br><br>text"),
+        ("text<br> <p>a</p>", "text<br><br> <p>a</p>"),
+        ("<p>a</p><p>b</p>", "<p>a</p><br><br><p>b</p>"),
+    ],
+)
+def test_every_run_of_breaks(one, html, expected):
+    assert one(markup.paragraph_breaks("v"), v=html) == expected
+    assert one(markup.paragraph_breaks("v"), v=expected) == expected
+    assert one(markup.breaks_ok("v"), v=expected)
+    assert one(markup.breaks_ok("v"), v=html) == (html == expected)
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("a<script>b", "a<script>b"),
+        ("<!-- <script> --> x </script> <script>y</script>z<!-- open", " x </script> z<!-- open"),
+        ("<STYLE a>p</Style ><script>1<!--</script>-->", "-->"),
+    ],
+)
+def test_hidden_parts_that_stay_open(one, html, expected):
+    assert one(markup.drop_hidden("v"), v=html) == expected
+
+
+def test_a_text_that_formatting_makes_too_long_stays_as_given(staging, published):
+    text = "<h1>" * 10_000
+    loaded = rewrite.load_new(staging({"id": 1, "job_description": text}), published(), F.lit("2024-01-08").cast("timestamp_ntz"), 1)
+    assert loaded.first().description == text
+
+
+def test_no_text_ends_or_stops_a_job(spark, tmp_path, staging, published):
+    """Long runs of what once took the stack or squared time, read from files, through every rule."""
+    parts = ["<br>", "<script>", "<!--", "<style>", "Questa opportunità è disponibile su ", "Riassunto dell'opportunità da parte della <i>"]
+    texts = [part * (800_000 // len(part)) for part in parts] + ["<script>" * 50_000 + "-->" + "<!--" * 50_000 + "</script"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    df.write.parquet(f"{tmp_path}/rows")
+    given = spark.read.schema(df.schema).parquet(f"{tmp_path}/rows")
+    started = time.monotonic()
+    rewrite.rewrite_text(given, column="t").write.parquet(f"{tmp_path}/new")
+    new = spark.read.schema(df.schema).parquet(f"{tmp_path}/new")
+    assert new.where("t IS NOT NULL").count() == len(texts)
+    pairs = given.withColumnRenamed("t", "before").join(new.withColumnRenamed("t", "after"), "id")
+    assert {r.breaks_ok for r in reports.conformance_rows(pairs, "before", "after").collect()} == {True}
+    assert given.select(markup.posting_parts("t").alias("p")).where("p.company IS NULL").count() == len(texts)
+    assert time.monotonic() - started < 2 * 3 * len(texts) + 20
+    breaks = staging({"id": 1, "job_description": "<br>" * 16_000}, {"id": 2, "job_description": "</p>" + "<br>" * 16_000})
+    loaded = rewrite.load_new(breaks, published(), F.lit(NOW.isoformat(sep=" ")).cast("timestamp_ntz"), 1)
+    assert sorted(r.description for r in loaded.collect()) == ["</p><br><br>", "<br><br>"]

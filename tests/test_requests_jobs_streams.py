@@ -94,6 +94,21 @@ def geo(spark):
     return spark.createDataFrame(rows, GEO_DIM)
 
 
+def test_geo_of_a_large_dimension_is_the_same(spark, log, geo, tmp_path):
+    geo.write.parquet(f"{tmp_path}/geo")
+    geo = spark.read.schema(geo.schema).parquet(f"{tmp_path}/geo")
+    addressed = log.select("event_id", requests.client_ip("x_forwarded_for", "x_real_ip", "peer_ip").alias("client_ip"))
+    near = requests.geo_enrich(addressed, geo)
+    assert near._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        far = requests.geo_enrich(addressed, geo, hot_rows=1)
+        assert far._jdf.queryExecution().optimizedPlan().toString().count("Join") > 1
+        assert sorted(map(str, far.collect())) == sorted(map(str, near.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_records_and_lines(spark, log, geo, tmp_path):
     records = requests.request_records(log, geo, mask=False)
     accesslog.write_access_log(records, str(tmp_path / "log"))

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from postfeed.operators import sync
-from postfeed.operators.keyed import key_set, keyed_join
+from postfeed.functions.text import percent
+from postfeed.operators.keyed import hot_keys, key_set, keyed_join
 
 
 def ids(df):
@@ -62,6 +63,27 @@ def test_progress(staging, published):
     assert eighth.percentage == 12.2  # 12.25, half to even
 
 
+def test_percent_is_what_formatting_to_one_decimal_gives(spark):
+    ratios = [(i, n) for n in (7, 160, 400, 2000) for i in range(0, n + 3)] + [(5, 0), (30_000, 7)]
+    df = spark.createDataFrame(ratios, "i long, n long").select("i", "n", percent(F.col("i"), F.col("n")).alias("p"))
+    assert [(r.i, r.n) for r in df.collect() if r.p != (float(f"{r.i / r.n * 100:.1f}") if r.n else 0.0)] == []
+
+
+def test_expired_examples_say_how_many_more(published, staging):
+    rows = published(*[{"id": i, "partner_job_id": f"k{i}"} for i in range(8)])
+    shown = sync.expired_details(sync.expired_postings(rows, staging({"id": 1, "partner_job_id": "x"}))).collect()
+    assert [(r.id, r.more) for r in shown] == [(i, 3) for i in range(5)]
+
+
+def test_every_one_of_many_hot_keys_is_salted(spark):
+    rows = spark.range(60_000).select("id", (F.col("id") % 3000).cast("string").alias("k"))
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        assert hot_keys(rows, "k", hot_rows=10).where("__salts > 1").count() == 3000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_missing_examples(staging, published):
     s = staging(*[{"id": i, "partner_job_id": f"k{i:02d}"} for i in range(13)])
     shown = sync.missing_examples(sync.missing_keys(s, published())).collect()
