@@ -217,7 +217,8 @@ def class_links(classes: DataFrame, source: DataFrame, block: int = BLOCK) -> Da
     leaders = leaders.where("n > 1").select("key", F.col("lead.node").alias("leader"))
     family = written(prefix.join(leaders, "key").select("leader", "node").distinct(), "family")
     wanted = family.select(F.col("node").alias("doc_id")).distinct()
-    payload = source.where("doc_id IS NOT NULL").join(wanted, "doc_id", "left_semi").mapInArrow(_payload, PAYLOAD)
+    # The list of candidates grows with the input, so it is merged with the texts at every size.
+    payload = source.where("doc_id IS NOT NULL").join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(_payload, PAYLOAD)
     return family_links(family, written(payload, "payload"), block)
 
 
