@@ -13,5 +13,45 @@ FROM norm n JOIN groups g ON n.t = g.t
 """
 
 
+OP3 = """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS size
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.95
+), reach AS (
+  SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.r = links.a
+), roots AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+FROM embeddings e JOIN roots r ON r.vec_id = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
+"""
+
+# Shingles are compared as text; a word holds no blank, so joined words are equal only if the words are.
+OP5 = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\x09-\\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0) t
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+sets AS (SELECT doc_id, md5(string_agg(s, chr(10) ORDER BY s)) AS whole FROM shingles GROUP BY doc_id),
+classes AS (SELECT whole, min(doc_id) AS node FROM sets GROUP BY whole),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  WHERE a.doc_id IN (SELECT node FROM classes) AND b.doc_id IN (SELECT node FROM classes) GROUP BY ALL
+), linked AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)
+), links AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach AS (SELECT node, node AS r FROM classes UNION SELECT reach.node, links.b FROM reach JOIN links ON reach.r = links.a),
+roots AS (SELECT node, min(r) AS component_id FROM reach GROUP BY node)
+SELECT w.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(r.component_id, w.doc_id) AS component_id, w.doc_id = coalesce(r.component_id, w.doc_id) AS kept
+FROM words w LEFT JOIN sizes z ON z.doc_id = w.doc_id LEFT JOIN sets s ON s.doc_id = w.doc_id
+LEFT JOIN classes c ON c.whole = s.whole LEFT JOIN roots r ON r.node = c.node
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7}
+    return {"op3_near_vectors": OP3, "op5_minhash": OP5, "op7_exact_dedup": OP7}
