@@ -235,6 +235,19 @@ def _classed(frequent, of):
     return run
 
 
+def listed_from(vocabulary: DataFrame, most: int) -> int:
+    """The count from which on there are at most ``most`` words, found from a histogram of bounded size."""
+    step = F.floor(F.log2("n") * 16).cast("int").alias("step")
+    steps = vocabulary.groupBy(step).agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("words")).collect()
+    total, least = 0, 1 << 62
+    for row in sorted(steps, key=lambda r: -r["step"]):
+        total += row["words"]
+        if total > most:
+            break
+        least = row["least"]
+    return least
+
+
 def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent_words: int = FREQUENT) -> DataFrame:
     """One row per row of ``documents``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -250,8 +263,9 @@ def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     trained = F.col("doc_id").isNull() | (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != HELD_OUT)
     ends = source.where(trained).count()
     words, types = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    # A list of frequent_words entries at most.
-    top = vocabulary.orderBy(F.desc("n"), "word").limit(frequent_words).collect()
+    least = listed_from(vocabulary, frequent_words)
+    # A list of frequent_words entries at most, all tasks together.
+    top = sorted(vocabulary.where(F.col("n") >= least).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
     listed = [bytes(r["word"]) for r in top]
     units = np.array([i if i < OWN else ending(w) for i, w in enumerate(listed)], dtype=np.int64)
     frequent = spark.sparkContext.broadcast(({w: i for i, w in enumerate(listed)}, np.array([r["n"] for r in top], dtype=np.int64), units))
@@ -272,8 +286,7 @@ def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     model = Model(of, transitions, emission, int(words) + ends, int(types) + (ends > 0), ends)
     kinds = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word binary, n long, class long"
     parts = written(source.mapInArrow(_partial(frequent, model), kinds), "partial")
-    # Words outside the list are no more frequent than its last one.
-    tail = vocabulary.where(F.col("n") <= (int(top[-1]["n"]) if top else 0))
+    tail = vocabulary.where(F.col("n") < least)
     divisor = F.element_at(F.array(*[F.lit(float(x)) for x in emission]), (F.col("class") + 1).cast("int"))
     rare = parts.where("word IS NOT NULL").select("row", "word", F.col("n").alias("times"), "class").join(tail.select("word", "n"), "word", "left")
     count = F.coalesce("n", F.lit(0))
