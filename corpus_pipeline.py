@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import table, written
+from postfeed.llm.common import settled, table, written
 from postfeed.llm.exact_dedup import exact_duplicates
 from postfeed.llm.minhash import near_duplicates
 from postfeed.llm.packing import pack_documents
@@ -35,15 +35,16 @@ def _numbered(docs: DataFrame) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id."""
     rows = _numbered(docs)
-    dropped = exact_duplicates(rows, row_col="__row").where("NOT kept").select("__row")
-    return rows.join(written(dropped, "dropped"), "__row", "left_anti").select(*COLUMNS)
+    dropped = settled(spark, "dropped", lambda: exact_duplicates(rows, row_col="__row").where("NOT kept").select("__row"))
+    return rows.join(dropped, "__row", "left_anti").select(*COLUMNS)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
-    rows = _numbered(docs)
-    dropped = near_duplicates(rows, row_col="__row").where("NOT kept").select("__row")
-    return rows.join(written(dropped, "dropped"), "__row", "left_anti").select(*COLUMNS)
+    # Rows that share an id and a text stay or go together, so a hash of the text tells rows of one id apart.
+    rows = docs.select(*COLUMNS).withColumn("__text", F.xxhash64("text"))
+    dropped = settled(spark, "dropped", lambda: near_duplicates(rows, row_col="__text").where("NOT kept").select("doc_id", "__text"))
+    return rows.join(dropped, ["doc_id", "__text"], "left_anti").select(*COLUMNS)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

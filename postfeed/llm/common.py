@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from postfeed.session import scratch_path
+from postfeed.session import drop_scratch, scratch_path
 
 # Words in a shingle, and the similarity from which texts count as near-duplicates, in hundredths.
 SHINGLE_WORDS = 5
@@ -27,9 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Scratch tables written while a result is settled, innermost last.
+_open: list[list[str]] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The DataFrame as a table in the shared scratch folder: computed once, safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
+    if _open:
+        _open[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -47,6 +53,22 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[
             start = stop
 
 
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns as a written table; the scratch tables it took on the way are deleted."""
+    _open.append([])
+    try:
+        result = make()
+        path = scratch_path(spark, name)
+        result.write.option("compression", "zstd").parquet(path)
+    finally:
+        taken = _open.pop()
+    for table_path in taken:
+        drop_scratch(spark, table_path)
+    if _open:
+        _open[-1].append(path)
+    return spark.read.schema(result.schema).parquet(path)
+
+
 class _Codes(dict):
     """Numbers keys in the order they are first asked for."""
 

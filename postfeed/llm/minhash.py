@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import SIMILARITY, binary, fingerprint, grouped, lower_words, ragged_binary, shingle_sets, slices, word_hashes, written
+from postfeed.llm.common import SIMILARITY, binary, fingerprint, grouped, lower_words, ragged_binary, settled, shingle_sets, slices, word_hashes, written
 from postfeed.llm.graph import components
 
 # Coordinates of a signature, and how many must agree for a pair to be confirmed. A pair of similarity
@@ -196,8 +196,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     ids = keyed.groupBy("print").agg(F.min("doc_id").alias("node"))
     signs = keyed.where("sign IS NOT NULL").groupBy("print").agg(F.max("sign").alias("sign"))
     classes = written(ids.join(signs, "print"), "classes")
-    links = class_links(classes, source, block)
-    root = components(links).withColumnRenamed("root", "component")
+    root = settled(documents.sparkSession, "roots", lambda: components(class_links(classes, source, block)))
+    root = root.withColumnRenamed("root", "component")
     named = classes.select("print", "node").join(root, "node", "left").select("print", F.coalesce("component", "node").alias("component"))
     out = rows.select("row", "doc_id", "n_shingles", "print").join(named, "print", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import SHINGLE_WORDS, SIMILARITY, _Codes, binary, mix, ragged_binary, run_hashes, slices, word_hashes, written
+from postfeed.llm.common import SHINGLE_WORDS, SIMILARITY, _Codes, binary, mix, ragged_binary, run_hashes, settled, slices, word_hashes, written
 from postfeed.llm.graph import components
 from postfeed.llm.minhash import PAYLOAD, family_links, signatures
 
@@ -285,8 +285,9 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
     rows = documents.select(*kept, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("print", F.xxhash64("text"))
     source = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").alias("doc"), "print", "text")
-    spans = repeated_spans(source).groupBy(F.col("doc").alias("doc_id"), "print").agg(F.sort_array(F.collect_set(F.struct("start", "words"))).alias("spans"))
-    joined = rows.join(written(spans, "spans").hint("merge"), ["doc_id", "print"], "left")
+    by_text = F.sort_array(F.collect_set(F.struct("start", "words"))).alias("spans")
+    spans = settled(documents.sparkSession, "spans", lambda: repeated_spans(source).groupBy(F.col("doc").alias("doc_id"), "print").agg(by_text))
+    joined = rows.join(spans.hint("merge"), ["doc_id", "print"], "left")
     width = len(keep) + 1
     ordered = joined.select(*[f"__keep_{k}" for k in range(len(keep))], "doc_id", "text", "spans")
     kinds = [f"__keep_{k} {ordered.schema[k].dataType.simpleString()}" for k in range(len(keep))]
