@@ -1,8 +1,10 @@
 """Language-model scoring with Brown class n-grams.
 
 Words get classes by exchange clustering; a text's probability is the product of class transitions and of
-each word's emission from its class. Counts come from all training texts. Frequent words travel to the tasks,
-a list of bounded length; the counts of all other words are joined.
+each word's emission from its class. Counts come from all training texts. A first clustering of the most
+frequent words and of groups by ending gives every word a class to start from; then each sweep counts, for every
+training word, the classes beside it and moves the word to its best class. Frequent words travel to the tasks,
+a list of bounded length; the counts and classes of all other words are joined.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import lower_words, slices, written
+from postfeed.llm.common import lower_words, ragged_binary, slices, written
 
 # Remainder of crc32(id as text) modulo FOLDS that marks rows the model never learns from.
 FOLDS, HELD_OUT = 5, 1
@@ -25,13 +27,17 @@ FOLDS, HELD_OUT = 5, 1
 # The most frequent words, whose counts travel to the tasks; the rest is joined, whatever its number.
 FREQUENT = 1 << 17
 
-# Words that are clustered one by one, and groups by ending in which all other words are clustered.
+# Words that start with a class of their own choice, and groups by ending from which all other words start.
 OWN, ENDINGS = 320, 191
 
-# Classes besides that of the text's end, sweeps of the exchange, and what is added to counts.
-CLASSES, SWEEPS = 40, 6
+# Least classes besides that of the text's end, sweeps of the exchange over the units and over all words, and
+# what is added to counts.
+CLASSES, SWEEPS, WORD_SWEEPS = 40, 6, 4
 ADD_TRANSITION, ADD_WORD = 0.5, 0.5
 
+# Cells of a product of word profiles and class table that a task holds.
+CELLS = 1 << 22
+
 # Distinct words that a task counts before it sends them on.
 SEND = 400_000
 
@@ -39,6 +45,10 @@ SEND = 400_000
 UNITS = OWN + ENDINGS + 1
 END = UNITS - 1
 
+# Numbers of words: the place in the list, from TAIL on a hash of a word outside it, END_ID for the end.
+# Lower numbers are cells of the units' table.
+TAIL, END_ID = 1 << 61, -1
+
 
 def learns(doc_id: int | None) -> bool:
     """Whether the row is a training row; a null id is."""
@@ -46,10 +56,15 @@ def learns(doc_id: int | None) -> bool:
 
 
 def ending(word: bytes) -> int:
-    """The unit of a word that is not clustered by itself."""
+    """The unit from which a word starts that has none by itself; words never trained on keep its class."""
     return OWN + xxhash.xxh64_intdigest(word[-3:]) % ENDINGS
 
 
+def classes_for(types: int) -> int:
+    """The number of classes besides that of the end, which grows with the vocabulary."""
+    return max(CLASSES, round(types ** (1 / 3)))
+
+
 def _counted(batches):
     counts: dict[bytes, int] = {}
 
@@ -84,6 +99,13 @@ class Frequent:
             unit[i] = ending(words[i])
         return at, unit
 
+    def numbers(self, words: list[bytes], at: np.ndarray) -> np.ndarray:
+        """The number of each word, given its index."""
+        out = at.copy()
+        for i in np.flatnonzero(at < 0):
+            out[i] = TAIL | xxhash.xxh64_intdigest(words[i]) >> 3
+        return out
+
 
 def _with_ends(offsets: np.ndarray, values: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Each text's values with an end after them, and the places of the ends."""
@@ -95,19 +117,50 @@ def _with_ends(offsets: np.ndarray, values: np.ndarray, end: int) -> tuple[np.nd
     return out, ends
 
 
+def _numbered(frequent):
+    """Number, count and starting unit of each word."""
+
+    def run(batches):
+        table = Frequent(*frequent.value)
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            at, unit = table.look_up(words)
+            yield pa.record_batch({"id": table.numbers(words, at), "n": batch.column("n"), "unit": unit})
+
+    return run
+
+
+def _folded(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    heads = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return a[heads], b[heads], np.add.reduceat(n[order], heads)
+
+
 def _pairs(frequent):
+    """Counts of neighbouring words by number, and of neighbouring units."""
+
     def run(batches):
         table, total = Frequent(*frequent.value), np.zeros(UNITS * UNITS, dtype=np.int64)
+        held, size = [], 0
         for part in slices(batches):
             mine = [i for i, d in enumerate(part.column("doc_id").to_pylist()) if learns(d)]
             if mine:
                 offsets, codes, words = lower_words(part.column("text").take(pa.array(mine, pa.int64())))
-                units = table.look_up(words)[1]
-                row, _ = _with_ends(offsets, units[codes] if len(codes) else codes, END)
-                before = np.concatenate([[END], row[:-1]])
-                total += np.bincount(before * UNITS + row, minlength=UNITS * UNITS)
+                at, unit = table.look_up(words)
+                number, unit, wide = np.append(table.numbers(words, at), END_ID), np.append(unit, END), len(words) + 1
+                row, _ = _with_ends(offsets, codes, len(words))
+                pair, times = np.unique(np.concatenate([[len(words)], row[:-1]]) * wide + row, return_counts=True)
+                total += np.bincount(unit[pair // wide] * UNITS + unit[pair % wide], weights=times, minlength=UNITS * UNITS).astype(np.int64)
+                held.append((number[pair // wide], number[pair % wide], times))
+                size += len(pair)
+            if size > 5 * SEND:
+                yield pa.record_batch([*map(pa.array, _folded(*map(np.concatenate, zip(*held))))], names=["a", "b", "n"])
+                held, size = [], 0
+        if held:
+            yield pa.record_batch([*map(pa.array, _folded(*map(np.concatenate, zip(*held))))], names=["a", "b", "n"])
         seen = np.flatnonzero(total)
-        yield pa.record_batch({"pair": seen.astype(np.int64), "n": total[seen]})
+        yield pa.record_batch({"a": END_ID - 1 - seen, "b": np.zeros(len(seen), np.int64), "n": total[seen]})
 
     return run
 
@@ -158,10 +211,141 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return of
 
 
+def _profiles(batches):
+    """One row per word from rows sorted by word and class: the class it has, the classes beside it and their counts."""
+
+    def packed(word, seen, n):
+        heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        rest = np.ones(len(word), bool)
+        rest[heads] = False
+        offsets = np.concatenate([[0], np.cumsum(np.diff(np.append(heads, len(word))) - 1)]).astype(np.int64)
+        arrays = [pa.array(word[heads]), pa.array(n[heads]), ragged_binary(offsets, seen[rest].astype(np.int64)), ragged_binary(offsets, n[rest])]
+        return pa.record_batch(arrays, names=["id", "class", "seen", "n"])
+
+    held = None
+    for batch in batches:
+        rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "seen", "n")]
+        if held is not None:
+            rows = [np.concatenate(x) for x in zip(held, rows)]
+        if len(rows[0]):
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            if cut:
+                yield packed(*(r[:cut] for r in rows))
+            held = [r[cut:] for r in rows]
+    if held is not None:
+        yield packed(*held)
+
+
+def _unpacked(batch: pa.RecordBatch):
+    """Classes of the words, then offsets, classes beside them and counts."""
+    seen = [np.frombuffer(x, dtype=np.int64) for x in batch.column("seen").to_pylist()]
+    n = np.frombuffer(b"".join(batch.column("n").to_pylist()), dtype=np.int64)
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in seen])]).astype(np.int64)
+    return batch.column("class").to_numpy(zero_copy_only=False), offsets, np.concatenate(seen), n
+
+
+def _table(k: int):
+    """Cells of the class table: what follows the words of each class."""
+
+    def run(batches):
+        total = np.zeros(k * k, dtype=np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                own, offsets, seen, n = _unpacked(batch)
+                after = seen < k
+                cells = np.repeat(own, np.diff(offsets))[after] * k + seen[after]
+                total += np.bincount(cells, weights=n[after], minlength=k * k).astype(np.int64)
+        cells = np.flatnonzero(total)
+        yield pa.record_batch({"cell": cells, "n": total[cells]})
+
+    return run
+
+
+def information(table: np.ndarray) -> float:
+    """What the likelihood of the training texts owes to the classes."""
+    return float(_log_sum(table).sum() - _log_sum(table.sum(axis=1)).sum() - _log_sum(table.sum(axis=0)).sum())
+
+
+def best_classes(own: np.ndarray, offsets: np.ndarray, seen: np.ndarray, n: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The class in which the neighbours of each word are likeliest; its own is measured without the word.
+
+    ``seen`` is the class after the word, or len(table) plus the class before it.
+    """
+    if not len(seen):
+        return own
+    k = len(table)
+    rows, cols = table.sum(axis=1), table.sum(axis=0)
+    beside = np.log(np.concatenate([table.T, table]) + ADD_TRANSITION)
+    divisor = np.log(rows + ADD_TRANSITION * k), np.log(cols + ADD_WORD)
+    # Sizes of the words, after and before: each of its tokens has one neighbour on either side.
+    word = np.repeat(np.arange(len(own)), np.diff(offsets))
+    size = np.bincount(word, weights=np.where(seen < k, n, 0), minlength=len(own))
+    home = own[word]
+    cell = np.where(seen < k, table[home, seen % k], table[seen % k, home])
+    stay = np.bincount(word, weights=n * np.log(cell - n + ADD_TRANSITION), minlength=len(own))
+    stay -= size * (np.log(np.maximum(rows[own] - size, 0) + ADD_TRANSITION * k) + np.log(np.maximum(cols[own] - size, 0) + ADD_WORD))
+    best = own.copy()
+    at = 0
+    while at < len(own):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CELLS // k, side="right")) - 1)
+        a, b = offsets[at], offsets[end]
+        gain = np.add.reduceat(n[a:b, None] * beside[seen[a:b]], offsets[at:end] - a, axis=0)
+        gain -= size[at:end, None] * (divisor[0] + divisor[1])
+        mine = np.arange(end - at), own[at:end]
+        gain[mine] = stay[at:end]
+        # A word stays where nothing is better; the class of the end is no word's.
+        to = gain[:, : k - 1].argmax(axis=1)
+        moves = (own[at:end] != k - 1) & (gain[np.arange(end - at), to] > stay[at:end] + 1e-9)
+        best[at:end] = np.where(moves, to, own[at:end])
+        at = end
+    return best
+
+
+def _moved(table: np.ndarray):
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.record_batch({"id": batch.column("id"), "class": best_classes(*_unpacked(batch), table)})
+
+    return run
+
+
+def exchange_words(pairs: DataFrame, classed: DataFrame, k: int, sweeps: int = WORD_SWEEPS) -> tuple[DataFrame, np.ndarray]:
+    """Exchange over all words, from the classes given: id and class of each word, and the class table.
+
+    ``pairs`` has the counts n of neighbouring words a and b, ``classed`` the id and class of every word and of the
+    end. A sweep takes every word to its best class at once and counts if it raises the information; the first
+    that does not ends the exchange.
+    """
+    best = None
+    for sweep in range(sweeps + 1):
+        listed, tail = F.broadcast(classed.where(F.col("id") < TAIL)), classed.where(F.col("id") >= TAIL)
+        beside = classed.select("id", F.lit(-1).cast("long").alias("seen"), F.col("class").alias("n"))
+        for word, other, side in (("a", "b", 0), ("b", "a", k)):
+            for rows, known in ((pairs.where(F.col(other) < TAIL), listed), (pairs.where(F.col(other) >= TAIL), tail)):
+                met = rows.join(known.withColumnRenamed("id", other), other)
+                beside = beside.unionByName(met.select(F.col(word).alias("id"), (F.col("class") + side).alias("seen"), "n"))
+        summed = beside.groupBy("id", "seen").agg(F.sum("n").alias("n"))
+        profiles = summed.repartition("id").sortWithinPartitions("id", "seen").mapInArrow(_profiles, "id long, class long, seen binary, n binary")
+        profiles = written(profiles, "profiles")
+        # One sum per pair of classes.
+        cells = profiles.mapInArrow(_table(k), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        table = np.zeros(k * k, dtype=np.int64)
+        table[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+        table = table.reshape(k, k)
+        if best is not None and information(table) <= information(best[1]):
+            break
+        best = classed, table
+        if sweep < sweeps:
+            classed = written(profiles.mapInArrow(_moved(table), "id long, class long"), "classes")
+    return best
+
+
 @dataclass
 class Model:
-    """Classes of units, logarithms of the transitions and, per class, what a word's count is divided by."""
+    """Classes of the listed words and of units, logarithms of the transitions and, per class, what a word's count is divided by."""
 
+    listed: np.ndarray
     of: np.ndarray
     transitions: np.ndarray
     emission: np.ndarray
@@ -174,8 +358,8 @@ class Model:
 
 
 def _partial(frequent, model):
-    """One row per document with all that the frequent words give, and one per document and other word."""
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "word", "n", "class"]
+    """One row per document with all that the listed words give, and one per document and pair with another word."""
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "a", "b", "times", "class_a", "class_b"]
 
     def run(batches):
         from pyspark import TaskContext
@@ -186,14 +370,19 @@ def _partial(frequent, model):
             ids = part.column("doc_id").to_pylist()
             offsets, codes, words = lower_words(part.column("text"))
             at, unit = table.look_up(words)
-            of = m.of[unit]
+            wide = len(words) + 1
+            # The end is the last word. Words outside the list have the class of their ending until they are joined.
+            of = np.append(np.where(at >= 0, m.listed[at] if len(m.listed) else 0, m.of[unit]), m.of[END]).astype(np.int64)
+            number = np.append(table.numbers(words, at), END_ID)
             counts = np.where(at >= 0, table.counts[at] if len(table.counts) else 0, 0)
             # What a word gives wherever it stands; words outside the list are left to the join.
             base = np.where(at >= 0, m.base(counts), 0.0)
-            emitted = np.where(at >= 0, np.log10((counts + ADD_WORD) / m.emission[of]), 0.0)
-            classes, ends = _with_ends(offsets, of[codes] if len(codes) else codes, m.of[END])
-            before = np.concatenate([[m.of[END]], classes[:-1]])
-            steps = m.transitions[before, classes]
+            emitted = np.where(at >= 0, np.log10((counts + ADD_WORD) / m.emission[of[:-1]]), 0.0)
+            after, ends = _with_ends(offsets, codes, len(words))
+            before = np.concatenate([[len(words)], after[:-1]])
+            there = number < TAIL
+            both = there[before] & there[after]
+            steps = np.where(both, m.transitions[of[before], of[after]], 0.0)
             firsts = np.concatenate([[0], ends[:-1] + 1])
             n = len(ids)
             owner = np.repeat(np.arange(n), np.diff(offsets))
@@ -205,32 +394,14 @@ def _partial(frequent, model):
             held = [not learns(d) for d in ids]
             rows = row + np.arange(n)
             row += n
-            nulls = pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())
-            yield pa.record_batch([pa.array(rows), part.column("doc_id"), pa.array(held), pa.array(size), pa.array(known), pa.array(bases), pa.array(score), *nulls], names=names)
-            rare = np.flatnonzero(at[codes] < 0) if len(codes) else np.empty(0, np.int64)
+            yield pa.record_batch([pa.array(rows), part.column("doc_id"), pa.array(held), pa.array(size), pa.array(known), pa.array(bases), pa.array(score), *[pa.nulls(n, pa.int64())] * 5], names=names)
+            rare = np.flatnonzero(~both)
             if len(rare):
-                pair, times = np.unique(owner[rare] * len(words) + codes[rare], return_counts=True)
-                which = pair % len(words)
-                k = len(pair)
+                owner = np.repeat(np.arange(n), size)[rare]
+                pair, times = np.unique((owner * wide + before[rare]) * wide + after[rare], return_counts=True)
+                a, b, k = pair // wide % wide, pair % wide, len(pair)
                 empty = [pa.nulls(k, t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                said = pa.array([words[w] for w in which], pa.binary())
-                yield pa.record_batch([pa.array(rows[pair // len(words)]), *empty, said, pa.array(times.astype(np.int64)), pa.array(of[which].astype(np.int64))], names=names)
-
-    return run
-
-
-def _classed(frequent, of):
-    """Tokens and types of each class in the vocabulary."""
-
-    def run(batches):
-        table = Frequent(*frequent.value)
-        tokens, types = np.zeros(CLASSES + 1, dtype=np.int64), np.zeros(CLASSES + 1, dtype=np.int64)
-        for batch in batches:
-            words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy(zero_copy_only=False)
-            cls = of[table.look_up(words)[1]]
-            tokens += np.bincount(cls, weights=n, minlength=CLASSES + 1).astype(np.int64)
-            types += np.bincount(cls, minlength=CLASSES + 1)
-        yield pa.record_batch({"class": np.arange(CLASSES + 1), "tokens": tokens, "types": types})
+                yield pa.record_batch([pa.array(rows[pair // wide // wide]), *empty, *map(pa.array, (number[a], number[b], times.astype(np.int64), of[a], of[b]))], names=names)
 
     return run
 
@@ -269,33 +440,47 @@ def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     listed = [bytes(r["word"]) for r in top]
     units = np.array([i if i < OWN else ending(w) for i, w in enumerate(listed)], dtype=np.int64)
     frequent = spark.sparkContext.broadcast(({w: i for i, w in enumerate(listed)}, np.array([r["n"] for r in top], dtype=np.int64), units))
+    counted = written(source.mapInArrow(_pairs(frequent), "a long, b long, n long"), "pairs")
     # UNITS * UNITS sums at most.
-    summed = source.mapInArrow(_pairs(frequent), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    pairs = np.zeros(UNITS * UNITS, dtype=np.int64)
-    pairs[summed.column("pair").to_numpy()] = summed.column("n").to_numpy()
-    pairs = pairs.reshape(UNITS, UNITS)
-    of = exchange(pairs)
-    k = CLASSES + 1
-    steps = np.zeros((k, k))
-    np.add.at(steps, (of[:, None], of[None, :]), pairs)
+    summed = counted.where(F.col("a") < END_ID).groupBy("a").agg(F.sum("n").alias("n")).toArrow()
+    cells = np.zeros(UNITS * UNITS, dtype=np.int64)
+    cells[END_ID - 1 - summed.column("a").to_numpy()] = summed.column("n").to_numpy()
+    classes = classes_for(int(types))
+    of = exchange(cells.reshape(UNITS, UNITS), classes)
+    k = classes + 1
+    numbered = written(vocabulary.mapInArrow(_numbered(frequent), "id long, n long, unit long"), "numbered")
+    start = F.element_at(F.array(*[F.lit(int(c)) for c in of]), (F.col("unit") + 1).cast("int")).cast("long")
+    the_end = spark.createDataFrame([(END_ID, classes)], "id long, class long")
+    classed, steps = exchange_words(counted.where(F.col("a") >= END_ID), numbered.select("id", start.alias("class")).unionByName(the_end), k)
     transitions = np.log10((steps + ADD_TRANSITION) / (steps.sum(axis=1, keepdims=True) + ADD_TRANSITION * k))
-    sums = vocabulary.mapInArrow(_classed(frequent, of), "class long, tokens long, types long").groupBy("class").agg(F.sum("tokens"), F.sum("types")).collect()
-    emission = np.full(k, ADD_WORD)
-    for cls, n, different in sums:
-        emission[cls] = n + ADD_WORD * (different + 1)
-    model = Model(of, transitions, emission, int(words) + ends, int(types) + (ends > 0), ends)
-    kinds = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word binary, n long, class long"
+    # Every training token follows one, so a class has as many as its column.
+    emission = steps.sum(axis=0) + ADD_WORD
+    for cls, different in classed.where(F.col("id") != END_ID).groupBy("class").count().collect():
+        emission[cls] += ADD_WORD * different
+    mine = np.zeros(len(listed), dtype=np.int64)
+    for i, cls in classed.where((F.col("id") >= 0) & (F.col("id") < TAIL)).collect():
+        mine[i] = cls
+    model = Model(mine, of, transitions, emission, int(words) + ends, int(types) + (ends > 0), ends)
+    kinds = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, a long, b long, times long, class_a long, class_b long"
     parts = written(source.mapInArrow(_partial(frequent, model), kinds), "partial")
-    tail = vocabulary.where(F.col("n") < least)
-    divisor = F.element_at(F.array(*[F.lit(float(x)) for x in emission]), (F.col("class") + 1).cast("int"))
-    rare = parts.where("word IS NOT NULL").select("row", "word", F.col("n").alias("times"), "class").join(tail.select("word", "n"), "word", "left")
-    count = F.coalesce("n", F.lit(0))
+    tail = numbered.where(F.col("id") >= TAIL).select("id", "n").join(classed, "id")
+    rare = parts.where("a IS NOT NULL").select("row", "a", "b", "times", "class_a", "class_b")
+    said = tail.select(F.col("id").alias("b"), "n", F.col("class").alias("joined_b"))
+    rare = rare.where(F.col("b") >= TAIL).join(said, "b", "left").unionByName(rare.where(F.col("b") < TAIL), allowMissingColumns=True)
+    said = tail.select(F.col("id").alias("a"), F.col("class").alias("joined_a"))
+    rare = rare.where(F.col("a") >= TAIL).join(said, "a", "left").unionByName(rare.where(F.col("a") < TAIL), allowMissingColumns=True)
+    # One row per pair of classes.
+    step = spark.createDataFrame([(i, j, float(transitions[i, j])) for i in range(k) for j in range(k)], "class_a long, class_b long, step double")
+    rare = rare.withColumn("class_a", F.coalesce("joined_a", "class_a")).withColumn("class_b", F.coalesce("joined_b", "class_b"))
+    rare = rare.join(F.broadcast(step), ["class_a", "class_b"])
+    divisor = F.element_at(F.array(*[F.lit(float(x)) for x in emission]), (F.col("class_b") + 1).cast("int"))
+    count, unlisted = F.coalesce("n", F.lit(0)), F.col("b") >= TAIL
     rare = rare.select(
-        "row", (F.when(F.col("n").isNull(), 0).otherwise(F.col("times"))).alias("n_known"),
-        (F.col("times") * F.log10((count + 0.5) / F.lit(model.tokens + 0.5 * (model.types + 1)))).alias("base"),
-        (F.col("times") * F.log10((count + ADD_WORD) / divisor)).alias("score"),
+        "row", F.when(F.col("n").isNull(), 0).otherwise(F.col("times")).alias("n_known"),
+        F.when(unlisted, F.col("times") * F.log10((count + 0.5) / F.lit(model.tokens + 0.5 * (model.types + 1)))).otherwise(0.0).alias("base"),
+        (F.col("times") * (F.col("step") + F.when(unlisted, F.log10((count + ADD_WORD) / divisor)).otherwise(0.0))).alias("score"),
     ).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_known", "base", "score")])
-    own = parts.where("word IS NULL").select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score")
+    own = parts.where("a IS NULL").select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score")
     more = rare.select("row", F.col("n_known").alias("k"), F.col("base").alias("b"), F.col("score").alias("s"))
     joined = own.join(more, "row", "left")
     add = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))

@@ -106,6 +106,21 @@ def test_exchange_finds_planted_classes():
     assert len({int(of[u]) for u in range(0, 60, 2)}) == 1 and of[0] != of[1]
 
 
+def test_rare_words_get_classes_of_their_own(spark):
+    """Words of one ending that stand in turn in two kinds of place: the kind is told for each, however many there are."""
+    rng = np.random.default_rng(5)
+    sides = [[f"{side}{i}ing" for i in range(700)] for side in "ab"]
+    rows = [(i, " ".join(rng.choice(sides[k % 2]) for k in range(200))) for i in range(300)]
+    got = brown.scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), frequent_words=500).collect()
+    mean = -sum(r.score for r in got) / sum(r.n_tokens for r in got)
+    # 700 words are possible at a place; 1,400 for who does not know its kind.
+    assert mean < math.log10(700) + 0.1
+
+
+def test_classes_grow_with_the_vocabulary():
+    assert [brown.classes_for(n) for n in (0, 64_000, 1_000_000, 8_000_000)] == [brown.CLASSES, brown.CLASSES, 100, 200]
+
+
 def test_scores_of_odd_rows(odd, nothing):
     got = brown.scores(odd).collect()
     assert len(got) == len(ODD) and all(math.isfinite(r.score) and r.score < 0 for r in got)
