@@ -56,7 +56,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of the documents, each with its sequence and place."""
-    return pack_documents(docs, rank_encoder())
+    return pack_documents(docs, rank_encoder(added="byte_bpe_50k.json"))
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("minhash", near), ("substring", substrings), ("packing", packed)]

@@ -31,7 +31,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), rank_encoder())
+    return pack_documents(table(spark, sf_dir, "documents"), rank_encoder(added="byte_bpe_50k.json"))
 
 
 def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,10 +9,12 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from odd_rows import LONG, ODD
 from postfeed.llm import bpe, packing, rollup
-from postfeed.llm.queries import op8_token_counts
+from postfeed.llm.queries import op2_packing, op8_token_counts
 from postfeed.llm.tokenizers_public import load_ranks, rank_encoder, rank_encoding
 
 public = pytest.importorskip("public_tokenizers")
@@ -54,6 +56,25 @@ def test_ids_are_those_of_the_other_file_too(library, documents):
     assert [e.ids for e in other.encode_batch(texts, add_special_tokens=False)] == [library.encode_ordinary(t) for t in texts]
 
 
+def test_packed_ids_are_those_of_the_json_file_as_it_is(spark, documents, tmp_path):
+    from tokenizers import Tokenizer
+
+    other, encode = Tokenizer.from_file(public.path("byte_bpe_50k.json")), rank_encoder(added="byte_bpe_50k.json")()
+    literal = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x  <|endoftext|>  <|endoftext|\n", "<|endoftext|>" * 3000, "'<|endoftext|>s"]
+    texts = [r.text for r in documents.collect()] + HARD + literal
+    assert [e.ids for e in other.encode_batch(texts, add_special_tokens=False)] == [encode(t).tolist() for t in texts]
+    docs = spark.createDataFrame(list(enumerate(literal)), "doc_id long, text string")
+    docs.withColumn("lang", F.lit("")).withColumn("source", F.lit("")).withColumn("n_chars", F.lit(0)).write.parquet(f"{tmp_path}/documents.parquet")
+    stage = dict(corpus_pipeline.STAGES)["packing"]
+    for got in (op2_packing(spark, str(tmp_path)), stage(spark, docs, str(tmp_path))):
+        rows = {(r.doc_id, r.start): (r.length, r.ids_crc32) for r in got.collect()}
+        for doc_id, text in enumerate(literal):
+            ids = np.array([*other.encode(text, add_special_tokens=False).ids, 0], dtype="<u4")
+            mine = {start: v for (d, start), v in rows.items() if d == doc_id}
+            assert sum(n for n, _ in mine.values()) == len(ids)
+            assert all(crc == zlib.crc32(ids[start : start + n].tobytes()) for start, (n, crc) in mine.items())
+
+
 def test_every_prefix_has_its_entry(encoder, library):
     data = "unbelievablyréal".encode()
     table = encoder.extend([], data)
