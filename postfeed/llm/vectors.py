@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import min_labels, written
+from postfeed.llm.common import binary, min_labels, written
 from postfeed.llm.graph import components
 
 # Cosine from which two vectors are linked.
@@ -16,13 +16,14 @@ COSINE = 0.95
 # Vectors the cells are fitted on at most, vectors wanted in a cell, and cells at most. Every vector is assigned.
 SAMPLE, CELL, MAX_CELLS, SWEEPS = 16_384, 512, 1024, 8
 
-# A vector visits every cell whose border is so many standard deviations of a linked vector's distance away.
-DEVIATIONS = 4.0
+# By what a border may be nearer than rounding says.
+ROUNDING = 1e-9
 
 # Vectors on each side of a product.
 BLOCK = 2048
 
-_CELLS = "cell long, node long, size long, home boolean, own long, visits binary, vector binary"
+_CELLS = "node long, size long, home long, visits binary, vector binary"
+_GROUPS = "cell long, node long, size long, home boolean, vector binary"
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -47,10 +48,10 @@ def spherical_kmeans(units: np.ndarray, cells: int, sweeps: int = SWEEPS) -> np.
 def visits(units: np.ndarray, centres: np.ndarray, cosine: float = COSINE) -> tuple[np.ndarray, np.ndarray]:
     """The cell of each vector, and a mask of the cells it visits, its own included.
 
-    A linked vector is at most sqrt(2 - 2 * cosine) away, so a border further off is never crossed. In many
-    dimensions only a small part of that distance points across a border: DEVIATIONS / sqrt(dimensions) of it.
+    The border of two cells is a plane through the origin. A linked vector is at most arccos(cosine) away on the
+    sphere, so it can only be behind a border whose distance is at most the sine of that. No link crosses another.
     """
-    reach = np.sqrt(2 - 2 * cosine) * min(1.0, DEVIATIONS / np.sqrt(units.shape[1]))
+    reach = np.sqrt(1 - cosine * cosine) + ROUNDING if cosine > 0 else np.inf
     said = units @ centres.T
     home = said.argmax(axis=1)
     gaps = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 1e-18))
@@ -83,17 +84,47 @@ def _assigned(centres: dict[int, np.ndarray], cosine: float):
                 if own is None:
                     own = np.eye(1, width)
                 home, seen = visits(units, own, cosine)
-                bits = np.packbits(seen, axis=1)
-                i, cell = np.nonzero(seen)
                 # Vectors of different lengths never share a cell.
-                number = cell + int(width) * MAX_CELLS
+                yield pa.record_batch({
+                    "node": nodes[rows], "size": sizes[rows], "home": home.astype(np.int64) + int(width) * MAX_CELLS,
+                    "visits": binary(np.packbits(seen, axis=1)), "vector": pa.array([data[i] for i in rows], pa.binary()),
+                })
+
+    return run
+
+
+def cell_groups(sizes: dict[int, int], block: int) -> dict[int, int]:
+    """The group of each cell that is some vector's own: cells of one length in a row, up to ``block`` vectors of their own."""
+    groups, held = {}, 0
+    last = None
+    for cell in sorted(sizes):
+        if last is None or cell // MAX_CELLS != last // MAX_CELLS or held + sizes[cell] > block:
+            group, held = cell, 0
+        groups[cell], last = group, cell
+        held += sizes[cell]
+    return groups
+
+
+def _visiting(groups: dict[int, int]):
+    """Each vector once for every group in which it visits a cell; home marks the group of its own cell."""
+
+    def run(batches):
+        for batch in batches:
+            home, visits = batch.column("home").to_numpy(zero_copy_only=False), batch.column("visits").to_pylist()
+            for width in np.unique(home // MAX_CELLS):
+                mine = {c % MAX_CELLS: g for c, g in groups.items() if c // MAX_CELLS == width}
+                names = np.unique(list(mine.values()))
+                rows = np.flatnonzero(home // MAX_CELLS == width)
+                bits = np.unpackbits(np.frombuffer(b"".join(visits[i] for i in rows), dtype=np.uint8).reshape(len(rows), -1), axis=1)
+                seen = np.zeros((len(rows), len(names)), bool)
+                for cell, group in mine.items():
+                    seen[:, np.searchsorted(names, group)] |= bits[:, cell] == 1
+                own = np.array([groups[c] for c in home[rows].tolist()])
+                i, k = np.nonzero(seen)
                 for at in range(0, len(i), 4096):
-                    k = i[at : at + 4096]
-                    yield pa.record_batch({
-                        "cell": number[at : at + 4096].astype(np.int64), "node": nodes[rows[k]], "size": sizes[rows[k]],
-                        "home": cell[at : at + 4096] == home[k], "own": home[k].astype(np.int64),
-                        "visits": pa.array([bits[j].tobytes() for j in k], pa.binary()), "vector": pa.array([data[rows[j]] for j in k], pa.binary()),
-                    })
+                    part, group = rows[i[at : at + 4096]], names[k[at : at + 4096]]
+                    taken = [batch.column(c).take(pa.array(part)) for c in ("node", "size", "vector")]
+                    yield pa.record_batch([pa.array(group), taken[0], taken[1], pa.array(group == own[i[at : at + 4096]]), taken[2]], names=["cell", "node", "size", "home", "vector"])
 
     return run
 
@@ -108,10 +139,6 @@ def _product(cosine: float):
         x, y = (unit(np.frombuffer(b"".join(f["vector"]), dtype=np.float64).reshape(len(f), -1)) for f in (rows, cols))
         xn, yn = rows["node"].to_numpy(), cols["node"].to_numpy()
         i, j = np.nonzero((x @ y.T >= cosine) & (xn[:, None] != yn[None, :]))
-        # A pair counts if each visits the other's cell, so that both find it.
-        bits = np.unpackbits(np.frombuffer(b"".join(rows["visits"]), dtype=np.uint8).reshape(len(rows), -1), axis=1)
-        both = bits[i, cols["own"].to_numpy()[j]] == 1
-        i, j = i[both], j[both]
         links = np.bincount(i, weights=cols["size"].to_numpy()[j], minlength=len(rows)).astype(np.int64)
         nodes, index = np.unique(np.concatenate([xn[i], yn[j]]), return_inverse=True)
         root = nodes[min_labels(len(nodes), index[: len(i)], index[len(i) :])] if len(nodes) else nodes
@@ -132,9 +159,10 @@ def near_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str
     component_id is null, and vectors of different lengths with one another. Such rows stay. Rows that share an
     id and a vector are linked rows. An empty table gives an empty result; other columns are not looked at.
 
-    Equal vectors are one class before anything is compared. A class is compared in its own cell and in those
-    whose border is near; pairs across borders further off are missed, which recall tests measure. A
-    cell of more than ``block`` vectors is multiplied in blocks, and a block sends counts and a spanning forest.
+    Equal vectors are one class before anything is compared. A class is compared in its own cell and in every other
+    behind whose border a linked vector can be, so no pair is missed. Cells are compared in groups of about
+    ``block`` vectors, so that a vector goes once to each group; larger ones are multiplied in blocks, and a block
+    sends counts and a spanning forest.
     """
     source = embeddings.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     rows = written(source.mapInArrow(_keyed, "vec_id long, key binary"), "vectors")
@@ -149,9 +177,13 @@ def near_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str
     centres = {}
     for width, keys in by_width.items():
         units = unit(np.frombuffer(b"".join(keys), dtype=np.float64).reshape(-1, width))
-        centres[width] = spherical_kmeans(units, min(cells, len(units)))
-    members = written(classes.mapInArrow(_assigned(centres, cosine), _CELLS), "cells")
+        found = spherical_kmeans(units, min(cells, len(units)))
+        # Neighbours on the main axis have neighbouring numbers, and groups in common.
+        centres[width] = found[np.argsort(found @ np.linalg.svd(found, full_matrices=False)[2][0], kind="stable")]
+    assigned = written(classes.mapInArrow(_assigned(centres, cosine), _CELLS), "cells")
     # One row per cell: at most MAX_CELLS for each length of vector.
+    groups = cell_groups({r["home"]: r["count"] for r in assigned.groupBy("home").count().collect()}, block)
+    members = assigned.mapInArrow(_visiting(groups), _GROUPS)
     sizes = members.groupBy("cell").agg(F.ceil(F.count_if("home") / block).cast("int").alias("down"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("across"))
     placed = members.join(sizes.where("down > 0"), "cell")
     part = lambda seed, of: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(of)).cast("int")

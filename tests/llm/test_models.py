@@ -156,6 +156,24 @@ def test_vectors_against_brute_force(spark, block):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+@pytest.mark.parametrize("kind", ["rank 3", "rank 6", "shared direction"])
+def test_no_link_is_missed_in_spaces_with_a_main_direction(spark, monkeypatch, kind):
+    """Against brute force with 30 cells or more; links point where the vectors spread, across borders too."""
+    monkeypatch.setattr(vectors, "CELL", 100)
+    rng = np.random.default_rng(8)
+    if kind == "shared direction":
+        near = rng.normal(size=(1500, 64))
+        near = np.concatenate([near, near + 0.3 * np.linalg.norm(near, axis=1, keepdims=True) * vectors.unit(rng.normal(size=(1, 64)))])
+    else:
+        rank = int(kind[-1])
+        near = rng.normal(size=(3000, rank)) @ rng.normal(size=(rank, 64))
+    rows = [(i, v) for i, v in enumerate(near.tolist())]
+    want = brute_vectors(rows)
+    assert len(rows) // vectors.CELL >= 30 and sum(n for n, _ in want.values()) >= 1500
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
+
+
 def test_odd_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [3.0, 0.0]), (2, [3.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [1.0, None]), (7, [float("nan"), 1.0]), (8, [float("inf"), 1.0]),
             (None, [1.0, 0.0]), (9, [1.0, 0.0, 0.0]), (10, [1e300, 1e290]), (11, [-1.0, 0.0]), (12, [1e-300, 0.0])]
