@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import datetime
 
 import pytest
 
@@ -53,6 +52,3 @@ def one(spark):
         return spark.createDataFrame([tuple(values.values())], schema).select(build.alias("x")).first()[0]
 
     return evaluate
-
-
-NOW = datetime(2024, 1, 8, 11, 34, 23)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import time
 
 import pytest
-from conftest import NOW
+from fixed import NOW
 from pyspark.sql import functions as F
 
 from postfeed.functions import markup

@@ -4,7 +4,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import NOW
+from fixed import NOW
 from pyspark.sql import functions as F
 
 from postfeed.functions import requests as fr

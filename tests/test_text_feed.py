@@ -6,7 +6,7 @@ from datetime import datetime
 from email.utils import format_datetime
 
 import pytest
-from conftest import NOW
+from fixed import NOW
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
