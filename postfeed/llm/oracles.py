@@ -52,6 +52,35 @@ FROM words w LEFT JOIN sizes z ON z.doc_id = w.doc_id LEFT JOIN sets s ON s.doc_
 LEFT JOIN classes c ON c.whole = s.whole LEFT JOIN roots r ON r.node = c.node
 """
 
+# Every step of every order against every mask of the part.
+OP12 = """
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+') AS w FROM documents
+), firsts AS (SELECT t, min(doc_id) AS first FROM docs GROUP BY t), masked AS (
+  SELECT d.doc_id, d.part, CAST(len(w) < 50 AS INTEGER) + 2 * CAST(100 * len(list_distinct(w)) < 65 * len(w) AS INTEGER)
+    + 4 * CAST(100 * len(regexp_extract_all(d.t, '[A-Z]')) > 5 * length(d.t) AS INTEGER)
+    + 8 * CAST(regexp_matches(d.t, '[#$%&*|]') AS INTEGER) + 16 * CAST(d.doc_id > f.first AS INTEGER) AS mask
+  FROM docs d JOIN firsts f ON f.t = d.t
+), masks AS (
+  SELECT m.part, m.mask, count(*) AS n, count(*) FILTER (WHERE l.quality = 1) AS good, count(*) FILTER (WHERE l.toxic = 1) AS toxic
+  FROM masked m LEFT JOIN labels l ON l.doc_id = m.doc_id GROUP BY ALL
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS b), perms AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.b + b.b + c.b + d.b + e.b = 31 AND len(list_distinct([a.b, b.b, c.b, d.b, e.b])) = 5
+), steps AS (
+  SELECT filter_order, k AS step, bits[k] AS bit, CAST(coalesce(list_sum(bits[1 : k - 1]), 0) AS INTEGER) AS before FROM perms, (SELECT unnest([1, 2, 3, 4, 5]) AS k) s
+), counted AS (
+  SELECT m.part, filter_order, step, bit, sum(n) FILTER (WHERE mask & (before | bit) = 0) AS kept, sum(n) FILTER (WHERE mask & before = 0 AND mask & bit <> 0) AS removed,
+    sum(n) FILTER (WHERE mask & before <> 0 AND mask & bit <> 0) AS redundant, sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+    sum(good) FILTER (WHERE mask & before = 0 AND mask & bit <> 0) AS good_lost, sum(toxic) FILTER (WHERE mask & before = 0 AND mask & bit <> 0) AS toxic_lost
+  FROM steps, masks m GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost, CAST(coalesce(sum(removed) OVER (PARTITION BY part, bit), 0) AS BIGINT) AS shapley
+FROM counted
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op3_near_vectors": OP3, "op5_minhash": OP5, "op7_exact_dedup": OP7}
+    return {"op3_near_vectors": OP3, "op5_minhash": OP5, "op7_exact_dedup": OP7, "op12_filter_audit": OP12}
