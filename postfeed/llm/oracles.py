@@ -81,6 +81,50 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0)
 FROM counted
 """
 
+# Runs of three as lists; a path from a leaf takes the rest of its run on every level, first in its source, then above it.
+# crc32 by a table of bytes: its last step inverts the bits, so the sum is even where the last bit is still set.
+OP13 = """
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)) t
+), told AS (
+  SELECT *, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])) & 1 = 1 AS tampered FROM documents, crc
+), framed AS (
+  SELECT doc_id, source, tampered, text, concat(coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-'), coalesce(octet_length(encode(source)) || ':' || source, '-'),
+    coalesce(octet_length(encode(lang)) || ':' || lang, '-'), coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-')) AS head,
+    CASE WHEN tampered THEN replace(text, chr(10), '') ELSE text END AS changed FROM told
+), leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(octet_length(encode(changed)) || ':' || changed, '-')) AS again FROM framed
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g FROM leaves
+), tree(g, lvl, idx, n, d) AS (
+  SELECT g, 0, idx, n, leaf FROM numbered UNION ALL
+  SELECT g, lvl + 1, idx // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY idx)) FROM tree WHERE n > 1 GROUP BY g, lvl, idx // 3, n
+), runs AS (SELECT g, lvl, idx // 3 AS run, list(d ORDER BY idx) AS ds FROM tree WHERE n > 1 GROUP BY ALL),
+subroots AS (SELECT g, d FROM tree WHERE n = 1),
+top(lvl, idx, n, d) AS (
+  SELECT 0, g, (SELECT count(*) FROM subroots), d FROM subroots UNION ALL
+  SELECT lvl + 1, idx // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY lvl, idx // 3, n
+), top_runs AS (SELECT lvl, idx // 3 AS run, list(d ORDER BY idx) AS ds FROM top WHERE n > 1 GROUP BY ALL),
+path(g, leaf_idx, lvl, idx, n, acc, sibs) AS (
+  SELECT g, idx, 0, idx, n, again, '' FROM numbered UNION ALL
+  SELECT p.g, p.leaf_idx, p.lvl + 1, p.idx // 3, (p.n + 2) // 3, sha256(array_to_string(ds[1 : p.idx % 3], '') || acc || array_to_string(ds[p.idx % 3 + 2 :], '')),
+    sibs || array_to_string(ds[1 : p.idx % 3], '') || array_to_string(ds[p.idx % 3 + 2 :], '')
+  FROM path p JOIN runs r ON r.g = p.g AND r.lvl = p.lvl AND r.run = p.idx // 3 WHERE p.n > 1
+), over(g, leaf_idx, lvl, idx, n, acc, sibs) AS (
+  SELECT g, leaf_idx, 0, g, (SELECT count(*) FROM subroots), acc, sibs FROM path WHERE n = 1 UNION ALL
+  SELECT p.g, p.leaf_idx, p.lvl + 1, p.idx // 3, (p.n + 2) // 3, sha256(array_to_string(ds[1 : p.idx % 3], '') || acc || array_to_string(ds[p.idx % 3 + 2 :], '')),
+    sibs || array_to_string(ds[1 : p.idx % 3], '') || array_to_string(ds[p.idx % 3 + 2 :], '')
+  FROM over p JOIN top_runs r ON r.lvl = p.lvl AND r.run = p.idx // 3 WHERE p.n > 1
+)
+SELECT m.doc_id, m.leaf, s.d AS subroot, (SELECT d FROM top WHERE n = 1) AS root, sha256(o.sibs) AS proof_sha256, o.acc AS folded_root,
+  o.acc = (SELECT d FROM top WHERE n = 1) AS verified
+FROM numbered m JOIN over o ON o.g = m.g AND o.leaf_idx = m.idx AND o.n = 1 JOIN subroots s ON s.g = m.g
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op3_near_vectors": OP3, "op5_minhash": OP5, "op7_exact_dedup": OP7, "op12_filter_audit": OP12}
+    return {"op3_near_vectors": OP3, "op5_minhash": OP5, "op7_exact_dedup": OP7, "op12_filter_audit": OP12, "op13_merkle": OP13}

@@ -12,6 +12,7 @@ from postfeed.llm.brown import scores
 from postfeed.llm.common import table, written
 from postfeed.llm.exact_dedup import exact_duplicates
 from postfeed.llm.filter_audit import audit_documents
+from postfeed.llm.merkle import verified_documents
 from postfeed.llm.minhash import near_duplicates
 from postfeed.llm.packing import pack_documents
 from postfeed.llm.quality import score, train
@@ -89,9 +90,14 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = (
     op1_url_filter, op2_packing, op3_near_vectors, op4_byte_bpe, op5_minhash, op6_quality, op7_exact_dedup,
     op8_token_counts, op9_brown, op10_substring_dedup, op12_filter_audit,
+    op13_merkle,
 )
 
 
