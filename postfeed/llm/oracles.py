@@ -125,6 +125,20 @@ SELECT m.doc_id, m.leaf, s.d AS subroot, (SELECT d FROM top WHERE n = 1) AS root
 FROM numbered m JOIN over o ON o.g = m.g AND o.leaf_idx = m.idx AND o.n = 1 JOIN subroots s ON s.g = m.g
 """
 
+# Five hex digits of the digest are four digits of base 32.
+OP11 = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), named AS (
+  SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY hex) AS last, array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+    lambda s: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((CAST('0x' || hex[5 * i + 1 : 5 * i + 5] AS BIGINT) >> s) & 31) + 1]), '')), '') AS payload_digest FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < last THEN last END AS refers_to
+FROM named
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op3_near_vectors": OP3, "op5_minhash": OP5, "op7_exact_dedup": OP7, "op12_filter_audit": OP12, "op13_merkle": OP13}
+    return {
+        "op3_near_vectors": OP3, "op5_minhash": OP5, "op7_exact_dedup": OP7, "op11_warc": OP11, "op12_filter_audit": OP12, "op13_merkle": OP13,
+    }

@@ -21,6 +21,7 @@ from postfeed.llm.substring import without_repeats
 from postfeed.llm.tokenizers_public import rank_encoder
 from postfeed.llm.urls import filter_urls, path_of
 from postfeed.llm.vectors import near_vectors
+from postfeed.llm.warc import archived_pages
 from postfeed.session import scratch_path
 
 
@@ -86,6 +87,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -96,7 +101,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     op1_url_filter, op2_packing, op3_near_vectors, op4_byte_bpe, op5_minhash, op6_quality, op7_exact_dedup,
-    op8_token_counts, op9_brown, op10_substring_dedup, op12_filter_audit,
+    op8_token_counts, op9_brown, op10_substring_dedup, op11_warc, op12_filter_audit,
     op13_merkle,
 )
 
