@@ -373,6 +373,41 @@ _ORACLES["duplicate_groups"] = _PUB + (
 _ORACLES["dedup_counts"] = _DEDUP + (
     "SELECT count(*) AS total, count(*) FILTER (rn = 1) AS kept, count(*) FILTER (rn > 1) AS to_remove FROM ranked"
 )
+_ORACLES["incremental_latest"] = _DEDUP + (
+    "SELECT partner_job_id, max(id) FILTER (rn = 1) AS id, count(*) AS n FROM ranked WHERE partner_job_id <> '' GROUP BY partner_job_id"
+)
+_ORACLES["stream_latest"] = _ORACLES["incremental_latest"]
+# A row goes in the delta in which a better row of its key is there for the first time, and not before its own.
+_ORACLES["incremental_removed"] = _with(
+    "published",
+    more=_RANKED + ", dealt AS (SELECT *, CASE id % 3 WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE 2 END AS delta FROM ranked WHERE partner_job_id <> ''),"
+    " firsts AS (SELECT partner_job_id, delta, min(rn) AS best FROM dealt GROUP BY ALL)",
+) + (
+    "SELECT d.id, d.partner_job_id, CAST(min(greatest(d.delta, f.delta)) AS INTEGER) AS delta FROM dealt d"
+    " JOIN firsts f ON f.partner_job_id = d.partner_job_id AND f.best < d.rn GROUP BY d.id, d.partner_job_id"
+)
+
+# ---- versions of a table ----
+
+_ORACLES["sync_actions"] = _BOTH + (
+    f"SELECT 'staging' AS side, id, CASE WHEN {_IN_PUB} THEN 'skip' ELSE 'new' END AS action FROM staging s UNION ALL"
+    f" SELECT 'published', id, CASE WHEN coalesce({_EXPIRED}, FALSE) THEN 'expire' ELSE 'keep' END FROM published p"
+)
+_ORACLES["indexed_keys"] = _BOTH + f"SELECT DISTINCT partner_job_id FROM staging s WHERE {_IN_PUB}"
+_ORACLES["versioned_sync"] = _ORACLES["sync_result"]
+_ORACLES["versioned_dedup"] = _ORACLES["keep_latest"]
+_ORACLES["version_history"] = _with(
+    "published", more=_RANKED.replace("ranked AS", "low AS (SELECT * FROM published WHERE id * 4 <= (SELECT max(id) FROM published) * 3), ranked AS").replace("FROM published)", "FROM low)")
+    .replace("SELECT max(id) FROM low", "SELECT max(id) FROM published")
+) + (
+    "SELECT 1 AS version, 'load' AS commit, (SELECT count(*) FROM published) AS rows UNION ALL SELECT 2, 'range', (SELECT count(*) FROM low)"
+    " UNION ALL SELECT 3, 'duplicates', (SELECT count(*) FROM ranked WHERE rn = 1) UNION ALL SELECT 4, 'anew', (SELECT count(*) FROM published)"
+)
+_ORACLES["snapshot_differences"] = _PUB + (
+    "SELECT id, CAST(CASE WHEN id % 499 = 0 OR id % 487 = 0 THEN 1 ELSE 0 END AS BIGINT) AS missing,"
+    " CAST(CASE WHEN id % 499 = 0 THEN 0 ELSE (CASE WHEN id % 487 = 0 THEN 1 ELSE 0 END) + (CASE WHEN id % 509 = 0 THEN 1 ELSE 0 END) END AS BIGINT) AS surplus"
+    " FROM published WHERE id % 499 = 0 OR id % 487 = 0 OR id % 509 = 0"
+)
 
 # ---- feed ----
 

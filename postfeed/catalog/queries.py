@@ -11,11 +11,14 @@ from postfeed.catalog.views import BRAND, INSTRUCTION, RUN_TS, table, view, view
 from postfeed.functions import markup, text
 from postfeed.functions.keys import feed_key, usable_key
 from postfeed.functions.requests import client_ip, cors_headers, is_private_ip, parse_user_agent
-from postfeed.operators import dedup, numbering, posting, reports, requests, rewrite, sync
+from postfeed.operators import dedup, keypass, numbering, posting, reports, requests, rewrite, rowdigest, sync, winners
 from postfeed.operators import progress as progress_ops
-from postfeed.schema import REVISION_COLUMNS, revision_columns
-from postfeed.session import scratch_path, spread
+from postfeed.plans import jobs
+from postfeed.schema import PUBLISHED, REVISION_COLUMNS, revision_columns
+from postfeed.session import materialise, scratch_path, spread
 from postfeed.sources import feed, tables
+from postfeed.sources.keyindex import KeyIndex
+from postfeed.sources.versions import VersionedTable
 from postfeed.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -208,9 +211,98 @@ def sync_result(spark, sf_dir):
     return rewrite.sync(staging, published, _run_ts(), rewrite.next_id(published))
 
 
+@_query
+def sync_actions(spark, sf_dir):
+    return keypass.row_actions(*_sides(spark, sf_dir))
+
+
+@_query
+def indexed_keys(spark, sf_dir):
+    """Which staging keys are published, by an index of the published ones in two parts and many buckets."""
+    staging, published = _sides(spark, sf_dir)
+    index = KeyIndex(spark, scratch_path(spark, "key-index"))
+    for part, odd in (("even", 0), ("odd", 1)):
+        index.add(published.where(F.col("id") % 2 == odd).select("partner_job_id"), part, bucket_keys=500)
+    return index.known(tables.read_keys(staging))
+
+
+# ---- versions of a table ----
+
+
+def _versioned(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    """The published rows as the first version of a table, in files by range of id."""
+    made = VersionedTable(spark, scratch_path(spark, "versioned"), PUBLISHED)
+    made.append(view(spark, sf_dir, "published").repartitionByRange(16, "id"), "load")
+    return made
+
+
+@_query
+def versioned_sync(spark, sf_dir):
+    """Expired rows go and new ones come in one version; the run is repeated, which changes nothing."""
+    made = _versioned(spark, sf_dir)
+    for _ in range(2):
+        jobs.sync_table(made, view(spark, sf_dir, "staging"), RUN_TS, "sync")
+    return made.read()
+
+
+@_query
+def versioned_dedup(spark, sf_dir):
+    made = _versioned(spark, sf_dir)
+    jobs.dedup_table(made, "dedup")
+    return made.read().select("id", "partner_job_id", "position", "description")
+
+
+@_query
+def version_history(spark, sf_dir):
+    """Rows of every version: loaded, without those of one range of ids, without duplicates, loaded anew."""
+    made = _versioned(spark, sf_dir)
+    ids = made.read().select("id")
+    bounds = F.broadcast(ids.agg(F.max("id").alias("last")))
+    # Only files of that range are written again.
+    made.delete(ids.join(bounds, F.col("id") * 4 > F.col("last") * 3).select("id"), "range")
+    made.delete(dedup.duplicates_to_remove(made.read()), "duplicates")
+    made.replace(made.read(1), "anew")
+    return made.history().select("version", "commit", "rows")
+
+
+@_query
+def snapshot_differences(spark, sf_dir):
+    """Rows that a faulty copy of the published table has changed, lost or repeated, found by digests."""
+    intended = view(spark, sf_dir, "published")
+    text_off = F.when(F.col("id") % 487 == 0, F.concat(F.coalesce("description", F.lit("")), F.lit("."))).otherwise(F.col("description"))
+    faulty = intended.where("id % 499 <> 0").withColumn("description", text_off)
+    faulty = materialise(faulty.unionByName(faulty.where("id % 509 = 0")), "faulty")
+    buckets = rowdigest.differing_buckets(rowdigest.digests(intended), rowdigest.digests(faulty))
+    return rowdigest.differing_rows(intended, faulty, buckets)
+
+
 # ---- deduplication ----
 
 
+def _deltas(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    rows = view(spark, sf_dir, "published").select("id", "partner_job_id", "updated_at", "created_at")
+    return [rows.where(F.col("id") % 3 == i) for i in (1, 0, 2)]
+
+
+@_query
+def incremental_latest(spark, sf_dir):
+    """The latest row per key and the rows it had, from three deltas."""
+    states = [winners.winner_state(delta) for delta in _deltas(spark, sf_dir)]
+    return winners.merge_states(*states).select("partner_job_id", winners.winner_id().alias("id"), "n")
+
+
+@_query
+def incremental_removed(spark, sf_dir):
+    """The rows that each of three deltas makes superfluous, and in which."""
+    state, gone = None, []
+    for number, delta in enumerate(_deltas(spark, sf_dir)):
+        own = winners.winner_state(delta)
+        before = own.limit(0) if state is None else state
+        state = materialise(winners.merge_states(before, own), "winners")
+        gone.append(winners.superseded(before, delta, state).withColumn("delta", F.lit(number)))
+    return gone[0].unionByName(gone[1]).unionByName(gone[2])
+
+
 @_query
 def keep_latest(spark, sf_dir):
     rows = dedup.keep_latest(view(spark, sf_dir, "published"))
@@ -510,3 +602,10 @@ def stream_progress(spark, sf_dir):
     )
     query.awaitTermination()
     return streams.read_progress(spark, run_dir).drop("sampled_at")
+
+
+@_query
+def stream_latest(spark, sf_dir):
+    run_dir = scratch_path(spark, "latest-stream")
+    streams.stream_latest(view_stream(spark, sf_dir, "published", "orders", "o_orderkey"), run_dir).awaitTermination()
+    return streams.read_stream_latest(spark, run_dir)

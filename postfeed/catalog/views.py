@@ -18,6 +18,9 @@ RUN_TS = datetime(2024, 1, 8, 11, 34, 23)
 BRAND = "Feed AI"
 INSTRUCTION = "Format the posting below. Keep its language and its text."
 
+# Rows for which a file of a stream's source is worth while.
+FILE_ROWS = 1000
+
 TABLES = ["orders", "customer", "documents", "pages", "events"]
 
 _POSTING_HEAD = (
@@ -154,14 +157,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, key: str, batches: int = 3) -> DataFrame:
-    """The table as a stream of ``batches`` micro-batches: files of rising ranges of ``key``, one after the other."""
+    """The table as a stream of ``batches`` micro-batches: files of rising ranges of ``key``, one range after the other.
+
+    A range is dealt out over as many files as there are cores, so its scan passes over the others' row groups and
+    no task writes it alone. Every range has rows enough for that, or the stream has less files.
+    """
     rows, folder = table(spark, sf_dir, name), scratch_path(spark, f"arriving-{name}")
-    low, high = rows.agg(F.min(key), F.max(key)).first()
+    low, high, n = rows.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
     step = (high - low) // batches + 1
+    files = max(1, min(spark.sparkContext.defaultParallelism, n // (batches * FILE_ROWS)))
     for i in range(batches):
         part = rows.where(F.col(key).between(low + i * step, low + (i + 1) * step - 1))
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        part.repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def _from(view: str, tables: dict[str, DataFrame], spark: SparkSession) -> DataFrame:

@@ -14,9 +14,11 @@ from postfeed.functions.keys import _col
 from postfeed.functions.markup import format_posting
 from postfeed.functions.text import or_not_available, strip, truncate_text
 from postfeed.operators.keyed import HOT_ROWS
+from postfeed.operators.keypass import EXPIRE, NEW, ids_of, row_actions
 from postfeed.operators.numbering import assign_ids
 from postfeed.operators.posting import default_timestamps, fits_text, rejections, sample_rows, sink_accepts, staging_to_published
-from postfeed.operators.sync import delete_rows, expired_postings, new_postings
+from postfeed.operators.sync import delete_rows, new_postings
+from postfeed.session import materialise
 
 # Fixed value: the line between the instruction and the original text of a request.
 REQUEST_LABEL = "Job description originale:"
@@ -89,15 +91,19 @@ def load_new(
     rewriter: RewriterFactory | None = None,
     workers: int = 1,
     hot_rows: int = HOT_ROWS,
+    new_ids: DataFrame | None = None,
 ) -> DataFrame:
     """The new postings as published rows, with ids from ``start`` in staging order.
 
-    Which rows are new and their ids are settled on ids and keys alone. The wide rows are then
+    ``new_ids`` lists the staging rows that are new where that is known. Which rows are new and their ids are settled on ids and keys alone. The wide rows are then
     fetched by their unique id, so they move once and evenly, and a rewriter runs after the
     last shuffle: a lost executor repeats its own tasks and no others.
     """
     fit = staging.where(sink_accepts())
-    fresh = new_postings(fit.select("id", "partner_job_id"), published, hot_rows=hot_rows)
+    if new_ids is not None:
+        fresh = fit.select("id").join(new_ids, "id", "left_semi")
+    else:
+        fresh = new_postings(fit.select("id", "partner_job_id"), published, hot_rows=hot_rows)
     ids = assign_ids(fresh, start)
     rows = staging_to_published(fit.join(ids, "id").drop("id").withColumnRenamed("new_id", "id"), keep=["id"])
     rewritten = rewrite_text(rows.withColumn("__given", F.col("description")), rewriter, workers=workers)
@@ -117,11 +123,13 @@ def sync(
 ) -> DataFrame:
     """The next published snapshot: what has not expired, and the new postings.
 
-    Expiry takes only keys that staging lacks, so it cannot change which rows are new.
+    Expiry takes only keys that staging lacks, so it cannot change which rows are new: one pass over the keys of
+    both sides says what happens to every row.
     """
-    gone = expired_postings(published.select("id", "partner_job_id"), staging, hot_rows=hot_rows)
-    new = load_new(staging, published, run_ts, start, rewriter, workers, hot_rows)
-    return delete_rows(published, gone).unionByName(new)
+    actions = row_actions(staging, published, hot_rows).where(F.col("action").isin(NEW, EXPIRE))
+    actions = materialise(actions.select("id", "action"), "actions")
+    new = load_new(staging, published, run_ts, start, rewriter, workers, hot_rows, new_ids=ids_of(actions, NEW))
+    return delete_rows(published, ids_of(actions, EXPIRE)).unionByName(new)
 
 
 def preview_pairs(staging: DataFrame, n: int = 10, rewriter: RewriterFactory | None = None) -> DataFrame:

@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from postfeed.functions.keys import has_key
 from postfeed.operators.keyed import HOT_ROWS, key_set
 from postfeed.operators.progress import progress_delta
 from postfeed.operators.requests import log_lines, request_records
 from postfeed.operators.rewrite import RewriterFactory, load_new, rejected_new
 from postfeed.operators.sync import progress
+from postfeed.operators.winners import KEY, standing, winner_id
 from postfeed.schema import PUBLISHED
 from postfeed.session import drop_scratch, path_exists, scratch_path
+from postfeed.sources.keyindex import KeyIndex
 from postfeed.sources.tables import read_published
 
 WATCH_INTERVAL = "5 seconds"
@@ -49,12 +52,13 @@ def stream_sync(
 ) -> StreamingQuery:
     """Append the new rows among arriving staging rows to ``run_dir``/postings.
 
-    The published keys are frozen when the run starts, so two rows with the same new key both
+    The published keys are frozen in an index when the run starts, so two rows with the same new key both
     pass, as in the batch job, and a restart with the same ``run_dir`` sees the same keys. ``prepare``
     may deal a batch of few files out over more tasks.
     """
     spark = staging.sparkSession
-    keys = _write_once(key_set(published), f"{run_dir}/published_keys")
+    keys = KeyIndex(spark, f"{run_dir}/published_keys")
+    keys.add(key_set(published), "published")
     first = _write_once(
         published.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("id")), f"{run_dir}/first_id"
     ).first()[0]
@@ -66,10 +70,9 @@ def stream_sync(
         scratch = scratch_path(spark, "sync-batch")
         before = f"{run_dir}/next_id/batch_id={batch_id - 1}"
         start = spark.read.parquet(before).first()[0] if batch_id else first
-        # The batch's keys are written first, so their size is known: while they are few they are
-        # broadcast to the frozen keys, which are then scanned without being shuffled.
+        # The batch's keys are written first, as the index is asked in steps; it reads only buckets that may have one.
         asked = _write_once(key_set(batch), f"{scratch}/asked")
-        known = _write_once(keys.join(asked, "partner_job_id", "left_semi"), f"{scratch}/known")
+        known = _write_once(keys.known(asked), f"{scratch}/known")
         target = f"{run_dir}/postings/batch_id={batch_id}"
         load_new(batch, known, now, start, rewriter, workers, hot_rows).write.mode("overwrite").parquet(target)
         refused = rejected_new(batch, known, hot_rows)
@@ -88,6 +91,27 @@ def read_stream_postings(spark: SparkSession, run_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{run_dir}/postings")
 
 
+def stream_latest(rows: DataFrame, run_dir: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep the latest row per usable key of arriving rows: the winner of every key that a batch changes is written.
+
+    What the stream remembers is one winner per key, in Spark's state store. A batch that is repeated writes the same.
+    """
+    state = rows.where(has_key(KEY)).groupBy(KEY).agg(F.max(standing()).alias("best"), F.count(F.lit(1)).alias("n"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{run_dir}/winners/batch_id={batch_id}")
+
+    writer = state.writeStream.outputMode("update").option("checkpointLocation", f"{run_dir}/checkpoint").foreachBatch(handle)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_stream_latest(spark: SparkSession, run_dir: str) -> DataFrame:
+    """``partner_job_id``, ``id`` of the row that is the latest so far, and ``n``, the rows that the key has had."""
+    written = spark.read.parquet(f"{run_dir}/winners")
+    # A later winner stands above every earlier one.
+    return written.groupBy(KEY).agg(F.max("best").alias("best"), F.max("n").alias("n")).select(KEY, winner_id().alias("id"), "n")
+
+
 def stream_access_log(
     requests: DataFrame,
     geo_dim: DataFrame,
