@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import lower_words, ragged_binary, slices, written
+from postfeed.llm.common import forget, lower_words, ragged_binary, settled, slices, written, written_at
 
 # Remainder of crc32(id as text) modulo FOLDS that marks rows the model never learns from.
 FOLDS, HELD_OUT = 5, 1
@@ -317,7 +317,8 @@ def exchange_words(pairs: DataFrame, classed: DataFrame, k: int, sweeps: int = W
     end. A sweep takes every word to its best class at once and counts if it raises the information; the first
     that does not ends the exchange.
     """
-    best = None
+    spark = pairs.sparkSession
+    best = path = best_path = None
     for sweep in range(sweeps + 1):
         listed, tail = F.broadcast(classed.where(F.col("id") < TAIL)), classed.where(F.col("id") >= TAIL)
         beside = classed.select("id", F.lit(-1).cast("long").alias("seen"), F.col("class").alias("n"))
@@ -327,17 +328,20 @@ def exchange_words(pairs: DataFrame, classed: DataFrame, k: int, sweeps: int = W
                 beside = beside.unionByName(met.select(F.col(word).alias("id"), (F.col("class") + side).alias("seen"), "n"))
         summed = beside.groupBy("id", "seen").agg(F.sum("n").alias("n"))
         profiles = summed.repartition("id").sortWithinPartitions("id", "seen").mapInArrow(_profiles, "id long, class long, seen binary, n binary")
-        profiles = written(profiles, "profiles")
+        profiles, profiles_path = written_at(profiles, "profiles")
         # One sum per pair of classes.
         cells = profiles.mapInArrow(_table(k), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
         table = np.zeros(k * k, dtype=np.int64)
         table[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
         table = table.reshape(k, k)
         if best is not None and information(table) <= information(best[1]):
+            forget(spark, profiles_path, path)
             break
-        best = classed, table
+        former, best_path, best = best_path, path, (classed, table)
         if sweep < sweeps:
-            classed = written(profiles.mapInArrow(_moved(table), "id long, class long"), "classes")
+            classed, path = written_at(profiles.mapInArrow(_moved(table), "id long, class long"), "classes")
+        # No later sweep reads them.
+        forget(spark, profiles_path, former)
     return best
 
 
@@ -428,8 +432,12 @@ def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     end only; a null id is a training row. Rows that share an id are rows of their own. Without training rows
     every count is 0. An empty table gives an empty result; other columns are not looked at.
     """
-    spark = documents.sparkSession
     source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return settled(documents.sparkSession, "scores", lambda: _scores(source, frequent_words))
+
+
+def _scores(source: DataFrame, frequent_words: int) -> DataFrame:
+    spark = source.sparkSession
     vocabulary = written(source.mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
     trained = F.col("doc_id").isNull() | (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != HELD_OUT)
     ends = source.where(trained).count()
@@ -440,7 +448,7 @@ def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     listed = [bytes(r["word"]) for r in top]
     units = np.array([i if i < OWN else ending(w) for i, w in enumerate(listed)], dtype=np.int64)
     frequent = spark.sparkContext.broadcast(({w: i for i, w in enumerate(listed)}, np.array([r["n"] for r in top], dtype=np.int64), units))
-    counted = written(source.mapInArrow(_pairs(frequent), "a long, b long, n long"), "pairs")
+    counted, counted_path = written_at(source.mapInArrow(_pairs(frequent), "a long, b long, n long"), "pairs")
     # UNITS * UNITS sums at most.
     summed = counted.where(F.col("a") < END_ID).groupBy("a").agg(F.sum("n").alias("n")).toArrow()
     cells = np.zeros(UNITS * UNITS, dtype=np.int64)
@@ -451,7 +459,12 @@ def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     numbered = written(vocabulary.mapInArrow(_numbered(frequent), "id long, n long, unit long"), "numbered")
     start = F.element_at(F.array(*[F.lit(int(c)) for c in of]), (F.col("unit") + 1).cast("int")).cast("long")
     the_end = spark.createDataFrame([(END_ID, classes)], "id long, class long")
-    classed, steps = exchange_words(counted.where(F.col("a") >= END_ID), numbered.select("id", start.alias("class")).unionByName(the_end), k)
+    # Pairs of all tasks together, a word's beside each other, so that each sweep folds its followers where they lie.
+    pairs = counted.where(F.col("a") >= END_ID).repartition("a").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    pairs, pairs_path = written_at(pairs, "pairs")
+    forget(spark, counted_path)
+    classed, steps = exchange_words(pairs, numbered.select("id", start.alias("class")).unionByName(the_end), k)
+    forget(spark, pairs_path)
     transitions = np.log10((steps + ADD_TRANSITION) / (steps.sum(axis=1, keepdims=True) + ADD_TRANSITION * k))
     # Every training token follows one, so a class has as many as its column.
     emission = steps.sum(axis=0) + ADD_WORD

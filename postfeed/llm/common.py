@@ -31,13 +31,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _open: list[list[str]] = []
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The DataFrame as a table in the shared scratch folder: computed once, safe from lost executors."""
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The DataFrame as a table in the shared scratch folder, and the table's path."""
     path = scratch_path(df.sparkSession, name)
     if _open:
         _open[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The DataFrame as a table in the shared scratch folder: computed once, safe from lost executors."""
+    return written_at(df, name)[0]
+
+
+def forget(spark: SparkSession, *paths: str | None) -> None:
+    """Deletes written tables, and has Spark delete the shuffle files of plans that nothing refers to any more."""
+    for path in paths:
+        if path:
+            drop_scratch(spark, path)
+    spark._jvm.System.gc()
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from odd_rows import ODD, SF_DIR, extra
@@ -90,13 +92,86 @@ def test_classes_beat_single_words_on_held_out_texts(bigger):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
-def test_the_model_is_a_distribution(spark):
-    """After any class the classes, and within a class its words and one unknown word, have probability 1."""
+def test_units_keep_to_the_classes_given():
     pairs = np.random.default_rng(1).poisson(0.4, (brown.UNITS, brown.UNITS))
     of = brown.exchange(pairs, sweeps=2)
     assert of[brown.END] == brown.CLASSES and (of[: brown.END] < brown.CLASSES).all()
 
 
+@pytest.fixture
+def fitted(spark, monkeypatch):
+    """Scores of a small corpus with the class that the exchange gave each training word, from the operator itself."""
+    rng, known = random.Random(3), {}
+    vocabulary = [f"{a}{b}" for a in "abcdefgh" for b in ("ing", "ed", "s", "x", "yz")]
+    rows = [(i, " ".join(rng.choices(vocabulary, [1 / (k + 1) for k in range(40)], k=rng.randrange(0, 60)))) for i in range(120)] + [(500 + i, "never Seen " + w) for i, w in enumerate(vocabulary)] + [(700, None)]
+    real = brown.exchange_words
+    real_exchange = brown.exchange
+
+    def exchange_words(pairs, classed, k, **more):
+        best = real(pairs, classed, k, **more)
+        known["classes"], known["k"] = {r[0]: r[1] for r in best[0].collect()}, k
+        return best
+
+    def exchange(*args, **more):
+        known["units"] = real_exchange(*args, **more)
+        return known["units"]
+
+    monkeypatch.setattr(brown, "exchange_words", exchange_words)
+    monkeypatch.setattr(brown, "exchange", exchange)
+    # Some words are in the list that travels, the others are joined.
+    got = {r.doc_id: r for r in brown.scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), frequent_words=15).collect()}
+    return rows, got, known
+
+
+def brute_model(rows, known):
+    """Class of a word, transitions and emissions, counted one by one."""
+    texts = [(t or "").lower().split() for d, t in rows if brown.learns(d)]
+    counts = Counter(w for t in texts for w in t)
+    least = min(n for n in counts.values() if sum(m >= n for m in counts.values()) <= 15)
+    listed = sorted((w for w, n in counts.items() if n >= least), key=lambda w: (-counts[w], w))
+    assert 0 < len(listed) < len(counts)
+    number = {w: i for i, w in enumerate(listed)} | {w: brown.TAIL | xxhash.xxh64_intdigest(w.encode()) >> 3 for w in counts if w not in listed}
+    k = known["k"]
+    of = lambda w: k - 1 if w is None else known["classes"][number[w]] if w in counts else int(known["units"][brown.ending(w.encode())])
+    steps, size, types = Counter(), Counter({k - 1: len(texts)}), Counter({k - 1: 1})
+    for w, n in counts.items():
+        size[of(w)] += n
+        types[of(w)] += 1
+    # Training texts follow each other: the end of one is what the next begins after.
+    for t in texts:
+        for a, b in zip([None, *t], [*t, None]):
+            steps[of(a), of(b)] += 1
+    after = Counter()
+    for (a, _), n in steps.items():
+        after[a] += n
+    move = lambda a, b: (steps[a, b] + brown.ADD_TRANSITION) / (after[a] + brown.ADD_TRANSITION * k)
+    say = lambda c, n: (n + brown.ADD_WORD) / (size[c] + brown.ADD_WORD + brown.ADD_WORD * (types[c] - (c == k - 1)))
+    return of, counts, move, say, k
+
+
+def test_scores_are_those_of_a_plain_count(fitted):
+    rows, got, known = fitted
+    of, counts, move, say, k = brute_model(rows, known)
+    for doc_id, text in rows:
+        words, total, before = (text or "").lower().split(), 0.0, None
+        for w in [*words, None]:
+            total += math.log10(move(of(before), of(w)))
+            if w is not None:
+                total += math.log10(say(of(w), counts.get(w, 0)))
+            before = w
+        assert got[doc_id].score == pytest.approx(total, abs=1e-9), doc_id
+
+
+def test_the_model_is_a_distribution(fitted):
+    """After any class the classes, and within a class its words and one unknown word, have probability 1."""
+    rows, _, known = fitted
+    of, counts, move, say, k = brute_model(rows, known)
+    for a in range(k):
+        assert sum(move(a, b) for b in range(k)) == pytest.approx(1)
+    for c in {of(w) for w in counts}:
+        assert sum(say(c, n) for w, n in counts.items() if of(w) == c) + say(c, 0) == pytest.approx(1)
+
+
 def test_exchange_finds_planted_classes():
     pairs = np.zeros((brown.UNITS, brown.UNITS))
     for u in range(60):
