@@ -445,6 +445,13 @@ _ORACLES["feed_lines"] = _DOCS + (
 _ORACLES["feed_round_trip"] = _DOCS + "SELECT {} FROM doc_postings".format(
     ", ".join(f"{_clean(value)} AS {tag}" for tag, value in _CHILDREN.items())
 )
+_ORACLES["feed_refreshed"] = _ORACLES["feed_round_trip"]
+_ORACLES["feed_document"] = _DOCS + "SELECT {}, id % 37 = 0 AS malformed FROM doc_postings".format(
+    ", ".join(
+        f"{_clean(value)} AS {tag}" if tag == "partnerJobId" else f"CASE WHEN id % 37 <> 0 THEN {_clean(value)} END AS {tag}"
+        for tag, value in _CHILDREN.items()
+    )
+)
 _ORACLES["utf8_repair"] = (
     "SELECT doc_id, text || CASE doc_id % 3 WHEN 0 THEN chr(65533) || chr(65533) WHEN 1 THEN chr(65533) ELSE '' END AS text"
     " FROM documents"
@@ -545,6 +552,7 @@ _LINE = _object(
 )
 _ORACLES["access_log_json"] = _LOG + f"SELECT event_id, {_LINE} AS line FROM located"
 _ORACLES["stream_access_log"] = _LOG + f"SELECT {_LINE} AS line FROM located"
+_ORACLES["log_compacted"] = _ORACLES["stream_access_log"]
 _ORACLES["stream_progress"] = _BOTH + (
     "SELECT 'run-1' AS run_id, processed, total, CASE WHEN total > 0 THEN CAST(printf('%.1f', processed / total * 100) AS DOUBLE) ELSE 0 END AS percentage,"
     " processed >= total AND total > 0 AS complete, CASE WHEN sample = 1 THEN processed ELSE 0 END AS new_records"

@@ -16,7 +16,7 @@ from postfeed.operators import progress as progress_ops
 from postfeed.plans import jobs
 from postfeed.schema import PUBLISHED, REVISION_COLUMNS, revision_columns
 from postfeed.session import materialise, scratch_path, spread
-from postfeed.sources import feed, tables
+from postfeed.sources import feed, feedread, tables
 from postfeed.sources.keyindex import KeyIndex
 from postfeed.sources.versions import VersionedTable
 from postfeed.streaming import streams
@@ -364,6 +364,29 @@ def feed_order(spark, sf_dir):
     return places.select("place", F.col("found").cast("long").alias("id"))
 
 
+@_query
+def feed_document(spark, sf_dir):
+    """All jobs of a feed of which some are broken: those are set aside and only their key is shown."""
+    path = scratch_path(spark, "feed")
+    xml = F.when(F.col("id") % 37 == 0, F.replace("xml", F.lit("</title>"), F.lit("</tile>"))).otherwise(F.col("xml"))
+    feed.feed_rows(view(spark, sf_dir, "doc_postings")).select(xml).write.text(path)
+    read, aside = feedread.read_document(spark, path)
+    key = F.regexp_extract("text", r"<partnerJobId><!\[CDATA\[([^\]]*)\]", 1)
+    broken = aside.select(key.alias("partnerJobId"), F.lit(True).alias("malformed"))
+    return read.withColumn("malformed", F.lit(False)).unionByName(broken, allowMissingColumns=True)
+
+
+@_query
+def feed_refreshed(spark, sf_dir):
+    """The feed after a run over postings of which some were others, lacked or were too many before."""
+    path, rows = scratch_path(spark, "feed"), view(spark, sf_dir, "doc_postings")
+    former = rows.where("id % 90 <> 5").withColumn("position", F.when(F.col("id") < 50, F.lit("old")).otherwise(F.col("position")))
+    more = rows.where("id < 30").withColumn("id", F.col("id") + 1_000_000_000)
+    for postings in (former.unionByName(more), rows):
+        feed.refresh_feed(postings, path, RUN_TS, range_ids=100)
+    return feedread.read_document(spark, f"{path}/1-jobs")[0]
+
+
 @_query
 def utf8_repair(spark, sf_dir):
     # Whole texts as bytes, each followed by bytes that are not valid there.
@@ -609,3 +632,12 @@ def stream_latest(spark, sf_dir):
     run_dir = scratch_path(spark, "latest-stream")
     streams.stream_latest(view_stream(spark, sf_dir, "published", "orders", "o_orderkey"), run_dir).awaitTermination()
     return streams.read_stream_latest(spark, run_dir)
+
+
+@_query
+def log_compacted(spark, sf_dir):
+    run_dir = scratch_path(spark, "log-table")
+    log = VersionedTable(spark, f"{run_dir}/log", streams.LOG_TABLE)
+    arriving = view_stream(spark, sf_dir, "requests", "events", "event_id")
+    streams.stream_log_table(arriving, view(spark, sf_dir, "geo_dim"), log, run_dir, "requests", 100_000, compact_every=3).awaitTermination()
+    return log.read().select("line")

@@ -30,10 +30,10 @@ def key_bucket(key: str, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def digests(df: DataFrame, key: str = "id", columns: Sequence[str] | None = None, buckets: int = BUCKETS, sign: int = 1) -> DataFrame:
-    """Per bucket of keys: rows and the sums of their digests. Rows are summed up before the shuffle."""
+def digests(df: DataFrame, key: str = "id", columns: Sequence[str] | None = None, buckets: int = BUCKETS, sign: int = 1, bucket: Column | None = None) -> DataFrame:
+    """Per bucket of keys, or per value of ``bucket``: rows and the sums of their digests, added up before the shuffle."""
     first, second = row_hashes(sorted(columns or df.columns))
-    words = df.select(key_bucket(key, buckets).alias("bucket"), first.alias("a"), second.alias("b"))
+    words = df.select((key_bucket(key, buckets) if bucket is None else bucket).alias("bucket"), first.alias("a"), second.alias("b"))
     parts = [F.shiftrightunsigned("a", 32), F.col("a").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("b", 32), F.col("b").bitwiseAND(0xFFFFFFFF)]
     return words.groupBy("bucket").agg((F.count(F.lit(1)) * sign).alias("n"), *[(F.sum(p) * sign).alias(w) for w, p in zip(WORDS, parts)])
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postfeed.functions.feedxml import JOB_CHILDREN, feed_head, feed_tail, job_element
 from postfeed.functions.text import rfc_date
+from postfeed.operators import rowdigest
+from postfeed.session import materialise, path_exists
 from postfeed.sources.tables import latest_build
 
 HEAD, JOBS, TAIL = 0, 1, 2
@@ -85,9 +87,48 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
         .schema(FEED_JOB)
         .load(f"{path}/{_FOLDERS[JOBS]}")
     )
+    return jobs.select(*job_values())
+
+
+def job_values(parent: str = "") -> list[Column]:
+    """The text of each child of a job, as read from XML."""
     # An empty element and the gap before a CDATA section are markup, not part of the value.
     values = []
     for tag, _, gap in JOB_CHILDREN:
-        text = F.coalesce(tag, F.lit(""))
+        text = F.coalesce(f"{parent}{tag}", F.lit(""))
         values.append((F.regexp_replace(text, f"^{gap}", "") if gap else text).alias(tag))
-    return jobs.select(*values)
+    return values
+
+
+# Ids whose jobs are one part of a feed that is kept up to date.
+RANGE_IDS = 100_000
+
+
+def refresh_feed(df: DataFrame, path: str, now: datetime, range_ids: int = RANGE_IDS) -> int:
+    """Bring the feed below ``path`` up to date and return how many ranges of ids were rendered.
+
+    Jobs stand in order of id in one part for each ``range_ids`` ids. A digest of what is shown of a range is kept
+    with the feed; only ranges whose digest has changed are rendered and replaced, those without rows are removed.
+    The digests are written last: a run that broke off is done again by the next one. Ids are not negative. The document
+    is ``0-head``, ``1-jobs`` and ``2-tail``, each in path order.
+    """
+    spark = df.sparkSession
+    shown = ["id", "partner_job_id", *dict.fromkeys(c for _, c, _ in JOB_CHILDREN if c != "feed_key")]
+    rows = df.select(*shown).withColumn("range", F.lpad(F.expr(f"id div {int(range_ids)}").cast("string"), 15, "0"))
+    digests = materialise(rowdigest.digests(rows.drop("range"), columns=shown, bucket=F.lpad(F.expr(f"id div {int(range_ids)}").cast("string"), 15, "0")), "feed-digests")
+    kept = f"{path}/_digests"
+    before = spark.read.schema(digests.schema).parquet(kept) if path_exists(spark, f"{kept}/_SUCCESS") else digests.limit(0)
+    changed = materialise(rowdigest.differing_buckets(digests, before).select(F.col("bucket").alias("range")), "changed-ranges")
+    gone = [r.range for r in changed.join(digests, F.col("range") == F.col("bucket"), "left_anti").collect()]
+    jobs = rows.join(changed, "range", "left_semi").repartition("range").sortWithinPartitions("range", "id")
+    jobs = jobs.select("range", job_element().alias("xml"))
+    out = jobs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("range")
+    out.text(f"{path}/{_FOLDERS[JOBS]}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    for name in gone:
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_FOLDERS[JOBS]}/range={name}"), True)
+    head = feed_build_date(df, now).select(feed_head(F.col("build_date")))
+    for section, part in ((HEAD, head), (TAIL, spark.range(1).select(feed_tail()))):
+        part.write.mode("overwrite").text(f"{path}/{_FOLDERS[section]}")
+    digests.write.mode("overwrite").parquet(kept)
+    return changed.count() - len(gone)

@@ -205,6 +205,11 @@ class VersionedTable:
             if gone:
                 kept = old.join(self.spark.createDataFrame([(name,) for name in gone], "file string"), "file", "left_anti")
                 added = added.unionByName(self._write(self._rows(gone).join(victims, on, "left_anti")))
+        return self._entry(commit, before, kept, added)
+
+    def _entry(self, commit: str, before: Version | None, kept: DataFrame, added: DataFrame) -> Version:
+        """The version of the files in ``kept`` and ``added``, published after ``before``."""
+        number = before.version if before else 0
         listing = f"files/{uuid.uuid4().hex}"
         now = kept.unionByName(added)
         n_files, n_new = now.count(), added.count()
@@ -227,6 +232,37 @@ class VersionedTable:
         """All rows anew, which ``df`` may take from the table: no file of an older version is touched."""
         return self.commit(commit, append=df, replace=True)
 
+    def compact(self, commit: str, rows_per_file: int, order: str | None = None) -> Version | None:
+        """A version of the same rows in which the small files, under half of ``rows_per_file`` rows, are put together.
+
+        New files have about that many rows, by range of ``order`` if given; all others are carried over. So the
+        number of files is bounded by the rows, however many commits made them. With fewer than two small files
+        nothing is done. Commits that happen meanwhile are kept; a small file that one of them has rewritten makes
+        the compaction start again.
+        """
+        done = self.applied(commit)
+        if done is not None:
+            return self.version(done)
+        small, added = None, None
+        for attempt in range(ATTEMPTS):
+            before = self.version()
+            listed = self.files(before.version if before else 0)
+            # Names of files, which Spark keeps on the driver to read the table.
+            there = {r.file: r.n for r in listed.collect()}
+            if small is None or not set(small) <= set(there):
+                small = [name for name, n in there.items() if 2 * n < rows_per_file]
+                if len(small) < 2:
+                    return before
+                parts = -(-sum(there[name] for name in small) // rows_per_file)
+                rows = self._rows(small)
+                added = self._write(rows.repartitionByRange(parts, order) if order else rows.repartition(parts))
+            names = self.spark.createDataFrame([(name,) for name in small], "file string")
+            try:
+                return self._entry(commit, before, listed.join(names, "file", "left_anti"), added)
+            except Conflict:
+                time.sleep(min(2.0, 0.05 * 2**attempt))
+        raise Conflict(f"{commit}: {ATTEMPTS} times another commit was first")
+
     def history(self) -> DataFrame:
         """The entries of the log in order of version."""
         rows = [tuple(asdict(self.version(v)).values()) for v in self.versions()]

@@ -22,6 +22,7 @@ from postfeed.schema import PUBLISHED
 from postfeed.session import drop_scratch, path_exists, scratch_path
 from postfeed.sources.keyindex import KeyIndex
 from postfeed.sources.tables import read_published
+from postfeed.sources.versions import VersionedTable
 
 WATCH_INTERVAL = "5 seconds"
 
@@ -130,6 +131,37 @@ def stream_access_log(
     return _start(requests, run_dir, handle, trigger)
 
 
+LOG_TABLE = T.StructType([T.StructField("time", T.StringType()), T.StructField("line", T.StringType())])
+
+
+def stream_log_table(
+    requests: DataFrame,
+    geo_dim: DataFrame,
+    table: VersionedTable,
+    run_dir: str,
+    name: str,
+    rows_per_file: int,
+    compact_every: int = 100,
+    mask: bool = True,
+    hot_rows: int = HOT_ROWS,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Append arriving requests as JSON lines to a versioned table of LOG_TABLE, whose small files are put together
+    by range of time after every ``compact_every`` batches.
+
+    ``name`` tells the streams apart that write to the table: a batch that is repeated is not appended again.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        records = request_records(batch, geo_dim, mask, hot_rows=hot_rows)
+        lines = log_lines(records).select(F.get_json_object("line", "$.time").alias("time"), "line")
+        table.append(lines, f"{name}-{batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            table.compact(f"{name}-{batch_id}-compact", rows_per_file, order="time")
+
+    return _start(requests, run_dir, handle, trigger)
+
+
 def read_access_log(spark: SparkSession, run_dir: str) -> DataFrame:
     return spark.read.text(f"{run_dir}/log").select(F.col("value").alias("line"))
 
