@@ -104,7 +104,9 @@ def load_new(
         fresh = fit.select("id").join(new_ids, "id", "left_semi")
     else:
         fresh = new_postings(fit.select("id", "partner_job_id"), published, hot_rows=hot_rows)
-    ids = assign_ids(fresh, start)
+    # Written twice: sorting samples its input, and ids of a known size are not met by a shuffle of the wide rows while
+    # they are few.
+    ids = materialise(assign_ids(materialise(fresh.select("id"), "fresh-ids"), start), "new-ids")
     rows = staging_to_published(fit.join(ids, "id").drop("id").withColumnRenamed("new_id", "id"), keep=["id"])
     rewritten = rewrite_text(rows.withColumn("__given", F.col("description")), rewriter, workers=workers)
     # A rewritten text can be longer than its column; the given one fits.

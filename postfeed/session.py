@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +50,26 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch[app_id]
 
 
+_scopes = threading.local()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/postfeed/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/postfeed/{name}-{uuid.uuid4().hex}"
+    for taken in getattr(_scopes, "open", [])[-1:]:
+        taken.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the scratch folders that this thread has taken in it; nothing may read them later."""
+    _scopes.open = [*getattr(_scopes, "open", []), []]
+    try:
+        yield
+    finally:
+        for path in _scopes.open.pop():
+            drop_scratch(spark, path)
 
 
 def spread(df: DataFrame) -> DataFrame:

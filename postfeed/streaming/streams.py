@@ -19,7 +19,7 @@ from postfeed.operators.rewrite import RewriterFactory, load_new, rejected_new
 from postfeed.operators.sync import progress
 from postfeed.operators.winners import KEY, standing, winner_id
 from postfeed.schema import PUBLISHED
-from postfeed.session import drop_scratch, path_exists, scratch_path
+from postfeed.session import materialise, path_exists, scratch_scope
 from postfeed.sources.keyindex import KeyIndex
 from postfeed.sources.tables import read_published
 from postfeed.sources.versions import VersionedTable
@@ -68,20 +68,19 @@ def stream_sync(
     def handle(batch: DataFrame, batch_id: int) -> None:
         # Kept while the batch is handled: its files are read once.
         batch = (prepare(batch) if prepare else batch).persist()
-        scratch = scratch_path(spark, "sync-batch")
-        before = f"{run_dir}/next_id/batch_id={batch_id - 1}"
-        start = spark.read.parquet(before).first()[0] if batch_id else first
-        # The batch's keys are written first, as the index is asked in steps; it reads only buckets that may have one.
-        asked = _write_once(key_set(batch), f"{scratch}/asked")
-        known = _write_once(keys.known(asked), f"{scratch}/known")
-        target = f"{run_dir}/postings/batch_id={batch_id}"
-        load_new(batch, known, now, start, rewriter, workers, hot_rows).write.mode("overwrite").parquet(target)
-        refused = rejected_new(batch, known, hot_rows)
-        refused.write.mode("overwrite").parquet(f"{run_dir}/rejected/batch_id={batch_id}")
-        after = read_published(spark, target).agg((F.count(F.lit(1)) + start).alias("id"))
-        after.write.mode("overwrite").parquet(f"{run_dir}/next_id/batch_id={batch_id}")
+        with scratch_scope(spark):
+            before = f"{run_dir}/next_id/batch_id={batch_id - 1}"
+            start = spark.read.parquet(before).first()[0] if batch_id else first
+            # The batch's keys are written first, as the index is asked in steps; it reads only buckets that may have one.
+            asked = materialise(key_set(batch), "asked")
+            known = materialise(keys.known(asked), "known")
+            target = f"{run_dir}/postings/batch_id={batch_id}"
+            load_new(batch, known, now, start, rewriter, workers, hot_rows).write.mode("overwrite").parquet(target)
+            refused = rejected_new(batch, known, hot_rows)
+            refused.write.mode("overwrite").parquet(f"{run_dir}/rejected/batch_id={batch_id}")
+            after = read_published(spark, target).agg((F.count(F.lit(1)) + start).alias("id"))
+            after.write.mode("overwrite").parquet(f"{run_dir}/next_id/batch_id={batch_id}")
         batch.unpersist()
-        drop_scratch(spark, scratch)
 
     return _start(staging, run_dir, handle, trigger)
 

@@ -157,3 +157,29 @@ def test_compaction_keeps_commits_that_come_between(spark, monkeypatch):
     monkeypatch.setattr(VersionedTable, "_publish", publish)
     table.compact("tidy", rows_per_file=100)
     assert sorted(r.id for r in table.read().collect()) == sorted({*range(40), *range(900, 905)} - {3})
+
+
+def test_the_log_stream_fills_a_table_once(spark):
+    from postfeed.catalog.views import view, view_stream
+    from postfeed.streaming import streams
+
+    sf, run_dir = "/root/testdata/sf0.001", scratch_path(spark, "log-stream")
+    table = VersionedTable(spark, f"{run_dir}/log", streams.LOG_TABLE)
+    for run in ("a", "b"):
+        # The second start has lost its progress and sends the same batches again.
+        arriving = view_stream(spark, sf, "requests", "events", "event_id")
+        streams.stream_log_table(arriving, view(spark, sf, "geo_dim"), table, f"{run_dir}/{run}", "requests", 10_000, compact_every=3).awaitTermination()
+    assert table.read().count() == spark.read.parquet(f"{sf}/events.parquet").count()
+    assert table.read().where("time IS NULL").count() == 0 and table.version().files == 1
+
+
+def test_scratch_of_a_scope_goes_with_it(spark):
+    from postfeed.session import materialise, path_exists, scratch_scope
+
+    kept = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    with scratch_scope(spark):
+        inner = materialise(spark.range(5), "inner")
+        path = inner.inputFiles()[0].rsplit("/", 1)[0]
+        assert inner.count() == 5
+    assert not path_exists(spark, path) and path_exists(spark, kept)
