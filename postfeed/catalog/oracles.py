@@ -251,6 +251,24 @@ for _name, _step in {
 }.items():
     _ORACLES[_name] = _PAGES + f"SELECT id, {_step} AS html FROM page_postings"
 
+# The stack of open tags, innermost first, then chr(1), then the text so far.
+_STEP = """
+CASE WHEN NOT regexp_matches(x, '(?i)^</?(?:b|strong|u|i|p|ul|li|em)>$') THEN a || x
+WHEN starts_with(x, '</') THEN CASE WHEN {own} > 0 THEN substr({st}, {own} + length({t})) || chr(1) || {out} || replace(left({st}, {own} + length({t}) - 1), '<', '</') ELSE a END
+WHEN {t} = '<p>' AND {own} > 0 THEN '<p>' || substr({st}, {own} + 3) || chr(1) || {out} || replace(left({st}, {own} + 2), '<', '</') || '<p>'
+WHEN {t} = '<li>' AND {own} > 0 AND (instr({st}, '<ul>') = 0 OR {own} < instr({st}, '<ul>'))
+  THEN '<li>' || substr({st}, {own} + 4) || chr(1) || {out} || replace(left({st}, {own} + 3), '<', '</') || '<li>'
+WHEN {t} = '<li>' AND instr({st}, '<ul>') = 0 THEN '<li><ul>' || {st} || chr(1) || {out} || '<ul><li>'
+ELSE {t} || {st} || chr(1) || {out} || {t} END""".format(
+    st="split_part(a, chr(1), 1)", out="substr(a, instr(a, chr(1)) + 1)", t="lower(replace(x, '/', ''))",
+    own="instr(split_part(a, chr(1), 1), lower(replace(x, '/', '')))",
+)
+_ORACLES["balanced_tags"] = _with(
+    "page_postings",
+    more=f"allowed AS (SELECT id, {_allow('html')} AS html FROM page_postings), folded AS (SELECT id, html, list_reduce(list_concat([chr(1)],"
+    f" regexp_extract_all(html, '(?i)</?(?:b|strong|u|i|br|p|ul|li|em)>|[^<]+|<')), lambda a, x: {_STEP}) AS a FROM allowed),"
+    " closed AS (SELECT id, html, substr(a, instr(a, chr(1)) + 1) || replace(split_part(a, chr(1), 1), '<', '</') AS done FROM folded)",
+) + "SELECT id, done AS html, done = html AS was_balanced FROM closed"
 _ORACLES["strip_text"] = _STG + f"SELECT id, {_stripped('job_description')} AS stripped FROM staging"
 _ORACLES["label_counts"] = _with(
     "page_postings",

@@ -424,6 +424,13 @@ def map_tags(spark, sf_dir):
     return _page_column(spark, sf_dir, markup.map_tags)
 
 
+@_query
+def balanced_tags(spark, sf_dir):
+    """Texts whose tags were filtered, before and after they are closed in order."""
+    allowed = _page_column(spark, sf_dir, markup.allow_tags)
+    return allowed.select("id", markup.balance_tags("html").alias("html"), markup.tags_balanced("html").alias("was_balanced"))
+
+
 @_query
 def remove_links(spark, sf_dir):
     return _page_column(spark, sf_dir, markup.remove_links)

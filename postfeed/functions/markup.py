@@ -109,6 +109,46 @@ def _addresses(html: Column) -> Column:
     return _drop(html, _URL)
 
 
+# Tags as ``allow_tags`` leaves them, and what stands between them.
+_TAG_TOKENS = rf"(?i)</?(?:{_ALLOWED})>|[^<]+|<"
+
+
+def balance_tags(html: Column | str) -> Column:
+    """Every tag closed in the order of nesting, for a text of allowed tags without attributes.
+
+    A paragraph ends an open one, an item ends an open item of its list and begins a list if there is none. A
+    closing tag closes what is open inside; one that closes nothing goes. The stack of open tags goes along the
+    tokens of the text, innermost first. Time grows with tokens times length, both bounded by the column's width.
+    """
+    stack_at = lambda stack, tag: F.locate(tag, stack)
+
+    def step(acc: Column, token: Column) -> Column:
+        stack, out = acc["stack"], acc["out"]
+        tag = F.lower(F.replace(token, F.lit("/"), F.lit("")))
+        is_tag = token.rlike(rf"(?i)^</?(?:{_ALLOWED})>$") & (tag != "<br>")
+        closing = is_tag & token.startswith("</")
+        # Innermost open tags that go before this one: those up to its own, or up to the one that it ends.
+        own = F.call_function("locate", tag, stack)
+        item, group = stack_at(stack, "<li>"), stack_at(stack, "<ul>")
+        ends_item = (item > 0) & ((group == 0) | (item < group))
+        upto = F.when(closing, own).when(tag == "<p>", own).when((tag == "<li>") & ends_item, item).otherwise(0)
+        gone = F.when(is_tag & (upto > 0), F.left(stack, upto + F.length(tag) - 1)).otherwise("")
+        left = F.substr(stack, F.length(gone) + 1)
+        listed = F.when(~closing & (tag == "<li>") & (stack_at(left, "<ul>") == 0), "<ul>").otherwise("")
+        opened = F.when(is_tag & ~closing, F.concat(tag, listed)).otherwise("")
+        shown = F.when(closing, "").when(is_tag, tag).otherwise(token)
+        return F.struct(F.concat(opened, left).alias("stack"), F.concat(out, F.replace(gone, F.lit("<"), F.lit("</")), listed, shown).alias("out"))
+
+    start = F.struct(F.lit("").alias("stack"), F.lit("").alias("out"))
+    tokens = F.regexp_extract_all(_col(html), F.lit(_TAG_TOKENS), F.lit(0))
+    return F.aggregate(tokens, start, step, lambda acc: F.concat(acc["out"], F.replace(acc["stack"], F.lit("<"), F.lit("</"))))
+
+
+def tags_balanced(html: Column | str) -> Column:
+    """Whether ``balance_tags`` would change nothing."""
+    return balance_tags(html) == _col(html)
+
+
 def remove_links(html: Column | str) -> Column:
     """Bare web addresses go; anchors are unwrapped, their text stays."""
     return _drop(_drop(_col(html), _URL), _ANCHOR)

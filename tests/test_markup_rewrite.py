@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import re
 import time
 
 import pytest
@@ -252,3 +254,52 @@ def test_no_text_ends_or_stops_a_job(spark, tmp_path, staging, published):
     breaks = staging({"id": 1, "job_description": "<br>" * 16_000}, {"id": 2, "job_description": "</p>" + "<br>" * 16_000})
     loaded = rewrite.load_new(breaks, published(), F.lit(NOW.isoformat(sep=" ")).cast("timestamp_ntz"), 1)
     assert sorted(r.description for r in loaded.collect()) == ["</p><br><br>", "<br><br>"]
+
+
+def balanced(text):
+    """Tag by tag, with a list as the stack."""
+    out, stack = [], []
+
+    def close_to(i):
+        while len(stack) > i:
+            out.append(f"</{stack.pop()}>")
+
+    for token in re.findall(r"(?i)</?(?:b|strong|u|i|br|p|ul|li|em)>|[^<]+|<", text):
+        m = re.fullmatch(r"(?i)<(/?)(b|strong|u|i|p|ul|li|em)>", token)
+        if not m:
+            out.append(token)
+            continue
+        name = m[2].lower()
+        at = max((i for i, n in enumerate(stack) if n == name), default=None)
+        if m[1]:
+            if at is not None:
+                close_to(at)
+            continue
+        if name == "p" and at is not None:
+            close_to(at)
+        if name == "li":
+            group = max((i for i, n in enumerate(stack) if n == "ul"), default=-1)
+            if at is not None and at > group:
+                close_to(at)
+            if "ul" not in stack:
+                stack.append("ul")
+                out.append("<ul>")
+        stack.append(name)
+        out.append(f"<{name}>")
+    close_to(0)
+    return "".join(out)
+
+
+def test_tags_are_balanced(spark):
+    rng = random.Random(7)
+    bits = ["<p>", "</p>", "<ul>", "</ul>", "<li>", "</li>", "<b>", "</b>", "<i>", "</I>", "<EM>", "</em>", "<br>", "text", " < ", "è", "<u>", "</strong>"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(25))) for _ in range(300)] + ["", None, "<li>a<li>b", "<p>a<p>b", "</p></p>x", "<ul><li>a<ul><li>b</ul>c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    got = df.select("id", "t", markup.balance_tags("t").alias("b"), markup.tags_balanced("t").alias("was")).collect()
+    for r in got:
+        want = None if r.t is None else balanced(r.t)
+        assert r.b == want and r.was == (None if r.t is None else want == r.t), r.t
+    again = df.select("id", markup.balance_tags(markup.balance_tags("t")).alias("b"))
+    assert {r.id: r.b for r in again.collect()} == {r.id: r.b for r in got}
+    shown = dict(zip(texts[-4:], [r.b for r in got][-4:]))
+    assert shown["<li>a<li>b"] == "<ul><li>a</li><li>b</li></ul>" and shown["<p>a<p>b"] == "<p>a</p><p>b</p>" and shown["</p></p>x"] == "x"
