@@ -2,8 +2,8 @@
 
 Totals by source, language and tokenizer version are sums of signed deltas: an insert adds a
 document and its tokens, a delete takes both away, a revised count takes away the old tokens and adds the
-new ones. A batch is one folder of summed deltas, named by its id and written as a whole, so a batch that is
-committed again replaces itself.
+new ones. A batch is one version of a table of summed deltas: it is there as a whole or not at all, and committed
+again under its id it changes nothing.
 """
 
 from __future__ import annotations
@@ -14,11 +14,15 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postfeed.llm.common import slices
-from postfeed.session import path_exists
+from postfeed.sources.versions import VersionedTable
 
 KEYS = ["source", "lang", "tokenizer"]
+# Sums in a file that ``tidy`` writes.
+FILE_ROWS = 1_000_000
+
 _SCHEMA = "source string, lang string, tokenizer string, docs long, tokens long"
 
 
@@ -66,26 +70,29 @@ def _deltas(counted, tokenizer, docs, tokens) -> DataFrame:
 
 
 class Rollup:
-    """Totals kept below one shared path, a folder per batch.
+    """Totals kept below one shared path, a version of a table for each batch.
 
-    Null sources and languages are groups of their own. Empty batches and batches of deltas that cancel out
-    are fine, and committing the same batch again changes nothing. Totals that are all zero are left out.
+    Null sources and languages are groups of their own, and null texts count as documents without tokens. Empty batches
+    and batches of deltas that cancel out are fine. Rows that repeat in a batch count as often. What a delete or
+    a revision takes away is taken on trust: one committed under two ids counts twice and a delete of what was never
+    inserted leaves negative totals. Texts are not looked at here, so their length does not matter. Totals that
+    are all zero are left out.
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+        self.table = VersionedTable(spark, path, T.StructType.fromDDL(_SCHEMA))
 
     def commit(self, batch: str, deltas: DataFrame) -> None:
-        """Writes the sums of a batch's deltas; summed before the shuffle, so a hot source costs a row per task."""
+        """Adds the sums of a batch's deltas, unless the batch has been added; summed before the shuffle, so a hot source costs a row per task."""
         if not re.fullmatch(r"[A-Za-z0-9_-]+", batch):
             raise ValueError("a batch id has letters, digits, - and _ only")
-        sums = deltas.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        sums.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        self.table.append(deltas.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")), batch)
+
+    def tidy(self, commit: str, rows_per_file: int = FILE_ROWS) -> None:
+        """Puts the small files of many batches together; the totals stay and batches stay known."""
+        self.table.compact(commit, rows_per_file)
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, docs, tokens over all committed batches."""
-        if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], _SCHEMA)
-        committed = self.spark.read.schema(_SCHEMA).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(self.path)
-        sums = committed.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+        sums = self.table.read().groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return sums.where("docs != 0 OR tokens != 0")

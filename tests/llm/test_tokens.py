@@ -185,10 +185,28 @@ def test_rollup_is_delta_maintained(spark, tmp_path, odd, nothing):
     assert got() == {k: tuple(v) for k, v in want.items()}
     book.commit("none", rollup.inserts(rollup.token_counts(nothing, {"t": lambda: str.split}), "v1", "t"))
     assert got() == {k: tuple(v) for k, v in want.items()}
+    # Put together, the totals are the same and a batch is still known.
+    book.tidy("tidy")
+    book.commit("one", rollup.inserts(counted, "v1", "t"))
+    assert got() == {k: tuple(v) for k, v in want.items()} and book.table.version().files == 1
     with pytest.raises(ValueError):
         book.commit("../x", rollup.inserts(counted, "v1", "t"))
 
 
+def test_a_batch_that_breaks_off_is_not_counted(spark, tmp_path, odd, monkeypatch):
+    book = rollup.Rollup(spark, f"{tmp_path}/book")
+    counted = rollup.token_counts(odd, {"t": lambda: str.split})
+    book.commit("one", rollup.inserts(counted, "v1", "t"))
+    before = sorted(map(str, book.totals().collect()))
+    monkeypatch.setattr(type(book.table), "_publish", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        book.commit("two", rollup.deletes(counted, "v1", "t"))
+    monkeypatch.undo()
+    assert sorted(map(str, book.totals().collect())) == before
+    book.commit("two", rollup.deletes(counted, "v1", "t"))
+    assert book.totals().count() == 0
+
+
 def test_token_counts_query_against_brute_force(spark, documents, library):
     sf_dir = "/root/testdata/sf0.001"
     toxic = {r.doc_id for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if r.toxic == 1}
