@@ -5,7 +5,9 @@ smallest word-group hashes of every WINDOW neighbouring ones, so a passage that
 several documents starts its paragraphs at the same words in each. Passages meet on their digest. Lines
 meet in bands of a MinHash signature, tuned for recall; those that meet are confirmed by the exact Jaccard
 similarity of their shingles, and components of what is confirmed are clusters. Of each cluster the first
-occurrence stays, the words of all others are cut out.
+occurrence stays. All others grow on both sides, word by word, while the words are those beside the occurrence
+they repeat; a single other word is passed if SHINGLE_WORDS equal ones follow it. What then is a line, or has
+LEAST words, is cut out.
 """
 
 from __future__ import annotations
@@ -22,13 +24,19 @@ from pyspark.sql import functions as F
 from postfeed.llm.common import SHINGLE_WORDS, SIMILARITY, _Codes, binary, mix, ragged_binary, run_hashes, settled, slices, word_hashes, written
 from postfeed.llm.graph import components
 from postfeed.llm.minhash import PAYLOAD, family_links, signatures
+from postfeed.operators.keyed import keyed_join
 
 # Words of an anchored passage, and neighbouring word groups of which one is an anchor. A passage of
-# PASSAGE + WINDOW + SHINGLE_WORDS - 1 = 50 words that repeats has a paragraph in common for certain.
-PASSAGE, WINDOW = 22, 24
+# PASSAGE + WINDOW - 1 = 35 words that repeats has a paragraph in common for certain; of one of 60 words with a
+# changed word, one of the sides has.
+PASSAGE, WINDOW = 12, 24
 
-# The shortest line that is a paragraph of its own, in words.
-LINE_WORDS = 22
+# Words from which a repeated passage within lines is cut, and the shortest line that is a paragraph of its own.
+LEAST, LINE_WORDS = 22, 12
+
+# Words beside a repeat that it may grow by on either side. Equal words that go on further have an anchor, and so a
+# paragraph, of their own.
+REACH = 48
 
 # Coordinates in a band, and the share of similar pairs that should meet in one.
 BAND_ROWS, RECALL = 2, 0.998
@@ -37,7 +45,13 @@ BAND_ROWS, RECALL = 2, 0.998
 FOLD = 2_000_000
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-_UNITS = "digest long, doc long, print long, start int, words int, line boolean, again boolean, bands binary"
+_UNITS = "digest long, doc long, print long, start int, words int, line boolean, again boolean, first_doc long, first_print long, first_start int, first_words int, bands binary"
+_SPAN = ["doc", "print", "start", "words", "line", "first_doc", "first_print", "first_start", "first_words"]
+_PLACES = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32())]))
+
+# Repeats of one place from which they are spread over several tasks.
+HOT_PLACE = 2_000
+
 _RNG = np.random.default_rng(15)
 
 
@@ -127,6 +141,27 @@ def run_hashes_at(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def _joined_repeats(columns: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Repeats of a task that lie on each other in a text, as they do in what they repeat, as one each."""
+    order = np.lexsort((columns["start"], columns["first_start"] - columns["start"], columns["first_print"], columns["first_doc"], columns["print"], columns["doc"]))
+    rows = {k: v[order] for k, v in columns.items()}
+    end, n = rows["start"] + rows["words"], len(order)
+    if not n:
+        return rows
+    shift = rows["first_start"] - rows["start"]
+    apart = np.zeros(n, bool)
+    apart[0] = True
+    for column in (rows["doc"], rows["print"], rows["first_doc"], rows["first_print"], shift, rows["words"] == rows["first_words"]):
+        apart[1:] |= column[1:] != column[:-1]
+    apart[1:] |= rows["start"][1:] > end[:-1]
+    heads = np.flatnonzero(apart)
+    out = {k: v[heads] for k, v in rows.items()}
+    out["words"] = (np.maximum.reduceat(end, heads) - out["start"]).astype(np.int32)
+    out["first_words"] = out["words"].copy()
+    out["line"] = np.logical_or.reduceat(rows["line"], heads)
+    return out
+
+
 def _units(batches):
     """Paragraphs of a task, with what it repeats already marked as again: only heads have to meet others."""
     held, bands, size = [], [], 0
@@ -139,12 +174,22 @@ def _units(batches):
         order = np.lexsort((start, text, doc, digest))
         same = np.zeros(len(order), bool)
         same[1:] = digest[order][1:] == digest[order][:-1]
+        first = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))] if len(order) else order
         twice = np.zeros(len(order), bool)
         twice[1:] = same[1:] & (doc[order][1:] == doc[order][:-1]) & (text[order][1:] == text[order][:-1]) & (start[order][1:] == start[order][:-1])
-        order, same = order[~twice], same[~twice]
-        row_bands = pa.array([all_bands[keys[i]].tobytes() if keys[i] >= 0 and not again else None for i, again in zip(order.tolist(), same.tolist())], pa.binary())
-        arrays = [pa.array(x[order]) for x in (digest, doc, text, start, words, line)]
-        return pa.record_batch([*arrays, pa.array(same), row_bands], names=["digest", "doc", "print", "start", "words", "line", "again", "bands"])
+        heads, again = order[~same], order[same & ~twice]
+        of = first[same & ~twice]
+        repeats = _joined_repeats({
+            "digest": digest[again], "doc": doc[again], "print": text[again], "start": start[again], "words": words[again], "line": line[again],
+            "first_doc": doc[of], "first_print": text[of], "first_start": start[of], "first_words": words[of],
+        })
+        own = {"digest": digest, "doc": doc, "print": text, "start": start, "words": words, "line": line}
+        row_bands = [all_bands[keys[i]].tobytes() if keys[i] >= 0 else None for i in heads.tolist()] + [None] * len(repeats["doc"])
+        arrays = [pa.array(np.concatenate([v[heads], repeats[k]])) for k, v in own.items()]
+        arrays.append(pa.array(np.arange(len(row_bands)) >= len(heads)))
+        for k in ("first_doc", "first_print", "first_start", "first_words"):
+            arrays.append(pa.concat_arrays([pa.nulls(len(heads), pa.from_numpy_dtype(repeats[k].dtype)), pa.array(repeats[k])]))
+        return pa.record_batch([*arrays, pa.array(row_bands, pa.binary())], names=[*own, "again", "first_doc", "first_print", "first_start", "first_words", "bands"])
 
     for part in slices(batches):
         rows, keys = _paragraphs(part)
@@ -176,7 +221,7 @@ def _runs(columns: list[str]):
             key = rows[0]
             head = np.concatenate([[last is None or key[0] != last[0]], key[1:] != key[:-1]])
             at = np.maximum.accumulate(np.where(head, np.arange(len(key)), -1))
-            firsts = [np.where(at >= 0, r[np.maximum(at, 0)], last[k] if last else 0) for k, r in enumerate(rows)]
+            firsts = [np.where(at >= 0, r[np.maximum(at, 0)], last[k] if last else 0).astype(r.dtype) for k, r in enumerate(rows)]
             last = [f[-1] for f in firsts]
             again = np.flatnonzero(~head)
             if len(again):
@@ -186,7 +231,7 @@ def _runs(columns: list[str]):
 
 
 def repeated_spans(source: DataFrame) -> DataFrame:
-    """``doc``, ``print``, ``start`` and ``words`` of every paragraph that is not the first of its cluster.
+    """Every paragraph that is not the first of its cluster: doc, print, start, words, line, and the same of an earlier one.
 
     ``source`` has doc, print (a hash of the text) and text. Words are counted from 0.
     """
@@ -204,14 +249,110 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     payload = written(payload.dropDuplicates(["node"]), "payload")
     cluster = components(family_links(family, payload))
 
-    heads = units.where("NOT again").select("digest", "doc", "print", "start", "words")
+    heads = units.where("NOT again").select("digest", "doc", "print", "start", "words", "line")
     named = heads.join(cluster.where("node != root").withColumnRenamed("node", "digest"), "digest", "left")
-    spots = named.select(F.coalesce("root", "digest").alias("cluster"), "doc", "print", "start", "words")
+    spots = named.select(F.coalesce("root", "digest").alias("cluster"), "doc", "print", "start", "words", "line")
     placed = spots.repartition("cluster").sortWithinPartitions("cluster", "doc", "print", "start")
-    kinds = "cluster long, doc long, print long, start int, words int, first_doc long, first_print long, first_start int, first_words int"
-    later = placed.mapInArrow(_runs(["cluster", "doc", "print", "start", "words"]), kinds)
+    kinds = "cluster long, doc long, print long, start int, words int, line boolean, first_doc long, first_print long, first_start int, first_words int, first_line boolean"
+    later = placed.mapInArrow(_runs(["cluster", "doc", "print", "start", "words", "line"]), kinds)
     later = later.where("doc != first_doc OR print != first_print OR start != first_start")
-    return units.where("again").select("doc", "print", "start", "words").unionByName(later.select("doc", "print", "start", "words"))
+    return units.where("again").select(*_SPAN).unionByName(later.select(*_SPAN))
+
+
+def _edges(batches):
+    """The repeats of a text as runs without a gap, with the places of what they repeat before and behind them."""
+    names = ["start", "words", "line", "left_doc", "left_print", "left_at", "right_doc", "right_print", "right_at"]
+    for batch in batches:
+        docs, texts, out = [], [], {k: [] for k in names}
+        for doc, text, spans in zip(batch.column("doc").to_pylist(), batch.column("print").to_pylist(), batch.column("spans").to_pylist()):
+            runs = []
+            for span in sorted(spans, key=lambda s: (s["start"], -s["words"], s["first_doc"], s["first_print"], s["first_start"])):
+                end = span["start"] + span["words"]
+                if runs and span["start"] <= runs[-1][1]:
+                    runs[-1][2] |= span["line"]
+                    if end > runs[-1][1]:
+                        runs[-1][1], runs[-1][4] = end, span
+                else:
+                    runs.append([span["start"], end, span["line"], span, span])
+            for start, end, line, left, right in runs:
+                docs.append(doc)
+                texts.append(text)
+                row = (start, end - start, line, left["first_doc"], left["first_print"], left["first_start"], right["first_doc"], right["first_print"], right["first_start"] + right["first_words"])
+                for name, value in zip(names, row):
+                    out[name].append(value)
+        kinds = [pa.int32(), pa.int32(), pa.bool_(), *[pa.int64(), pa.int64(), pa.int32()] * 2]
+        arrays = [pa.array(docs, pa.int64()), pa.array(texts, pa.int64()), *(pa.array(v, k) for v, k in zip(out.values(), kinds))]
+        yield pa.record_batch(arrays, names=["doc", "print", *names])
+
+
+def _beside(words: list[bytes], at: int, right: bool) -> np.ndarray:
+    """Hashes of up to REACH words behind a place, or before it, the nearest first."""
+    near = words[at : at + REACH] if right else words[max(0, at - REACH) : at][::-1]
+    return word_hashes(near).astype(np.uint32)
+
+
+def _contexts(batches):
+    for part in slices(batches):
+        keys, found = [], []
+        for text, asked in zip(part.column("text").to_pylist(), part.column("asked").to_pylist()):
+            words = text.encode("utf-8", "surrogatepass").lower().split()
+            for place in asked:
+                keys.append(place["key"])
+                found.append(_beside(words, place["at"], place["right"]).tobytes())
+        yield pa.record_batch([pa.array(keys, pa.string()), pa.array(found, pa.binary())], names=["key", "beside"])
+
+
+def with_contexts(spans: DataFrame, source: DataFrame) -> DataFrame:
+    """``doc``, ``print`` and ``spans``: the runs of repeats of a text with the words beside what they repeat.
+
+    Each place is looked up once, however many repeat it, and goes to them by a join that spreads hot places.
+    """
+    listed = spans.groupBy("doc", "print").agg(F.collect_list(F.struct(*_SPAN[2:])).alias("spans"))
+    kinds = "doc long, print long, start int, words int, line boolean, left_doc long, left_print long, left_at int, right_doc long, right_print long, right_at int"
+    runs = listed.mapInArrow(_edges, kinds)
+    key = {side: F.concat_ws(":", F.lit(side), *[F.col(f"{side}_{c}").cast("string") for c in ("doc", "print", "at")]) for side in ("left", "right")}
+    runs = runs.withColumns({"left": key["left"], "right": key["right"], "id": F.xxhash64("doc", "print", "start")})
+    runs = written(runs, "runs")
+    sides = [runs.select(F.col(f"{s}_doc").alias("doc"), F.col(f"{s}_print").alias("print"), F.col(f"{s}_at").alias("at"), F.lit(s == "right").alias("right"), F.col(s).alias("key")) for s in ("left", "right")]
+    asked = sides[0].unionAll(sides[1]).distinct().groupBy("doc", "print").agg(F.collect_list(F.struct("key", "at", "right")).alias("asked"))
+    # Rows that share an id and a text give the same words.
+    found = source.join(written(asked, "places").hint("merge"), ["doc", "print"]).select("text", "asked").mapInArrow(_contexts, "key string, beside binary")
+    found = written(found.dropDuplicates(["key"]), "beside")
+    told = runs.select("doc", "print", "start", "words", "line", "left", "right", "id")
+    for side in ("left", "right"):
+        entries = found.where(F.col("key").startswith(side)).select(F.col("key").alias(side), F.col("beside").alias(f"{side}_words"))
+        told = written(keyed_join(told, entries, side, "left", hot_rows=HOT_PLACE).drop(side), f"told-{side}")
+    return told.groupBy("doc", "print").agg(F.collect_list(F.struct("start", "words", "line", "left_words", "right_words")).alias("spans"))
+
+
+def grown(own: np.ndarray, other: np.ndarray) -> int:
+    """By how many words a repeat grows: to the last equal one, over single others that equal ones follow."""
+    n = min(len(own), len(other))
+    same = own[:n] == other[:n]
+    at = 0
+    while at < n:
+        if same[at]:
+            at += 1
+        elif at + SHINGLE_WORDS < n and same[at + 1 : at + 1 + SHINGLE_WORDS].all():
+            at += 1 + SHINGLE_WORDS
+        else:
+            break
+    return at
+
+
+def widened(words: list[bytes], spans: list[dict]) -> list[tuple[int, int]]:
+    """The spans (start, words) to cut from a text: its runs of repeats, grown on both sides and joined where they meet."""
+    out: list[list] = []
+    for span in sorted(spans, key=lambda s: s["start"]):
+        start, end = span["start"], span["start"] + span["words"]
+        left, right = (np.frombuffer(span[k] or b"", dtype=np.uint32) for k in ("left_words", "right_words"))
+        start -= grown(_beside(words, start, False), left)
+        end += grown(_beside(words, end, True), right)
+        if out and start <= out[-1][1]:
+            out[-1] = [min(start, out[-1][0]), max(end, out[-1][1]), out[-1][2] or span["line"]]
+        else:
+            out.append([start, end, span["line"]])
+    return [(a, b - a) for a, b, line in out if line or b - a >= LEAST]
 
 
 def _line_payload(batches):
@@ -259,15 +400,17 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> tuple[str, int, in
 def _cut(width: int):
     def run(batches):
         for part in slices(batches):
-            texts, words, removed = [], [], []
+            texts, words, removed, places = [], [], [], []
             for text, spans in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
-                kept, n, gone = without_words(text or "", [(s["start"], s["words"]) for s in spans or ()])
+                cuts = widened(text.encode("utf-8", "surrogatepass").lower().split(), spans) if spans else []
+                kept, n, gone = without_words(text or "", cuts)
+                places.append([{"start": a, "words": b} for a, b in cuts] if spans else None)
                 texts.append(None if text is None else kept)
                 words.append(n)
                 removed.append(gone)
             arrays = [part.column(i) for i in range(width)]
             names = [part.schema.names[i] for i in range(width)]
-            yield pa.record_batch([*arrays, pa.array(texts, pa.string()), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), part.column("spans")], names=[*names, "text", "n_words", "n_removed", "spans"])
+            yield pa.record_batch([*arrays, pa.array(texts, pa.string()), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(places, _PLACES)], names=[*names, "text", "n_words", "n_removed", "spans"])
 
     return run
 
@@ -276,8 +419,8 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
     """Columns ``keep`` as __keep_0, ..., doc_id, text without repeated paragraphs, n_words, n_removed, spans.
 
     One row per row of ``documents``. The first occurrence of a cluster by id and place stays, all others
-    are cut, in whatever documents they stand; a document may be left empty. Paragraphs of fewer than 22 words
-    are not looked for. Null and empty texts stay as they are. Rows with a null id are not compared and stay
+    are cut, in whatever documents they stand; a document may be left empty. Repeated lines of fewer than 12 words,
+    and repeats within lines that are not 22 words long when grown, stay. Null and empty texts stay as they are. Rows with a null id are not compared and stay
     whole. Rows that share an id and a text are one occurrence and are cut alike; rows that share an id only
     are documents of their own. An empty table gives an empty result; extra columns are not looked at.
     """
@@ -285,8 +428,8 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
     rows = documents.select(*kept, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("print", F.xxhash64("text"))
     source = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").alias("doc"), "print", "text")
-    by_text = F.sort_array(F.collect_set(F.struct("start", "words"))).alias("spans")
-    spans = settled(documents.sparkSession, "spans", lambda: repeated_spans(source).groupBy(F.col("doc").alias("doc_id"), "print").agg(by_text))
+    found = settled(documents.sparkSession, "spans", lambda: with_contexts(written(repeated_spans(source), "repeats"), source))
+    spans = found.withColumnRenamed("doc", "doc_id")
     joined = rows.join(spans.hint("merge"), ["doc_id", "print"], "left")
     width = len(keep) + 1
     ordered = joined.select(*[f"__keep_{k}" for k in range(len(keep))], "doc_id", "text", "spans")
