@@ -1,9 +1,8 @@
 """A quality classifier: a byte-level convolutional network in numpy.
 
 A document is covered by overlapping chunks of bytes. In each chunk learned filters run over the embedded
-bytes, and planes of byte equality at fixed lags show repetition. The filters' responses are pooled by their
-maximum and mean, the lags by their rate; pooled again over all chunks of the document, they go
-through a hidden layer to one probability.
+bytes, and each filter's response is pooled by its maximum over the chunk. Over all chunks of the document the
+maxima are pooled by their maximum and their mean, and go through a hidden layer to one probability.
 """
 
 from __future__ import annotations
@@ -16,18 +15,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import slices
+from postfeed.llm.common import slices, written
 
 # Bytes of a chunk, and how many of them the next chunk repeats.
 CHUNK, OVERLAP = 512, 64
 
-# Embedding size, filter width, filters, lags and hidden units.
-EMBED, WIDTH, FILTERS, HIDDEN = 6, 5, 12, 12
-LAGS = tuple(range(1, 33))
+# Embedding size, filter width, filters and hidden units.
+EMBED, WIDTH, FILTERS, HIDDEN = 6, 6, 20, 12
 
-# Labelled rows that a model is fitted on at most, for each of the two labels, and chunks of each, spread evenly.
-TRAIN_ROWS, TRAIN_CHUNKS = 800, 4
-EPOCHS, BATCH, RATE, SEED = 8, 32, 0.01, 7
+# Labelled rows that a model is fitted on at most, and bytes of their texts, for each of the two labels. All chunks of
+# a row are learnt from.
+TRAIN_ROWS, TRAIN_BYTES = 800, 6 << 20
+BATCH, RATE, SEED = 32, 0.01, 7
+
+# Passes over the sample, more of them where it is small, so that there are STEPS steps at least.
+EPOCHS, STEPS = 8, 400
 
 # Remainder of crc32(id as text) modulo FOLDS that marks rows a model never learns from.
 FOLDS, HELD_OUT = 5, 0
@@ -36,17 +38,12 @@ FOLDS, HELD_OUT = 5, 0
 KEEP_FROM = 0.3
 
 
-def chunk_matrix(texts: list[bytes], most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """All chunks of all texts as rows of bytes, 0 beyond a text's end, and the text each belongs to.
-
-    ``most`` keeps that many chunks of a text, evenly spread, for fitting only.
-    """
+def chunk_matrix(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All chunks of all texts as rows of bytes, 0 beyond a text's end, and the text each belongs to."""
     step = CHUNK - OVERLAP
     starts, owner, base = [], [], 0
     for i, text in enumerate(texts):
         own = np.arange(0, max(1, len(text) - OVERLAP), step)
-        if most and len(own) > most:
-            own = own[np.linspace(0, len(own) - 1, most).astype(int)]
         starts.append(own + base)
         owner.append(np.full(len(own), i))
         base += len(text)
@@ -87,40 +84,26 @@ class Model:
         if self.prior is not None or not texts:
             return np.full(len(texts), self.prior or 0.0)
         rows, owner = chunk_matrix(texts)
-        top, mean, lags = [], [], []
-        for at in range(0, len(rows), 256):
-            part = rows[at : at + 256]
-            said = self.responses(part)[1]
-            top.append(said.max(axis=1))
-            mean.append(said.mean(axis=1))
-            lags.append(lag_rates(part))
-        features = pooled(np.concatenate(top), np.concatenate(mean), np.concatenate(lags), owner, len(texts))
+        top = [self.responses(rows[at : at + 256])[1].max(axis=1) for at in range(0, len(rows), 256)]
+        features = pooled(np.concatenate(top), owner, len(texts))
         inner = np.maximum((features - self.centre) / self.scale @ self.hidden + self.hidden_bias, 0)
         return 1 / (1 + np.exp(-np.clip(inner @ self.out + self.out_bias, -30, 30)))
 
 
-def lag_rates(rows: np.ndarray) -> np.ndarray:
-    """For each chunk and lag the share of its bytes that equal the byte a lag before."""
-    sizes = np.maximum((rows != 0).sum(axis=1), 1)
-    return np.stack([((rows[:, lag:] == rows[:, :-lag]) & (rows[:, lag:] != 0)).sum(axis=1) / sizes for lag in LAGS], axis=1).astype(np.float32)
-
-
-def pooled(top, mean, lags, owner, n) -> np.ndarray:
-    """Features of each text: over its chunks the maximum and the mean of what each chunk gives."""
+def pooled(top: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Features of each text: the maximum and the mean over its chunks of what each chunk gives."""
     first = np.searchsorted(owner, np.arange(n))
     counts = np.bincount(owner, minlength=n)[:, None]
-    parts = [np.maximum.reduceat(top, first), np.add.reduceat(mean, first) / counts,
-             np.maximum.reduceat(lags, first), np.add.reduceat(lags, first) / counts]
-    return np.concatenate(parts, axis=1)
+    return np.concatenate([np.maximum.reduceat(top, first), np.add.reduceat(top, first) / counts], axis=1)
 
 
-def fit(samples: list[np.ndarray], labels: list[int], epochs: int = EPOCHS) -> Model:
+def fit(samples: list[np.ndarray], labels: list[int]) -> Model:
     """Fits all weights by gradient descent with adaptive steps; the same rows give the same model.
 
     A sample is the matrix of a document's chunks.
     """
     rng = np.random.default_rng(SEED)
-    n_features = 2 * FILTERS + 2 * len(LAGS)
+    n_features = 2 * FILTERS
     f32 = np.float32
     model = Model(
         rng.normal(0, 0.5, (256, EMBED)).astype(f32), rng.normal(0, 0.3, (WIDTH * EMBED, FILTERS)).astype(f32), np.zeros(FILTERS, f32),
@@ -132,16 +115,11 @@ def fit(samples: list[np.ndarray], labels: list[int], epochs: int = EPOCHS) -> M
         model.prior = float(y.mean()) if len(y) else 0.5
         return model
     rows = np.concatenate(samples)
-    lags = lag_rates(rows)
     first = np.concatenate([[0], np.cumsum([len(s) for s in samples])])
-    # Lags are scaled by their spread, filters by fixed numbers, as their responses change while they are learnt.
-    lag_features = np.concatenate([np.maximum.reduceat(lags, first[:-1]), np.add.reduceat(lags, first[:-1]) / np.diff(first)[:, None]], axis=1)
-    model.centre[2 * FILTERS :] = lag_features.mean(axis=0)
-    model.scale[2 * FILTERS :] = lag_features.std(axis=0) + 0.05
     names = ["embed", "filters", "bias", "hidden", "hidden_bias", "out"]
     moments = {k: (np.zeros_like(getattr(model, k)), np.zeros_like(getattr(model, k))) for k in names}
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(samples)))):
         order = rng.permutation(len(samples))
         for at in range(0, len(order), BATCH):
             docs = order[at : at + BATCH]
@@ -150,8 +128,8 @@ def fit(samples: list[np.ndarray], labels: list[int], epochs: int = EPOCHS) -> M
             part = rows[chunks]
             flat, said = model.responses(part)
             where = said.argmax(axis=1)
-            top, mean = said.max(axis=1), said.mean(axis=1)
-            features = pooled(top, mean, lags[chunks], own, len(docs))
+            top = said.max(axis=1)
+            features = pooled(top, own, len(docs))
             x = ((features - model.centre) / model.scale).astype(f32)
             inner = x @ model.hidden + model.hidden_bias
             active = np.maximum(inner, 0)
@@ -160,14 +138,13 @@ def fit(samples: list[np.ndarray], labels: list[int], epochs: int = EPOCHS) -> M
             grads = {"out": active.T @ d_out}
             d_inner = np.outer(d_out, model.out) * (inner > 0)
             grads["hidden"], grads["hidden_bias"] = x.T @ d_inner, d_inner.sum(axis=0)
-            d_x = (d_inner @ model.hidden.T / model.scale)[:, : 2 * FILTERS]
-            # The maximum goes to the chunk and the place it came from, the mean to all of them.
+            d_x = d_inner @ model.hidden.T / model.scale
+            # A chunk's maximum goes to the place it came from; the document's goes to its chunk, the mean to all of them.
             doc_first = np.searchsorted(own, np.arange(len(docs)))
             is_top = top == np.maximum.reduceat(top, doc_first)[own]
+            d_top = d_x[own, :FILTERS] * is_top + d_x[own, FILTERS:] / np.bincount(own)[own][:, None]
             d_said = np.zeros_like(said)
-            np.put_along_axis(d_said, where[:, None, :], (d_x[own, :FILTERS] * is_top)[:, None, :], axis=1)
-            d_said += (d_x[own, FILTERS:] / (np.bincount(own)[own][:, None] * said.shape[1]))[:, None, :]
-            d_said *= said > 0
+            np.put_along_axis(d_said, where[:, None, :], (d_top * (top > 0)).astype(f32)[:, None, :], axis=1)
             flat2, d2 = flat.reshape(-1, WIDTH * EMBED), d_said.reshape(-1, FILTERS)
             grads["filters"], grads["bias"] = flat2.T @ d2, d2.sum(axis=0)
             d_flat = (d2 @ model.filters.T).reshape(len(part), -1, WIDTH, EMBED)
@@ -189,33 +166,32 @@ def fit(samples: list[np.ndarray], labels: list[int], epochs: int = EPOCHS) -> M
     return model
 
 
-def training_sample(documents: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[np.ndarray], list[int]]:
-    """Bytes and labels of at most ``rows`` rows of each label, chosen by a hash of the id.
+def training_sample(
+    documents: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[list[np.ndarray], list[int]]:
+    """All chunks and the label of at most ``rows`` rows of each label, chosen by a hash of the id.
 
-    Rows whose crc32(id as text) leaves HELD_OUT modulo FOLDS are never taken. Only the chunks that are
-    learnt from come to the driver, at most 2 * rows * TRAIN_CHUNKS * CHUNK bytes.
+    Rows whose crc32(id as text) leaves HELD_OUT modulo FOLDS are never taken. A row that would bring the texts of its
+    label to more than ``most_bytes`` is passed over, so what comes to the driver is bounded; a row that is taken is
+    taken whole. Of rows that share an id the one with the shortest, then smallest text counts; a null text is empty.
     """
     pool = labels.where(f"{label} IN (0, 1) AND {id_col} IS NOT NULL").select(F.col(id_col).cast("long").alias("__id"), F.col(label).cast("int").alias("__label"))
     pool = pool.where(F.crc32(F.col("__id").cast("string").cast("binary")) % FOLDS != HELD_OUT).groupBy("__id").agg(F.max("__label").alias("__label"))
-    order = [F.xxhash64("__id"), F.col("__id")]
     # A few more than needed, as not every labelled id is in the table.
-    picked = [pool.where(f"__label = {v}").orderBy(*order).limit(4 * rows) for v in (0, 1)]
+    picked = [pool.where(f"__label = {v}").orderBy(F.xxhash64("__id"), "__id").limit(4 * rows) for v in (0, 1)]
     chosen = picked[0].unionAll(picked[1])
-
-    def cut(batches):
-        for part in slices(batches, "text"):
-            out = []
-            for text in part.column(1).to_pylist():
-                data = (text or "").encode("utf-8", "surrogatepass")
-                kept, _ = chunk_matrix([data], TRAIN_CHUNKS)
-                out.append(kept.tobytes())
-            yield pa.record_batch([part.column(0), pa.array(out, pa.binary()), part.column(2)], names=["id", "chunks", "label"])
-
-    found = documents.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "__id")
-    parts = found.select(F.col("__id").alias("id"), "text", F.col("__label").alias("label")).mapInArrow(cut, "id long, chunks binary, label int")
-    key = [F.xxhash64("id"), F.col("id"), F.col("chunks")]
-    got = [r for v in (0, 1) for r in parts.where(f"label = {v}").orderBy(*key).limit(rows).collect()]
-    return [np.frombuffer(r["chunks"], dtype=np.uint8).reshape(-1, CHUNK) for r in got], [r["label"] for r in got]
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    found = documents.select(F.col(id_col).cast("long").alias("__id"), text.alias("text")).join(F.broadcast(chosen), "__id")
+    sample = written(found.groupBy("__id", "__label").agg(F.min(F.struct(F.octet_length("text").alias("size"), "text")).alias("t")), "sample")
+    taken: list[int] = []
+    for v in (0, 1):
+        left, count = most_bytes, 0
+        for r in sample.where(f"__label = {v}").orderBy(F.xxhash64("__id"), "__id").select("__id", "t.size").collect():
+            if count < rows and r["size"] <= left:
+                left, count = left - r["size"], count + 1
+                taken.append(r["__id"])
+    got = sample.where(F.col("__id").isin(taken)).orderBy("__label", F.xxhash64("__id"), "__id").select("t.text", "__label").collect()
+    return [chunk_matrix([r["text"].encode("utf-8", "surrogatepass")])[0] for r in got], [r["__label"] for r in got]
 
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "quality", **columns) -> Model:

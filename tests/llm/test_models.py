@@ -32,7 +32,10 @@ def test_quality_on_held_out_rows(bigger, odd, nothing):
     model = quality.train(documents, labels)
     rows = quality.score(documents, model).join(labels, "doc_id").where("held_out AND quality IS NOT NULL").collect()
     right = sum(r.predicted == r.quality for r in rows) / len(rows)
-    assert len(rows) > 50 and right > 0.93
+    assert len(rows) > 50 and right >= 0.97
+    # Clean texts stay clean when they are made very long, all their chunks being looked at.
+    clean = [r.text for r in documents.join(labels, "doc_id").where("quality = 1 AND crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0").orderBy("doc_id").collect()]
+    assert (model.score(["\n".join(clean[k::3]).encode() for k in range(3)] + ["\n".join(clean * 4).encode()]) >= 0.9).all()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
     # Equal texts get equal scores whatever their ids; odd rows are scored like others.
     got = quality.score(odd, model, keep=("source", "row")).collect()
@@ -51,6 +54,25 @@ def test_quality_without_labels(spark, documents, nothing):
     assert quality.train(nothing, good).prior == 0.5
 
 
+def test_a_sampled_text_is_taken_whole_or_not_at_all(bigger):
+    documents, labels = bigger
+    texts = {r.doc_id: (r.text or "").encode() for r in documents.collect()}
+    for most in (quality.TRAIN_BYTES, 60_000):
+        samples, said = quality.training_sample(documents, labels, rows=40, most_bytes=most)
+        whole = {quality.chunk_matrix([t])[0].tobytes() for t in texts.values()}
+        assert len(samples) == len(said) and said.count(0) and said.count(1) and max(said.count(0), said.count(1)) <= 40
+        assert all(s.tobytes() in whole for s in samples)
+        assert all(sum(int((s != 0).sum()) for s, v in zip(samples, said) if v == label) <= 1.3 * most for label in (0, 1))
+
+
+def test_a_planted_sign_is_learnt(monkeypatch):
+    """Marks that only bad texts have, in texts of one chunk and of several."""
+    monkeypatch.setattr(quality, "STEPS", 200)
+    good, bad = [b"abc def ghi " * k for k in (60, 200)], [b"abc### def%%% " * k for k in (60, 200)]
+    model = quality.fit([quality.chunk_matrix([t])[0] for t in good + bad], [1, 1, 0, 0])
+    assert (model.score(good) > 0.9).all() and (model.score(bad) < 0.1).all()
+
+
 def test_held_out_labels_are_never_learnt_from(bigger):
     documents, labels = bigger
     flipped = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
