@@ -301,6 +301,116 @@ def test_rules_and_parts(spark):
     assert urls.filter_urls(df.limit(0), none).count() == 0
 
 
+def tree_by_hand(paths):
+    """Templates of (host, form): [n, labels, good], node by node."""
+    out = {}
+
+    def divide(node, items, depth):
+        # items: (key, segments, n, labels, good) with a segment at this depth
+        labels, good = sum(i[3] for i in items), sum(i[4] for i in items)
+        if labels < 2 * urls.MIN_LABELS or good in (0, labels):
+            out.update({key: node + "/**" for key, *_ in items})
+            return
+        branches = {}
+        for item in items:
+            branches.setdefault(item[1][depth], []).append(item)
+        steps = {}
+        for segment, members in branches.items():
+            n, told, right = (sum(m[k] for m in members) for k in (2, 3, 4))
+            step = urls.STEPS * right // told if n >= urls.MIN_PAGES and told >= urls.MIN_LABELS else -1
+            steps.setdefault(step, []).append((segment, told, right))
+        groups, names = [], {}
+        entries = [(sum(b[2] for b in of), sum(b[1] for b in of), step, of) for step, of in steps.items()]
+        for right, told, step, of in sorted((e for e in entries if e[1] >= urls.MIN_LABELS), key=lambda e: (e[0] / e[1], e[2])):
+            last = groups[-1] if groups else None
+            if last:
+                share = (last[0] + right) / (last[1] + told)
+                error = (max(share * (1 - share), 1e-6) * (1 / last[1] + 1 / told)) ** 0.5
+            if last and abs(last[0] / last[1] - right / told) <= urls.DIFFERENT * error:
+                groups[-1] = (last[0] + right, last[1] + told, last[2] + of, last[3] | {step})
+            else:
+                groups.append((right, told, of, {step}))
+        for k, (_, _, of, group) in enumerate(groups, 1):
+            for segment, *_ in of:
+                names[segment] = segment if len(of) == 1 and group != {-1} else "*" if len(groups) == 1 else f"({k})"
+        below = {}
+        for segment, members in branches.items():
+            for m in members:
+                name = f"{node}/{names.get(segment, '(other)')}"
+                if len(m[1]) == depth + 1:
+                    out[m[0]] = name
+                else:
+                    below.setdefault(name, []).append(m)
+        for name, members in below.items():
+            divide(name, members, depth + 1)
+
+    hosts = {}
+    for (host, form), sums in paths.items():
+        if form:
+            hosts.setdefault(host, []).append(((host, form), form[1:].split("/"), *sums))
+        else:
+            out[host, form] = ""
+    for items in hosts.values():
+        divide("", items, 0)
+    return out
+
+
+def sums_by_path(spark, pages, labels):
+    """(host, form): [n, labels, good] of rows (id, url) and a label by url."""
+    df = spark.createDataFrame([(url,) for _, url in pages], "url string")
+    parts = df.select("url", urls.host_of(F.col("url")).alias("host"), urls.generalised(urls.path_of(F.col("url"))).alias("form")).collect()
+    sums = {}
+    for r in parts:
+        label, entry = labels.get(r.url), sums.setdefault((r.host, r.form), [0, 0, 0])
+        entry[0] += 1
+        entry[1] += label is not None
+        entry[2] += label or 0
+    return sums
+
+
+def random_urls(rng, n, deep=3):
+    """Urls of a few hosts, some of whose branches are worse than others, one of them ``deep`` levels down."""
+    pages, labels = [], {}
+    for i in range(n):
+        host = rng.choice(["a.net", "b.net", "c.net"], p=[0.6, 0.3, 0.1])
+        kind = rng.choice(["news", "blog", "spam", "junk", "x(y", f"rare{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}"], p=[0.3, 0.2, 0.15, 0.15, 0.1, 0.1])
+        rest = rng.choice(["", "/", f"/{i}", f"/{i}.html", f"/id-{i}-x-{i}/", "/deep" * deep + "/" + rng.choice(["good", "bad"])])
+        url = f"http://{host}/{kind}{rest}"
+        pages.append((i, url))
+        bad = kind in ("spam", "junk") or rest.endswith("bad")
+        if rng.random() < 0.6 and url not in labels:
+            labels[url] = int(rng.random() < (0.15 if bad else 0.9))
+    return pages, labels
+
+
+def test_templates_are_those_of_a_tree_by_hand(spark):
+    pages, labels = random_urls(np.random.default_rng(5), 1500, deep=33)
+    sums = sums_by_path(spark, pages, labels)
+    want = tree_by_hand(sums)
+    df = spark.createDataFrame([(*key, *value) for key, value in sums.items()], "host string, form string, n long, labels long, good long")
+    assert {(r.host, r.form): r.template for r in urls.templates(df).collect()} == want
+    assert max(len(t.split("/")) for t in want.values()) > 33 and {"**", "(other)"} & {part for t in want.values() for part in t.split("/")}
+
+
+def test_rejected_templates_are_worse_in_labels_kept_back(spark):
+    pages, labels = random_urls(np.random.default_rng(6), 3000)
+    learnt = {u: v for k, (u, v) in enumerate(labels.items()) if k % 3}
+    kept_back = {u: v for u, v in labels.items() if u not in learnt}
+    got = urls.filter_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(list(learnt.items()), "url string, label int")).collect()
+    url_of, bad = dict(pages), [r for r in got if r.verdict == "block"]
+    shares = [kept_back[url_of[r.page_id]] for r in bad if url_of[r.page_id] in kept_back]
+    overall = sum(kept_back.values()) / len(kept_back)
+    assert len(shares) > 50 and sum(shares) / len(shares) < overall / 2
+    assert {r.path.split("/")[1] for r in bad} >= {"spam", "junk"}
+
+
+def test_alike_branches_merge_while_a_third_stays(spark):
+    sums = {("h.net", f"/{kind}/*"): (100, 50, good) for kind, good in (("a", 45), ("b", 46), ("c", 20), ("d", 21), ("e", 2))}
+    df = spark.createDataFrame([(*key, *value) for key, value in sums.items()], "host string, form string, n long, labels long, good long")
+    got = {r.form[1]: r.template for r in urls.templates(df).collect()}
+    assert got == {"a": "/(3)/*", "b": "/(3)/*", "c": "/(2)/*", "d": "/(2)/*", "e": "/e/*"}
+
+
 def test_impure_templates_go(spark):
     """Below one host a branch of bad pages stands apart, and two alike branches are one wildcard."""
     pages, labels = [], []
