@@ -379,7 +379,8 @@ def feed_document(spark, sf_dir):
 @_query
 def feed_refreshed(spark, sf_dir):
     """The feed after a run over postings of which some were others, lacked or were too many before."""
-    path, rows = scratch_path(spark, "feed"), view(spark, sf_dir, "doc_postings")
+    # A refresh scans its postings three times, so their texts are joined once and not before every scan.
+    path, rows = scratch_path(spark, "feed"), materialise(view(spark, sf_dir, "doc_postings"), "postings", compression="zstd")
     former = rows.where("id % 90 <> 5").withColumn("position", F.when(F.col("id") < 50, F.lit("old")).otherwise(F.col("position")))
     more = rows.where("id < 30").withColumn("id", F.col("id") + 1_000_000_000)
     for postings in (former.unionByName(more), rows):

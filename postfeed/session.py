@@ -101,12 +101,12 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """The DataFrame as a table in the scratch folder.
+def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """The DataFrame as a table in the scratch folder, written with the options given.
 
     It is computed once, outlives lost executors, and its file sizes are known to the planner,
     which then broadcasts it in later joins only if it is below the broadcast threshold.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ import pytest
 from fixed import NOW
 from pyspark.sql import functions as F
 
+from postfeed.catalog.queries import all_queries
 from postfeed.session import scratch_path
 from postfeed.sources import feed, feedread
 from postfeed.sources.versions import VersionedTable
@@ -183,3 +184,16 @@ def test_scratch_of_a_scope_goes_with_it(spark):
         path = inner.inputFiles()[0].rsplit("/", 1)[0]
         assert inner.count() == 5
     assert not path_exists(spark, path) and path_exists(spark, kept)
+
+
+def test_refreshed_postings_are_joined_once(spark, tmp_path, monkeypatch):
+    ids = spark.range(200)
+    ids.selectExpr("id AS doc_id", "concat('text ', id) AS text", "'web' AS source", "'en' AS lang").write.parquet(str(tmp_path / "documents.parquet"))
+    ids.selectExpr("id AS o_orderkey", "id AS o_custkey", "'1-URGENT' AS o_orderpriority", "CAST('2024-01-01' AS timestamp_ntz) AS o_orderdate").write.parquet(str(tmp_path / "orders.parquet"))
+    ids.selectExpr("id AS c_custkey", "concat('c', id) AS c_name", "1L AS c_nationkey", "'m' AS c_mktsegment").write.parquet(str(tmp_path / "customer.parquet"))
+    plans, refresh = [], feed.refresh_feed
+    seen = lambda df, *args, **kw: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or refresh(df, *args, **kw)
+    monkeypatch.setattr(feed, "refresh_feed", seen)
+    read = all_queries()["feed_refreshed"](spark, str(tmp_path))
+    assert len(plans) == 2 and not any("Join" in plan for plan in plans)
+    assert read.count() == 200
