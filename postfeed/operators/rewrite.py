@@ -92,15 +92,18 @@ def load_new(
     workers: int = 1,
     hot_rows: int = HOT_ROWS,
     new_ids: DataFrame | None = None,
+    fresh: DataFrame | None = None,
 ) -> DataFrame:
     """The new postings as published rows, with ids from ``start`` in staging order.
 
-    ``new_ids`` lists the staging rows that are new where that is known. Which rows are new and their ids are settled on ids and keys alone. The wide rows are then
+    ``new_ids`` lists the staging rows that are new where that is known, ``fresh`` those of them that the sink accepts. Which rows are new and their ids are settled on ids and keys alone. The wide rows are then
     fetched by their unique id, so they move once and evenly, and a rewriter runs after the
     last shuffle: a lost executor repeats its own tasks and no others.
     """
     fit = staging.where(sink_accepts())
-    if new_ids is not None:
+    if fresh is not None:
+        pass
+    elif new_ids is not None:
         fresh = fit.select("id").join(new_ids, "id", "left_semi")
     else:
         fresh = new_postings(fit.select("id", "partner_job_id"), published, hot_rows=hot_rows)

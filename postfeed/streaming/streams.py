@@ -13,10 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postfeed.functions.keys import has_key
 from postfeed.operators.keyed import HOT_ROWS, key_set
+from postfeed.operators.posting import sink_accepts
 from postfeed.operators.progress import progress_delta
 from postfeed.operators.requests import log_lines, request_records
 from postfeed.operators.rewrite import RewriterFactory, load_new, rejected_new
-from postfeed.operators.sync import progress
+from postfeed.operators.sync import new_postings, progress
 from postfeed.operators.winners import KEY, standing, winner_id
 from postfeed.schema import PUBLISHED
 from postfeed.session import materialise, path_exists, scratch_scope
@@ -55,7 +56,8 @@ def stream_sync(
 
     The published keys are frozen in an index when the run starts, so two rows with the same new key both
     pass, as in the batch job, and a restart with the same ``run_dir`` sees the same keys. ``prepare``
-    may deal a batch of few files out over more tasks.
+    may deal a batch of few files out over more tasks. A batch is scanned three times: what is decided on are ids and
+    keys, and rows that the sink rejects, which are written first.
     """
     spark = staging.sparkSession
     keys = KeyIndex(spark, f"{run_dir}/published_keys")
@@ -66,21 +68,21 @@ def stream_sync(
     now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # Kept while the batch is handled: its files are read once.
-        batch = (prepare(batch) if prepare else batch).persist()
+        batch = prepare(batch) if prepare else batch
         with scratch_scope(spark):
             before = f"{run_dir}/next_id/batch_id={batch_id - 1}"
             start = spark.read.parquet(before).first()[0] if batch_id else first
+            narrow = materialise(batch.select("id", KEY, sink_accepts().alias("fit")), "arrived")
             # The batch's keys are written first, as the index is asked in steps; it reads only buckets that may have one.
-            asked = materialise(key_set(batch), "asked")
+            asked = materialise(key_set(narrow), "asked")
             known = materialise(keys.known(asked), "known")
             target = f"{run_dir}/postings/batch_id={batch_id}"
-            load_new(batch, known, now, start, rewriter, workers, hot_rows).write.mode("overwrite").parquet(target)
-            refused = rejected_new(batch, known, hot_rows)
+            fresh = new_postings(narrow.where("fit").select("id", KEY), known, hot_rows=hot_rows)
+            load_new(batch, known, now, start, rewriter, workers, hot_rows, fresh=fresh).write.mode("overwrite").parquet(target)
+            refused = rejected_new(materialise(batch.where(~sink_accepts()), "unfit"), known, hot_rows)
             refused.write.mode("overwrite").parquet(f"{run_dir}/rejected/batch_id={batch_id}")
             after = read_published(spark, target).agg((F.count(F.lit(1)) + start).alias("id"))
             after.write.mode("overwrite").parquet(f"{run_dir}/next_id/batch_id={batch_id}")
-        batch.unpersist()
 
     return _start(staging, run_dir, handle, trigger)
 

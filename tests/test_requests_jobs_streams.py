@@ -228,6 +228,25 @@ def test_sync_stream_equals_the_batch_job(spark, staging, published, tmp_path):
     assert streams.read_stream_postings(spark, run_dir).count() == want.count()
 
 
+def test_a_sync_batch_is_decided_on_ids_and_keys(spark, staging, published, tmp_path, monkeypatch):
+    rows = staging(*[{"id": i, "partner_job_id": k, "job_description": "<p>x</p>"} for i, k in enumerate(["a", "b", "b", "", None], 1)], {"id": 6, "position": None, "partner_job_id": "c"})
+    rows.write.parquet(str(tmp_path / "in"))
+    seen, load = [], streams.load_new
+
+    def spied(batch, *args, fresh, **options):
+        seen.append((fresh._jdf.queryExecution().analyzed().toString(), batch.storageLevel.useMemory))
+        return load(batch, *args, fresh=fresh, **options)
+
+    monkeypatch.setattr(streams, "load_new", spied)
+    source = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    streams.stream_sync(source, published({"id": 3, "partner_job_id": "a"}), str(tmp_path / "run"), NOW).awaitTermination()
+    assert len(seen) == 1 and "job_description" not in seen[0][0] and not seen[0][1]
+    got = streams.read_stream_postings(spark, str(tmp_path / "run")).orderBy("id").collect()
+    assert [(r.id, r.partner_job_id) for r in got] == [(4, "b"), (5, "b"), (6, ""), (7, None)]
+    refused = spark.read.parquet(str(tmp_path / "run" / "rejected")).collect()
+    assert [(r.id, r.reasons) for r in refused] == [(6, ["position: missing"])]
+
+
 def test_log_stream_equals_the_batch_log(spark, log, geo, tmp_path):
     log.repartition(2).write.parquet(str(tmp_path / "in"))
     source = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
