@@ -17,7 +17,7 @@ from postfeed.operators.keyed import HOT_ROWS
 from postfeed.operators.keypass import EXPIRE, NEW, ids_of, row_actions
 from postfeed.operators.posting import rejections, sink_accepts
 from postfeed.operators.rewrite import RewriterFactory, load_new, next_id
-from postfeed.operators.sync import delete_rows, reconcile
+from postfeed.operators.sync import delete_rows, reconcile, run_summary
 from postfeed.session import materialise
 from postfeed.sources.feed import write_feed
 from postfeed.sources.tables import read_published, refuse_own_input
@@ -109,14 +109,18 @@ def sync_table(
     """
     done = table.applied(commit)
     before = table.read(done - 1 if done else None)
-    now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
-    new_ids, gone = _decided(staging, before, hot_rows)
-    if not done:
-        new = load_new(staging, before, now, next_id(before), rewriter, workers, hot_rows, new_ids)
+    if done:
+        # Nothing is decided again: counts per key say what the commit did.
+        did = run_summary(staging, before).first()
+        expired, rejected = did.expired, did.new_found - did.processed
+    else:
+        now = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
+        new_ids, gone = _decided(staging, before, hot_rows)
+        found = materialise(staging.select("id", sink_accepts().alias("fit")).join(new_ids, "id", "left_semi"), "found")
+        new = load_new(staging, before, now, next_id(before), rewriter, workers, hot_rows, fresh=found.where("fit"))
         done = table.commit(commit, append=new, delete=gone).version
-    rejected = staging.where(~sink_accepts()).select("id").join(new_ids, "id", "left_semi").count()
+        expired, rejected = gone.count(), found.where("NOT fit").count()
     check = reconcile(staging, table.read(done)).first()
-    expired = gone.count()
     processed = check.published_rows - (before.count() - expired)
     return SyncResult(expired, processed + rejected, processed, rejected, check.all_published, check.missing_keys)
 

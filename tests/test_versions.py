@@ -8,6 +8,7 @@ import pytest
 from fixed import NOW
 from pyspark.sql import functions as F
 
+from postfeed.plans import jobs
 from postfeed.plans.jobs import dedup_table, sync_table
 from postfeed.schema import PUBLISHED
 from postfeed.session import scratch_path
@@ -174,3 +175,13 @@ def test_sync_and_dedup_of_a_table(spark, published, staging):
         cleaned = dedup_table(table, "dedup-1")
         assert (cleaned.total, cleaned.kept, cleaned.removed) == (4, 3, 1) and cleaned.verified
     assert ids(table.read()) == [3, 4, 5] and ids(table.read(1)) == [1, 2, 3, 4]
+
+
+def test_a_repeated_sync_is_checked_and_not_decided_again(spark, staging, published, monkeypatch):
+    table = VersionedTable(spark, scratch_path(spark, "versions"), PUBLISHED)
+    table.append(published(*[{"id": i, "partner_job_id": k} for i, k in enumerate(["a", "a", "b", "", None], 1)]), "load")
+    arriving = staging(*[{"id": i, "partner_job_id": k} for i, k in enumerate(["b", "b", "c", "c", "", None], 1)], {"id": 9, "position": None, "partner_job_id": "d"})
+    first = sync_table(table, arriving, NOW, "sync-1")
+    assert (first.expired, first.new_found, first.processed, first.rejected) == (2, 5, 4, 1)
+    monkeypatch.setattr(jobs, "_decided", lambda *_: pytest.fail("decided again"))
+    assert sync_table(table, arriving, NOW, "sync-1") == first
