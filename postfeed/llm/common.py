@@ -105,7 +105,7 @@ def lower_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -13,15 +13,15 @@ LEAST words, is cut out.
 from __future__ import annotations
 
 import math
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import SHINGLE_WORDS, SIMILARITY, _Codes, binary, mix, ragged_binary, run_hashes, settled, slices, word_hashes, written
+from postfeed.llm.common import SHINGLE_WORDS, SIMILARITY, binary, mix, ragged_binary, run_hashes, settled, slices, word_hashes, written
 from postfeed.llm.graph import components
 from postfeed.llm.minhash import PAYLOAD, family_links, signatures
 from postfeed.operators.keyed import keyed_join
@@ -44,7 +44,7 @@ BAND_ROWS, RECALL = 2, 0.998
 # Paragraphs that a task gathers before it folds repeats.
 FOLD = 2_000_000
 
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _UNITS = "digest long, doc long, print long, start int, words int, line boolean, again boolean, first_doc long, first_print long, first_start int, first_words int, bands binary"
 _SPAN = ["doc", "print", "start", "words", "line", "first_doc", "first_print", "first_start", "first_words"]
 _PLACES = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32())]))
@@ -86,17 +86,17 @@ def anchors(groups: np.ndarray) -> np.ndarray:
 
 def _paragraphs(part: pa.RecordBatch):
     """The paragraphs of a slice: digest, doc, print, start, words, line as arrays, and the bands of the lines."""
-    codes, flat, counts, lines = _Codes(), [], [], []
+    flat, counts, lines = [], [], []
     for text in part.column("text").to_pylist():
         before, own = len(flat), []
         for line in (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n"):
             words = line.split()
             if len(words) >= LINE_WORDS:
                 own.append((len(flat) - before, len(words)))
-            flat.extend(map(codes.__getitem__, words))
+            flat.extend(words)
         counts.append(len(flat) - before)
         lines.append(own)
-    hashes = word_hashes(list(codes))[np.array(flat, dtype=np.int64)] if flat else np.empty(0, np.uint64)
+    hashes = word_hashes(flat)
     groups = run_hashes(hashes, SHINGLE_WORDS)
     begins = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
     starts, owners, line_at, line_owner, line_words = [], [], [], [], []
@@ -261,28 +261,30 @@ def repeated_spans(source: DataFrame) -> DataFrame:
 
 def _edges(batches):
     """The repeats of a text as runs without a gap, with the places of what they repeat before and behind them."""
-    names = ["start", "words", "line", "left_doc", "left_print", "left_at", "right_doc", "right_print", "right_at"]
+    names = ["doc", "print", "start", "words", "line", "left_doc", "left_print", "left_at", "right_doc", "right_print", "right_at"]
     for batch in batches:
-        docs, texts, out = [], [], {k: [] for k in names}
-        for doc, text, spans in zip(batch.column("doc").to_pylist(), batch.column("print").to_pylist(), batch.column("spans").to_pylist()):
-            runs = []
-            for span in sorted(spans, key=lambda s: (s["start"], -s["words"], s["first_doc"], s["first_print"], s["first_start"])):
-                end = span["start"] + span["words"]
-                if runs and span["start"] <= runs[-1][1]:
-                    runs[-1][2] |= span["line"]
-                    if end > runs[-1][1]:
-                        runs[-1][1], runs[-1][4] = end, span
-                else:
-                    runs.append([span["start"], end, span["line"], span, span])
-            for start, end, line, left, right in runs:
-                docs.append(doc)
-                texts.append(text)
-                row = (start, end - start, line, left["first_doc"], left["first_print"], left["first_start"], right["first_doc"], right["first_print"], right["first_start"] + right["first_words"])
-                for name, value in zip(names, row):
-                    out[name].append(value)
-        kinds = [pa.int32(), pa.int32(), pa.bool_(), *[pa.int64(), pa.int64(), pa.int32()] * 2]
-        arrays = [pa.array(docs, pa.int64()), pa.array(texts, pa.int64()), *(pa.array(v, k) for v, k in zip(out.values(), kinds))]
-        yield pa.record_batch(arrays, names=["doc", "print", *names])
+        lists = batch.column("spans")
+        owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        rows = dict(zip(_SPAN[2:], (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())))
+        order = np.lexsort((rows["first_start"], rows["first_print"], rows["first_doc"], -rows["words"], rows["start"], owner))
+        owner, rows = owner[order], {k: v[order] for k, v in rows.items()}
+        # Places in all texts behind one another: an end so far is never behind the start of the next text.
+        base = owner << 32
+        start, end = base + rows["start"], base + rows["start"] + rows["words"]
+        so_far = np.maximum.accumulate(end)
+        before = np.concatenate([[-1], so_far[:-1]])
+        head = start > before
+        left = np.flatnonzero(head)
+        if not len(left):
+            continue
+        right = np.maximum.accumulate(np.where(head | (end > before), np.arange(len(end)), 0))[np.append(left[1:], len(end)) - 1]
+        found = [
+            *(batch.column(c).to_numpy(zero_copy_only=False)[owner[left]] for c in ("doc", "print")),
+            rows["start"][left], (so_far[right] - start[left]).astype(np.int32), np.logical_or.reduceat(rows["line"], left),
+            rows["first_doc"][left], rows["first_print"][left], rows["first_start"][left],
+            rows["first_doc"][right], rows["first_print"][right], rows["first_start"][right] + rows["first_words"][right],
+        ]
+        yield pa.record_batch([pa.array(x) for x in found], names=names)
 
 
 def _beside(words: list[bytes], at: int, right: bool) -> np.ndarray:
@@ -377,7 +379,9 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> tuple[str, int, in
     data = text.encode("utf-8", "surrogatepass")
     if not spans:
         return text, len(data.split()), 0
-    places = [m.span() for m in _WORD.finditer(data)]
+    # Where words begin and end: a blank on one side only.
+    inner = np.concatenate([[False], ~_BLANK[np.frombuffer(data, np.uint8)], [False]])
+    places = np.flatnonzero(inner[1:] != inner[:-1]).reshape(-1, 2)
     gone = np.zeros(len(places) + 1, dtype=np.int64)
     for start, words in spans:
         gone[min(start, len(places))] += 1

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from postfeed.llm import common, graph, minhash, substring
@@ -239,3 +241,41 @@ def test_cutting_words(text, spans, want):
 
 def test_bands_reach_the_recall():
     assert 1 - (1 - 0.75**substring.BAND_ROWS) ** substring.BANDS >= substring.RECALL
+
+
+def plain_runs(spans):
+    """The runs of a text's repeats, one span after the other."""
+    runs = []
+    for span in sorted(spans, key=lambda s: (s["start"], -s["words"], s["first_doc"], s["first_print"], s["first_start"])):
+        end = span["start"] + span["words"]
+        if runs and span["start"] <= runs[-1][1]:
+            runs[-1][2] |= span["line"]
+            if end > runs[-1][1]:
+                runs[-1][1], runs[-1][4] = end, span
+        else:
+            runs.append([span["start"], end, span["line"], span, span])
+    return [(a, b - a, line, *(x[k] for k in substring._SPAN[5:8]), y["first_doc"], y["first_print"], y["first_start"] + y["first_words"]) for a, b, line, x, y in runs]
+
+
+def test_runs_of_many_repeats_are_found_together():
+    rng = np.random.default_rng(8)
+    span = lambda: dict(zip(substring._SPAN[2:], (*map(int, rng.integers(0, [90, 30])), bool(rng.random() < 0.3), *map(int, rng.integers(0, [3, 2, 4, 20])))))
+    texts = [[span() for _ in range(int(rng.integers(0, 9)))] for _ in range(2_000)]
+    kinds = [pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    spans = pa.array(texts, pa.list_(pa.struct(list(zip(substring._SPAN[2:], kinds)))))
+    batch = pa.record_batch([pa.array(range(2_000), pa.int64()), pa.array(range(5, 2_005), pa.int64()), spans], names=["doc", "print", "spans"])
+    got = [tuple(r.values()) for part in substring._edges(iter([batch])) for r in part.to_pylist()]
+    assert got == [(i, i + 5, *run) for i, own in enumerate(texts) for run in plain_runs(own)]
+    # A part of a batch, and one without texts.
+    assert [tuple(r.values()) for part in substring._edges(iter([batch.slice(40, 9), batch.slice(0, 0)])) for r in part.to_pylist()] == [r for r in got if 40 <= r[0] < 49]
+    many = pa.Table.from_batches([batch] * 40).combine_chunks().to_batches()
+    started = time.process_time()
+    list(substring._edges(iter(many)))
+    # A loop over all spans takes ten times as long.
+    assert time.process_time() - started < 1.5
+
+
+def test_words_are_cut_at_the_blanks_of_a_word_only():
+    text = "a\x0bbb\x1cc \x85d\ne f  g"
+    assert substring.without_words(text, [(1, 1)]) == ("a\x0b\x85d\ne f  g", 5, 1)
+    assert substring.without_words(text, [(0, 1), (4, 1)]) == ("bb\x1cc \x85d\ne f  ", 5, 2)
