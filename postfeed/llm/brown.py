@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import zlib
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import forget, lower_words, ragged_binary, settled, slices, written, written_at
+from postfeed.llm.common import forget, lower_words, ragged_binary, settled, slices, word_hashes, written, written_at
 
 # Remainder of crc32(id as text) modulo FOLDS that marks rows the model never learns from.
 FOLDS, HELD_OUT = 5, 1
@@ -35,8 +36,8 @@ OWN, ENDINGS = 320, 191
 CLASSES, SWEEPS, WORD_SWEEPS = 40, 6, 4
 ADD_TRANSITION, ADD_WORD = 0.5, 0.5
 
-# Cells of a product of word profiles and class table that a task holds.
-CELLS = 1 << 22
+# Cells of a product of word profiles and class table that a task holds: few enough for a core's cache.
+CELLS = 1 << 16
 
 # Distinct words that a task counts before it sends them on.
 SEND = 400_000
@@ -93,17 +94,16 @@ class Frequent:
 
     def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Index of each word, -1 if it is not in the list, and its unit."""
-        at = np.fromiter((self.index.get(w, -1) for w in words), np.int64, len(words))
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         unit = np.where(at >= 0, self.units[at] if len(self.units) else 0, 0)
-        for i in np.flatnonzero(at < 0):
-            unit[i] = ending(words[i])
+        other = np.flatnonzero(at < 0)
+        unit[other] = OWN + (word_hashes([words[i][-3:] for i in other.tolist()]) % np.uint64(ENDINGS)).astype(np.int64)
         return at, unit
 
     def numbers(self, words: list[bytes], at: np.ndarray) -> np.ndarray:
         """The number of each word, given its index."""
-        out = at.copy()
-        for i in np.flatnonzero(at < 0):
-            out[i] = TAIL | xxhash.xxh64_intdigest(words[i]) >> 3
+        out, other = at.copy(), np.flatnonzero(at < 0)
+        out[other] = TAIL | (word_hashes([words[i] for i in other.tolist()]) >> np.uint64(3)).astype(np.int64)
         return out
 
 
@@ -277,6 +277,7 @@ def best_classes(own: np.ndarray, offsets: np.ndarray, seen: np.ndarray, n: np.n
     rows, cols = table.sum(axis=1), table.sum(axis=0)
     beside = np.log(np.concatenate([table.T, table]) + ADD_TRANSITION)
     divisor = np.log(rows + ADD_TRANSITION * k), np.log(cols + ADD_WORD)
+    both = divisor[0] + divisor[1]
     # Sizes of the words, after and before: each of its tokens has one neighbour on either side.
     word = np.repeat(np.arange(len(own)), np.diff(offsets))
     size = np.bincount(word, weights=np.where(seen < k, n, 0), minlength=len(own))
@@ -289,8 +290,10 @@ def best_classes(own: np.ndarray, offsets: np.ndarray, seen: np.ndarray, n: np.n
     while at < len(own):
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CELLS // k, side="right")) - 1)
         a, b = offsets[at], offsets[end]
-        gain = np.add.reduceat(n[a:b, None] * beside[seen[a:b]], offsets[at:end] - a, axis=0)
-        gain -= size[at:end, None] * (divisor[0] + divisor[1])
+        cells = beside.take(seen[a:b], axis=0)
+        cells *= n[a:b, None]
+        gain = np.add.reduceat(cells, offsets[at:end] - a, axis=0)
+        gain -= size[at:end, None] * both
         mine = np.arange(end - at), own[at:end]
         gain[mine] = stay[at:end]
         # A word stays where nothing is better; the class of the end is no word's.
@@ -322,7 +325,8 @@ def exchange_words(pairs: DataFrame, classed: DataFrame, k: int, sweeps: int = W
     for sweep in range(sweeps + 1):
         listed, tail = F.broadcast(classed.where(F.col("id") < TAIL)), classed.where(F.col("id") >= TAIL)
         beside = classed.select("id", F.lit(-1).cast("long").alias("seen"), F.col("class").alias("n"))
-        for word, other, side in (("a", "b", 0), ("b", "a", k)):
+        # The table has what follows a word; what precedes it is needed to move on only.
+        for word, other, side in (("a", "b", 0), ("b", "a", k))[: 2 if sweep < sweeps else 1]:
             for rows, known in ((pairs.where(F.col(other) < TAIL), listed), (pairs.where(F.col(other) >= TAIL), tail)):
                 met = rows.join(known.withColumnRenamed("id", other), other)
                 beside = beside.unionByName(met.select(F.col(word).alias("id"), (F.col("class") + side).alias("seen"), "n"))

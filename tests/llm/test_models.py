@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -429,3 +430,40 @@ def test_query_keeps_every_page(spark):
     got = op1_url_filter(spark, SF_DIR).collect()
     assert sorted(r.page_id for r in got) == sorted(r.page_id for r in pages.collect())
     assert {r.verdict for r in got} <= {"allow", "block"}
+
+
+def test_the_last_pass_of_the_exchange_counts_followers_only(spark, monkeypatch):
+    k, seen, write = 5, [], brown.written_at
+
+    def spied(df, name):
+        made, path = write(df, name)
+        if name == "profiles":
+            rows = [np.frombuffer(r.seen, np.int64) for r in made.select("seen").collect()]
+            seen.append(np.concatenate(rows))
+        return made, path
+
+    monkeypatch.setattr(brown, "written_at", spied)
+    rng = np.random.default_rng(4)
+    pairs = Counter((int(a), int(b)) for a, b in rng.integers(0, 40, (4_000, 2)))
+    rows = spark.createDataFrame([(a, b, n) for (a, b), n in pairs.items()], "a long, b long, n long")
+    classed = spark.createDataFrame([(i, i % (k - 1)) for i in range(40)] + [(brown.END_ID, k - 1)], "id long, class long")
+    found, table = brown.exchange_words(rows, classed, k, sweeps=1)
+    assert len(seen) == 2 and (seen[0] >= k).any() and not (seen[1] >= k).any()
+    of = dict(found.collect())
+    want = np.zeros((k, k), np.int64)
+    for (a, b), n in pairs.items():
+        want[of[a], of[b]] += n
+    assert (table == want).all()
+
+
+def test_exchange_holds_few_cells_at_a_time():
+    rng = np.random.default_rng(5)
+    k, sizes = 200, rng.integers(2, 8, 20_000)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    seen, n, own = rng.integers(0, 2 * k, offsets[-1]), rng.integers(1, 4, offsets[-1]), rng.integers(0, k - 1, len(sizes))
+    table = rng.integers(50, 10_000, (k, k))
+    tracemalloc.start()
+    brown.best_classes(own, offsets, seen, n, table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 << 20
