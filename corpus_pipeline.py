@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import settled, table, written
+from postfeed.llm.common import few, settled, table, written
 from postfeed.llm.exact_dedup import exact_duplicates
 from postfeed.llm.minhash import near_duplicates
 from postfeed.llm.packing import pack_documents
@@ -43,7 +43,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     null id is less than any.
     """
     rows = _numbered(docs)
-    dropped = settled(spark, "dropped", lambda: exact_duplicates(rows, row_col="__row").where("NOT kept").select("__row"))
+    dropped = settled(spark, "dropped", lambda: few(exact_duplicates(rows, row_col="__row").where("NOT kept").select("__row")))
     return rows.join(dropped, "__row", "left_anti").select(*COLUMNS)
 
 
@@ -55,7 +55,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     # Rows that share an id and a text stay or go together, so a hash of the text tells rows of one id apart.
     rows = docs.select(*COLUMNS).withColumn("__text", F.xxhash64("text"))
-    dropped = settled(spark, "dropped", lambda: near_duplicates(rows, row_col="__text").where("NOT kept").select("doc_id", "__text"))
+    dropped = settled(spark, "dropped", lambda: few(near_duplicates(rows, row_col="__text").where("NOT kept").select("doc_id", "__text")))
     return rows.join(dropped, ["doc_id", "__text"], "left_anti").select(*COLUMNS)
 
 
@@ -67,7 +67,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     cut = without_repeats(docs, keep=("lang", "source", "n_chars"))
     n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("__keep_2"))
-    return cut.select("doc_id", "text", F.col("__keep_0").alias("lang"), F.col("__keep_1").alias("source"), n_chars.alias("n_chars"))
+    return few(cut.select("doc_id", "text", F.col("__keep_0").alias("lang"), F.col("__keep_1").alias("source"), n_chars.alias("n_chars")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

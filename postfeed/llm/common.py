@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from postfeed.session import drop_scratch, scratch_path
+from postfeed.session import bytes_read, drop_scratch, scratch_path
 
 # Words in a shingle, and the similarity from which texts count as near-duplicates, in hundredths.
 SHINGLE_WORDS = 5
@@ -27,6 +27,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Bytes read from tables for which there is a partition of a table in few files.
+FILE_BYTES = 8 << 20
+
+# Partitions from which a table's size says nothing, or needs no fewer.
+MOST_FILES = 1 << 20
+
+
+def few(df: DataFrame) -> DataFrame:
+    """The rows in one partition a core, or one for every FILE_BYTES that the plan reads if these are more.
+
+    However many partitions a shuffle has, a small table is then not written as as many files; Spark's local file
+    system starts two processes for each. Not for plans that number rows by the task they are in.
+    """
+    wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-bytes_read(df) // FILE_BYTES))
+    return df if wanted > MOST_FILES else df.coalesce(wanted)
+
+
 # Scratch tables written while a result is settled, innermost last.
 _open: list[list[str]] = []
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import slices, written
+from postfeed.llm.common import few, slices, written
 
 # Bytes of the first digit, and how many times longer each next digit is.
 FIRST_DIGIT = 64
@@ -89,7 +89,7 @@ def exact_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
             F.max_by("best_row", F.coalesce("best", F.lit(NO_ID))).alias("g_row"),
         )
         split = ended.join(groups, key).withColumn("settled", F.expr("ended OR g_rows = 1"))
-        split = written(split.drop(*key, "g_rows"), "radix")
+        split = written(few(split.drop(*key, "g_rows")), "radix")
         # Groups of one head, or whose texts have ended, are settled.
         done.append(split.where("settled").select("head", F.col("g_n").alias("group_size"), "g_best", "g_row"))
         left = split.where("NOT settled")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import SIMILARITY, binary, fingerprint, grouped, lower_words, ragged_binary, settled, shingle_sets, slices, word_hashes, written
+from postfeed.llm.common import SIMILARITY, binary, few, fingerprint, grouped, lower_words, ragged_binary, settled, shingle_sets, slices, word_hashes, written
 from postfeed.llm.graph import components
 
 # Coordinates of a signature, and how many must agree for a pair to be confirmed. A pair of similarity
@@ -195,8 +195,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     keyed = rows.where("doc_id IS NOT NULL AND print IS NOT NULL")
     ids = keyed.groupBy("print").agg(F.min("doc_id").alias("node"))
     signs = keyed.where("sign IS NOT NULL").groupBy("print").agg(F.max("sign").alias("sign"))
-    classes = written(ids.join(signs, "print"), "classes")
-    root = settled(documents.sparkSession, "roots", lambda: components(class_links(classes, source, block)))
+    classes = written(few(ids.join(signs, "print")), "classes")
+    root = settled(documents.sparkSession, "roots", lambda: few(components(class_links(classes, source, block))))
     root = root.withColumnRenamed("root", "component")
     named = classes.select("print", "node").join(root, "node", "left").select("print", F.coalesce("component", "node").alias("component"))
     out = rows.select("row", "doc_id", "n_shingles", "print").join(named, "print", "left")
@@ -212,14 +212,14 @@ def class_links(classes: DataFrame, source: DataFrame, block: int = BLOCK) -> Da
     # Values a class has alone come first in the order of rarity, so they shorten the prefix that is merged.
     lists = postings.join(shared, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys"))
     prefix = lists.where(F.size("keys") >= COLLISIONS).select("node", F.explode(F.expr(f"slice(keys, 1, size(keys) - {COLLISIONS - 1})")).alias("k"))
-    prefix = written(prefix.select("node", "k.key"), "prefix")
+    prefix = written(few(prefix.select("node", "k.key")), "prefix")
     leaders = prefix.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), F.col("node"))).alias("lead"), F.count(F.lit(1)).alias("n"))
     leaders = leaders.where("n > 1").select("key", F.col("lead.node").alias("leader"))
-    family = written(prefix.join(leaders, "key").select("leader", "node").distinct(), "family")
+    family = written(few(prefix.join(leaders, "key").select("leader", "node").distinct()), "family")
     wanted = family.select(F.col("node").alias("doc_id")).distinct()
     # The list of candidates grows with the input, so it is merged with the texts at every size.
     payload = source.where("doc_id IS NOT NULL").join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(_payload, PAYLOAD)
-    return family_links(family, written(payload, "payload"), block)
+    return family_links(family, written(few(payload), "payload"), block)
 
 
 def family_links(family: DataFrame, payload: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -235,13 +235,13 @@ def family_links(family: DataFrame, payload: DataFrame, block: int = BLOCK) -> D
     placed = members.select("leader", "node", "blocks", F.explode(every).alias("block"))
     placed = placed.join(payload, "node").select("leader", "block", "node", "sign", "shingles")
     first = grouped(placed, ["leader", "block"], ["node"], _first_pass, "leader long, node long, root long, with_leader boolean")
-    first = written(first, "first-pass")
+    first = written(few(first), "first-pass")
     links = first.select(F.col("node").alias("a"), F.col("root").alias("b"))
     large = sizes.where("blocks > 1")
     if large.isEmpty():
         return links
     state = first.join(large, "leader").where("node != leader OR with_leader").dropDuplicates(["leader", "node"])
-    state = written(state.withColumn("block", spot), "large")
+    state = written(few(state.withColumn("block", spot)), "large")
     rest = state.where("NOT with_leader")
     groups = rest.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("groups"))
     part = F.pmod(F.xxhash64("node", F.lit(2)), F.col("groups")).cast("int")

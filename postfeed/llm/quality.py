@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import slices, written
+from postfeed.llm.common import few, slices, written
 
 # Bytes of a chunk, and how many of them the next chunk repeats.
 CHUNK, OVERLAP = 512, 64
@@ -182,7 +182,7 @@ def training_sample(
     chosen = picked[0].unionAll(picked[1])
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = documents.select(F.col(id_col).cast("long").alias("__id"), text.alias("text")).join(F.broadcast(chosen), "__id")
-    sample = written(found.groupBy("__id", "__label").agg(F.min(F.struct(F.octet_length("text").alias("size"), "text")).alias("t")), "sample")
+    sample = written(few(found.groupBy("__id", "__label").agg(F.min(F.struct(F.octet_length("text").alias("size"), "text")).alias("t"))), "sample")
     taken: list[int] = []
     for v in (0, 1):
         left, count = most_bytes, 0

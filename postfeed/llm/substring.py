@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import SHINGLE_WORDS, SIMILARITY, binary, mix, ragged_binary, run_hashes, settled, slices, word_hashes, written
+from postfeed.llm.common import SHINGLE_WORDS, SIMILARITY, binary, few, mix, ragged_binary, run_hashes, settled, slices, word_hashes, written
 from postfeed.llm.graph import components
 from postfeed.llm.minhash import PAYLOAD, family_links, signatures
 from postfeed.operators.keyed import keyed_join
@@ -239,14 +239,14 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     lines = units.where("line AND NOT again")
     keyed = lines.select(F.col("digest").alias("node"), "bands").mapInArrow(_band_rows, "key long, node long")
     met = keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_runs(["key", "node"]), "key long, node long, first_node long")
-    pairs = written(met.where("node != first_node").select(F.col("first_node").alias("leader"), "node").distinct(), "met")
-    family = written(pairs.unionByName(pairs.select("leader", F.col("leader").alias("node")).distinct()), "family")
+    pairs = written(few(met.where("node != first_node").select(F.col("first_node").alias("leader"), "node").distinct()), "met")
+    family = written(few(pairs.unionByName(pairs.select("leader", F.col("leader").alias("node")).distinct())), "family")
     wanted = family.select(F.col("node").alias("digest")).distinct()
     places = lines.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct("doc", "print", "start", "words")).alias("p"))
     asked = places.groupBy("p.doc", "p.print").agg(F.collect_list(F.struct("digest", "p.start", "p.words")).alias("asked"))
     # Both lists grow with the input, so they are merged with the texts at every size.
-    payload = source.join(written(asked, "asked").hint("merge"), ["doc", "print"]).select("text", "asked").mapInArrow(_line_payload, PAYLOAD)
-    payload = written(payload.dropDuplicates(["node"]), "payload")
+    payload = source.join(written(few(asked), "asked").hint("merge"), ["doc", "print"]).select("text", "asked").mapInArrow(_line_payload, PAYLOAD)
+    payload = written(few(payload.dropDuplicates(["node"])), "payload")
     cluster = components(family_links(family, payload))
 
     heads = units.where("NOT again").select("digest", "doc", "print", "start", "words", "line")
@@ -314,16 +314,16 @@ def with_contexts(spans: DataFrame, source: DataFrame) -> DataFrame:
     runs = listed.mapInArrow(_edges, kinds)
     key = {side: F.concat_ws(":", F.lit(side), *[F.col(f"{side}_{c}").cast("string") for c in ("doc", "print", "at")]) for side in ("left", "right")}
     runs = runs.withColumns({"left": key["left"], "right": key["right"], "id": F.xxhash64("doc", "print", "start")})
-    runs = written(runs, "runs")
+    runs = written(few(runs), "runs")
     sides = [runs.select(F.col(f"{s}_doc").alias("doc"), F.col(f"{s}_print").alias("print"), F.col(f"{s}_at").alias("at"), F.lit(s == "right").alias("right"), F.col(s).alias("key")) for s in ("left", "right")]
     asked = sides[0].unionAll(sides[1]).distinct().groupBy("doc", "print").agg(F.collect_list(F.struct("key", "at", "right")).alias("asked"))
     # Rows that share an id and a text give the same words.
-    found = source.join(written(asked, "places").hint("merge"), ["doc", "print"]).select("text", "asked").mapInArrow(_contexts, "key string, beside binary")
-    found = written(found.dropDuplicates(["key"]), "beside")
+    found = source.join(written(few(asked), "places").hint("merge"), ["doc", "print"]).select("text", "asked").mapInArrow(_contexts, "key string, beside binary")
+    found = written(few(found.dropDuplicates(["key"])), "beside")
     told = runs.select("doc", "print", "start", "words", "line", "left", "right", "id")
     for side in ("left", "right"):
         entries = found.where(F.col("key").startswith(side)).select(F.col("key").alias(side), F.col("beside").alias(f"{side}_words"))
-        told = written(keyed_join(told, entries, side, "left", hot_rows=HOT_PLACE).drop(side), f"told-{side}")
+        told = written(few(keyed_join(told, entries, side, "left", hot_rows=HOT_PLACE).drop(side)), f"told-{side}")
     return told.groupBy("doc", "print").agg(F.collect_list(F.struct("start", "words", "line", "left_words", "right_words")).alias("spans"))
 
 
@@ -432,7 +432,7 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
     rows = documents.select(*kept, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("print", F.xxhash64("text"))
     source = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").alias("doc"), "print", "text")
-    found = settled(documents.sparkSession, "spans", lambda: with_contexts(written(repeated_spans(source), "repeats"), source))
+    found = settled(documents.sparkSession, "spans", lambda: few(with_contexts(written(few(repeated_spans(source)), "repeats"), source)))
     spans = found.withColumnRenamed("doc", "doc_id")
     joined = rows.join(spans.hint("merge"), ["doc_id", "print"], "left")
     width = len(keep) + 1

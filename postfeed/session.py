@@ -88,6 +88,12 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
+def bytes_read(df: DataFrame) -> int:
+    """The planner's size of all tables that the plan reads; of rows that come from no table it is beyond any size."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

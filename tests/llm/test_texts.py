@@ -133,6 +133,39 @@ def passages(text, n=50):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
 
+def test_small_tables_are_written_in_few_files(spark, tmp_path, monkeypatch):
+    """Whatever the number of partitions of a shuffle; components of 200 pairs went to 64 files a table."""
+    spark.range(400).selectExpr("id AS a", "id - id % 2 AS b").write.parquet(f"{tmp_path}/links")
+    files, write = [], graph.written
+
+    def counted(df, name):
+        out = write(df, name)
+        files.append((name, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(graph, "written", counted)
+    links, cores = spark.read.parquet(f"{tmp_path}/links"), spark.sparkContext.defaultParallelism
+    given = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.node: r.root for r in graph.components(links).collect()}
+    finally:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+    assert got == {n: n - n % 2 for n in range(400)}
+    assert len(files) > 3 and all(n <= cores for _, n in files), files
+
+
+def test_a_large_table_keeps_its_partitions(spark, tmp_path, monkeypatch):
+    spark.range(4000).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    monkeypatch.setattr(common, "FILE_BYTES", 64)
+    assert common.few(rows.repartition(32)).rdd.getNumPartitions() == 32
+    # Rows that no table holds have no size.
+    assert common.few(spark.createDataFrame([(1,)] * 64, "id long").repartition(32)).rdd.getNumPartitions() == 32
+
+
 def test_no_passage_of_fifty_words_is_left_twice(spark, documents):
     got = without_repeats(documents).collect()
     before = {r.doc_id: r.text for r in documents.collect()}
