@@ -37,8 +37,8 @@ MOST_FILES = 1 << 20
 def few(df: DataFrame) -> DataFrame:
     """The rows in one partition a core, or one for every FILE_BYTES that the plan reads if these are more.
 
-    However many partitions a shuffle has, a small table is then not written as as many files; Spark's local file
-    system starts two processes for each. Not for plans that number rows by the task they are in.
+    However many partitions a shuffle has, a small table is then not written as as many files, each of which costs
+    a task and calls to the file system. Not for plans that number rows by the task they are in.
     """
     wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-bytes_read(df) // FILE_BYTES))
     return df if wanted > MOST_FILES else df.coalesce(wanted)
