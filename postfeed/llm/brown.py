@@ -4,7 +4,9 @@ Words get classes by exchange clustering; a text's probability is the product of
 each word's emission from its class. Counts come from all training texts. A first clustering of the most
 frequent words and of groups by ending gives every word a class to start from; then each sweep counts, for every
 training word, the classes beside it and moves the word to its best class. Frequent words travel to the tasks,
-a list of bounded length; the counts and classes of all other words are joined.
+a list of bounded length. All other words are dealt to buckets: whoever needs their classes or counts, a bucket's
+neighbour pairs or a slice of texts, asks the words' buckets once for each distinct word. Texts are cut into words
+once; pairs, requests and answers travel as arrays, a row for each two buckets.
 """
 
 from __future__ import annotations
@@ -12,15 +14,15 @@ from __future__ import annotations
 import math
 import zlib
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import forget, lower_words, ragged_binary, settled, slices, word_hashes, written, written_at
+from postfeed.llm.common import _Codes, forget, lower_words, ragged_binary, settled, slices, word_hashes, written, written_at
 
 # Remainder of crc32(id as text) modulo FOLDS that marks rows the model never learns from.
 FOLDS, HELD_OUT = 5, 1
@@ -39,8 +41,17 @@ ADD_TRANSITION, ADD_WORD = 0.5, 0.5
 # Cells of a product of word profiles and class table that a task holds: few enough for a core's cache.
 CELLS = 1 << 16
 
-# Distinct words that a task counts before it sends them on.
-SEND = 400_000
+# Cells of words and classes in which a task folds neighbours at a time.
+PROFILE_CELLS = 1 << 20
+
+# Training words for which there is a bucket.
+BUCKET_TOKENS = 1 << 20
+
+# Distinct words that a task counts before it sends them on, and words whose pairs it counts.
+SEND, SEND_PAIRS = 400_000, 2_000_000
+
+# The most frequent words, and the end: their neighbours are too many for one bucket, so their pairs lie with the neighbour.
+WIDE = 32
 
 # Clustered units; the last is the end of a text, before its first word too.
 UNITS = OWN + ENDINGS + 1
@@ -66,17 +77,53 @@ def classes_for(types: int) -> int:
     return max(CLASSES, round(types ** (1 / 3)))
 
 
+CODED = "unit long, ids array<long>, offsets binary, codes binary, words binary"
+
+
+def _coded(batches):
+    """One row per slice of texts: its rows' ids, where each text starts, the code of each word and the coded words."""
+    from pyspark import TaskContext
+
+    unit = TaskContext.get().partitionId() << 33
+    for part in slices(batches):
+        offsets, codes, words = lower_words(part.column("text"))
+        arrays = [pa.array([unit]), pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64()))]
+        arrays += [pa.array([x], pa.binary()) for x in (offsets.tobytes(), codes.astype(np.int32).tobytes(), b" ".join(words))]
+        yield pa.record_batch(arrays, names=["unit", "ids", "offsets", "codes", "words"])
+        unit += 1
+
+
+def _rows(batches):
+    for batch in batches:
+        names, columns = batch.schema.names, batch.columns
+        for i in range(batch.num_rows):
+            yield {name: column[i].as_py() for name, column in zip(names, columns)}
+
+
+def _texts(row: dict) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Offsets, codes and words of a slice."""
+    words = row["words"].split(b" ") if row["words"] else []
+    return np.frombuffer(row["offsets"], np.int64), np.frombuffer(row["codes"], np.int32).astype(np.int64), words
+
+
+def _trained(row: dict) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Those of the training rows of a slice; the words are all."""
+    offsets, codes, words = _texts(row)
+    mine, sizes = np.fromiter(map(learns, row["ids"]), bool, len(row["ids"])), np.diff(offsets)
+    return np.concatenate([[0], np.cumsum(sizes[mine])]).astype(np.int64), codes[np.repeat(mine, sizes)], words
+
+
 def _counted(batches):
     counts: dict[bytes, int] = {}
 
     def sent():
         return pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
-    for part in slices(batches):
-        mine = [i for i, d in enumerate(part.column("doc_id").to_pylist()) if learns(d)]
-        _, codes, words = lower_words(part.column("text").take(pa.array(mine, pa.int64())))
+    for row in _rows(batches):
+        _, codes, words = _trained(row)
         for word, n in zip(words, np.bincount(codes, minlength=len(words)).tolist()):
-            counts[word] = counts.get(word, 0) + n
+            if n:
+                counts[word] = counts.get(word, 0) + n
         if len(counts) > SEND:
             yield sent()
             counts = {}
@@ -130,37 +177,209 @@ def _numbered(frequent):
     return run
 
 
-def _folded(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    heads = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-    return a[heads], b[heads], np.add.reduceat(n[order], heads)
+def _pairs(frequent, buckets: int):
+    """Counts of neighbouring words by number, dealt to buckets."""
+
+    def run(batches):
+        table = Frequent(*frequent.value)
+
+        def sent():
+            keys = np.sort(np.concatenate(held))
+            heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            n, keys = np.diff(np.append(heads, len(keys))), keys[heads]
+            words = list(known)[1:]
+            number = np.concatenate([[END_ID], table.numbers(words, table.look_up(words)[0])])
+            yield from _blocks(number[keys >> 32], number[keys & 0xFFFFFFFF], n, buckets)
+
+        # No word is empty; the end has the first code.
+        known, held, size = _Codes({b"": 0}), [], 0
+        for row in _rows(batches):
+            offsets, codes, words = _trained(row)
+            code = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            after, _ = _with_ends(offsets, code[codes], 0)
+            if len(after):
+                held.append(np.concatenate([[0], after[:-1]]) << 32 | after)
+                size += len(after)
+            if size > SEND_PAIRS:
+                yield from sent()
+                known, held, size = _Codes({b"": 0}), [], 0
+        if held:
+            yield from sent()
+
+    return run
+
+
+def buckets_for(spark: SparkSession, tokens: int) -> int:
+    """The number of buckets that words are dealt to, a few for each core and one for every BUCKET_TOKENS trained on."""
+    return max(4 * spark.sparkContext.defaultParallelism, -(-tokens // BUCKET_TOKENS))
+
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
-def _pairs(frequent):
-    """Counts of neighbouring words by number, and of neighbouring units."""
 
+BLOCKS = "bucket int, side int, small boolean, own binary, other binary, n binary"
+
+
+def _blocks(a: np.ndarray, b: np.ndarray, times: np.ndarray, buckets: int):
+    """Pairs dealt to the buckets of both words: the word, its neighbour after (side 0) or before it (side 1), and the count."""
+    for side, own, other in ((0, a, b), (1, b, a)):
+        small = (own < TAIL) & (other < TAIL)
+        key = np.where(own < WIDE, other, own) % buckets * 2 + small
+        order = np.argsort(key.astype(np.uint16) if buckets < 1 << 15 else key, kind="stable")
+        key, n = key[order], _narrow(times)[order]
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        ends = np.append(heads[1:], len(key))
+        for listed, kind in ((0, np.int64), (1, np.int32)):
+            mine = key[heads] % 2 == listed
+            if mine.any():
+                # Only numbers of listed words fit the smaller kind.
+                at = np.repeat(mine, ends - heads)
+                offsets = np.concatenate([[0], np.cumsum((ends - heads)[mine])]).astype(np.int64)
+                k = int(mine.sum())
+                arrays = [pa.array((key[heads][mine] // 2).astype(np.int32)), pa.array(np.full(k, side, np.int32)), pa.array([bool(listed)] * k)]
+                arrays += [ragged_binary(offsets, own[order[at]].astype(kind)), ragged_binary(offsets, other[order[at]].astype(kind)), ragged_binary(offsets, n[at])]
+                yield pa.record_batch(arrays, names=["bucket", "side", "small", "own", "other", "n"])
+
+
+def _dealt(buckets: int):
     def run(batches):
-        table, total = Frequent(*frequent.value), np.zeros(UNITS * UNITS, dtype=np.int64)
-        held, size = [], 0
-        for part in slices(batches):
-            mine = [i for i, d in enumerate(part.column("doc_id").to_pylist()) if learns(d)]
-            if mine:
-                offsets, codes, words = lower_words(part.column("text").take(pa.array(mine, pa.int64())))
-                at, unit = table.look_up(words)
-                number, unit, wide = np.append(table.numbers(words, at), END_ID), np.append(unit, END), len(words) + 1
-                row, _ = _with_ends(offsets, codes, len(words))
-                pair, times = np.unique(np.concatenate([[len(words)], row[:-1]]) * wide + row, return_counts=True)
-                total += np.bincount(unit[pair // wide] * UNITS + unit[pair % wide], weights=times, minlength=UNITS * UNITS).astype(np.int64)
-                held.append((number[pair // wide], number[pair % wide], times))
-                size += len(pair)
-            if size > 5 * SEND:
-                yield pa.record_batch([*map(pa.array, _folded(*map(np.concatenate, zip(*held))))], names=["a", "b", "n"])
-                held, size = [], 0
-        if held:
-            yield pa.record_batch([*map(pa.array, _folded(*map(np.concatenate, zip(*held))))], names=["a", "b", "n"])
-        seen = np.flatnonzero(total)
-        yield pa.record_batch({"a": END_ID - 1 - seen, "b": np.zeros(len(seen), np.int64), "n": total[seen]})
+        for batch in batches:
+            if batch.num_rows:
+                yield from _blocks(*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "n")), buckets)
+
+    return run
+
+
+def _by_bucket(batches):
+    """The rows of each bucket, from rows sorted by bucket."""
+    for bucket, rows in groupby(_rows(batches), key=lambda row: row["bucket"]):
+        yield bucket, list(rows)
+
+
+def _narrow(n: np.ndarray) -> np.ndarray:
+    """Counts in the smallest type that holds them all."""
+    return n.astype(np.min_scalar_type(int(n.max(initial=0))))
+
+
+def _widened(n: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(n, f"u{len(n) // max(1, count) or 1}").astype(np.int64)
+
+
+def _joined(parts, kind=np.int64) -> np.ndarray:
+    return np.concatenate([np.empty(0, kind), *[np.frombuffer(x, kind) for x in parts]])
+
+
+def _requests(ids: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Where the answer for each of the sorted ids stands when answers come in the order of buckets; the ids of each bucket."""
+    bucket = ids % buckets
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(ids))
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    return place, [(int(x[0] % buckets), x) for x in np.split(ids[order], cuts) if len(x)]
+
+
+STATE = "asked boolean, bucket int, unit int, id binary, slot binary, size binary, code binary, n binary"
+
+
+def _states(buckets: int, listed: int):
+    """Per bucket the words it moves, with the neighbours of each, and the words whose classes it asks other buckets for.
+
+    A slot is where a word's class stands: listed words by number after the end, then the answers of the buckets.
+    """
+
+    def run(batches):
+        def sent(asked, bucket, unit, *arrays):
+            values = [pa.array([x], t) for x, t in ((asked, pa.bool_()), (bucket, pa.int32()), (unit, pa.int32()))]
+            values += [pa.array([x.tobytes()], pa.binary()) for x in arrays] + [pa.nulls(1, pa.binary())] * (5 - len(arrays))
+            return pa.record_batch(values, names=["asked", "bucket", "unit", "id", "slot", "size", "code", "n"])
+
+        for bucket, rows in _by_bucket(batches):
+            ids = np.sort(_joined(r["own"] for r in rows if r["side"] < 0))
+            rows = [r for r in rows if r["side"] >= 0]
+            own, other = (np.concatenate([np.empty(0, np.int64), *[np.frombuffer(r[c], np.int32 if r["small"] else np.int64) for r in rows]]) for c in ("own", "other"))
+            sizes = [len(r["other"]) // (4 if r["small"] else 8) for r in rows]
+            n = np.concatenate([np.empty(0, np.int64), *[_widened(r["n"], size) for r, size in zip(rows, sizes)]])
+            side = np.repeat(np.array([r["side"] for r in rows], np.int64), sizes)
+            del rows
+            far = other >= TAIL
+            asked = _distinct(np.concatenate([ids[ids >= TAIL], other[far]]))
+            place, requests = _requests(asked, buckets)
+
+            def slots(x, far):
+                out = x + 1
+                out[far] = listed + 1 + place[np.searchsorted(asked, x[far])]  # noqa: B023
+                return out
+
+            code = slots(other, far) * 2 + side
+            del other, side, far
+            for wide in (False, True):
+                mine = (own < WIDE) == wide
+                words = _distinct(own[mine]) if wide else ids[ids >= WIDE]
+                key = np.searchsorted(words, own[mine]) << 32 | code[mine]
+                order = np.argsort(key)
+                key = key[order]
+                heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+                times = np.add.reduceat(n[mine][order], heads) if len(heads) else n[:0]
+                key = key[heads]
+                size = np.bincount(key >> 32, minlength=len(words))
+                yield sent(False, bucket, -1 - wide, words, slots(words, words >= TAIL).astype(np.int32), size.astype(np.int64), (key & 0xFFFFFFFF).astype(np.int32), _narrow(times))
+            for provider, x in requests:
+                yield sent(True, provider, bucket, x)
+
+    return run
+
+
+ANSWERS = "bucket int, unit int, class binary"
+
+
+def _answers(batches):
+    """The classes of the words that each bucket was asked for; rows with unit -1 have its words and their classes."""
+    for bucket, rows in _by_bucket(batches):
+        own = [r for r in rows if r["unit"] < 0]
+        ids, classes = _joined(r["id"] for r in own), _joined((r["class"] for r in own), np.int16)
+        order = np.argsort(ids)
+        ids, classes = ids[order], classes[order]
+        for r in rows:
+            if r["unit"] >= 0:
+                found = classes[np.searchsorted(ids, np.frombuffer(r["id"], np.int64))]
+                yield pa.record_batch([pa.array([r["unit"]], pa.int32()), pa.array([bucket], pa.int32()), pa.array([found.tobytes()], pa.binary())], names=["bucket", "unit", "class"])
+
+
+PROFILES = "bucket int, wide boolean, id binary, class binary, size binary, seen binary, n binary"
+
+
+def _profiles(known, k: int, sides: int):
+    """Per bucket its words in chunks: the class each has, the classes beside it and their counts.
+
+    A class after the word is itself, one before it has k added. Rows of wide words have a part of their neighbours.
+    """
+
+    def run(batches):
+        for bucket, rows in _by_bucket(batches):
+            answers = sorted((r for r in rows if r["class"] is not None), key=lambda r: r["unit"])
+            classes = np.concatenate([known.value, _joined((r["class"] for r in answers), np.int16)]).astype(np.int64)
+            for row in (r for r in rows if r["class"] is None):
+                ids, own = np.frombuffer(row["id"], np.int64), classes[np.frombuffer(row["slot"], np.int32)]
+                size, code = np.frombuffer(row["size"], np.int64), np.frombuffer(row["code"], np.int32)
+                n = _widened(row["n"], len(code))
+                offsets = np.concatenate([[0], np.cumsum(size)])
+                # As many words as have PROFILE_CELLS cells.
+                step = max(1, PROFILE_CELLS // (2 * k))
+                for at in range(0, len(ids), step):
+                    end = min(at + step, len(ids))
+                    a, b = offsets[at], offsets[end]
+                    word, part, times = np.repeat(np.arange(end - at), size[at:end]), code[a:b], n[a:b]
+                    if sides == 1:
+                        after = part % 2 == 0
+                        word, part, times = word[after], part[after], times[after]
+                    cells = np.bincount((word * 2 + part % 2) * k + classes[part >> 1], weights=times, minlength=(end - at) * 2 * k)
+                    seen = np.flatnonzero(cells)
+                    arrays = [ids[at:end], own[at:end], np.bincount(seen // (2 * k), minlength=end - at).astype(np.int64), seen % (2 * k), cells[seen].astype(np.int64)]
+                    values = [pa.array([bucket], pa.int32()), pa.array([row["unit"] == -2])] + [pa.array([x.tobytes()], pa.binary()) for x in arrays]
+                    yield pa.record_batch(values, names=["bucket", "wide", "id", "class", "size", "seen", "n"])
 
     return run
 
@@ -211,52 +430,27 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return of
 
 
-def _profiles(batches):
-    """One row per word from rows sorted by word and class: the class it has, the classes beside it and their counts."""
-
-    def packed(word, seen, n):
-        heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        rest = np.ones(len(word), bool)
-        rest[heads] = False
-        offsets = np.concatenate([[0], np.cumsum(np.diff(np.append(heads, len(word))) - 1)]).astype(np.int64)
-        arrays = [pa.array(word[heads]), pa.array(n[heads]), ragged_binary(offsets, seen[rest].astype(np.int64)), ragged_binary(offsets, n[rest])]
-        return pa.record_batch(arrays, names=["id", "class", "seen", "n"])
-
-    held = None
-    for batch in batches:
-        rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "seen", "n")]
-        if held is not None:
-            rows = [np.concatenate(x) for x in zip(held, rows)]
-        if len(rows[0]):
-            cut = int(np.searchsorted(rows[0], rows[0][-1]))
-            if cut:
-                yield packed(*(r[:cut] for r in rows))
-            held = [r[cut:] for r in rows]
-    if held is not None:
-        yield packed(*held)
-
-
-def _unpacked(batch: pa.RecordBatch):
+def _unpacked(row: dict):
     """Classes of the words, then offsets, classes beside them and counts."""
-    seen = [np.frombuffer(x, dtype=np.int64) for x in batch.column("seen").to_pylist()]
-    n = np.frombuffer(b"".join(batch.column("n").to_pylist()), dtype=np.int64)
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in seen])]).astype(np.int64)
-    return batch.column("class").to_numpy(zero_copy_only=False), offsets, np.concatenate(seen), n
+    own, size, seen, n = (np.frombuffer(row[c], np.int64) for c in ("class", "size", "seen", "n"))
+    return own, np.concatenate([[0], np.cumsum(size)]).astype(np.int64), seen, n
 
 
 def _table(k: int):
-    """Cells of the class table: what follows the words of each class."""
+    """Cells of the class table, what follows the words of each class; below 0 those of wide words and classes beside them."""
 
     def run(batches):
-        total = np.zeros(k * k, dtype=np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                own, offsets, seen, n = _unpacked(batch)
-                after = seen < k
-                cells = np.repeat(own, np.diff(offsets))[after] * k + seen[after]
-                total += np.bincount(cells, weights=n[after], minlength=k * k).astype(np.int64)
-        cells = np.flatnonzero(total)
-        yield pa.record_batch({"cell": cells, "n": total[cells]})
+        total, wide = np.zeros(k * k, dtype=np.int64), np.zeros((WIDE + 1) * 2 * k, dtype=np.int64)
+        for row in _rows(batches):
+            own, offsets, seen, n = _unpacked(row)
+            after, size = seen < k, np.diff(offsets)
+            cells = np.repeat(own, size)[after] * k + seen[after]
+            total += np.bincount(cells, weights=n[after], minlength=k * k).astype(np.int64)
+            if row["wide"]:
+                cells = np.repeat(np.frombuffer(row["id"], np.int64) + 1, size) * 2 * k + seen
+                wide += np.bincount(cells, weights=n, minlength=len(wide)).astype(np.int64)
+        cells, more = np.flatnonzero(total), np.flatnonzero(wide)
+        yield pa.record_batch({"cell": np.concatenate([cells, -1 - more]), "n": np.concatenate([total[cells], wide[more]])})
 
     return run
 
@@ -305,48 +499,107 @@ def best_classes(own: np.ndarray, offsets: np.ndarray, seen: np.ndarray, n: np.n
 
 
 def _moved(table: np.ndarray):
+    def run(batches):
+        for row in _rows(batches):
+            best = best_classes(*_unpacked(row), table)
+            yield pa.record_batch([pa.array([row["bucket"]], pa.int32()), pa.array([row["id"]], pa.binary()), pa.array([best.astype(np.int16).tobytes()], pa.binary())], names=["bucket", "id", "class"])
+
+    return run
+
+
+def _unpacked_classes(listed_only: bool):
+    def run(batches):
+        for row in _rows(batches):
+            ids, classes = np.frombuffer(row["id"], np.int64), np.frombuffer(row["class"], np.int16).astype(np.int64)
+            mine = ids < TAIL if listed_only else np.ones(len(ids), bool)
+            yield pa.record_batch({"id": ids[mine], "class": classes[mine]})
+
+    return run
+
+
+def _packed(columns: dict[str, type]):
+    """The rows of each bucket as arrays, from rows sorted by bucket."""
+
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                yield pa.record_batch({"id": batch.column("id"), "class": best_classes(*_unpacked(batch), table)})
+                bucket = batch.column("bucket").to_numpy(zero_copy_only=False)
+                heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+                offsets = np.append(heads, len(bucket)).astype(np.int64)
+                arrays = [ragged_binary(offsets, batch.column(c).to_numpy(zero_copy_only=False).astype(kind)) for c, kind in columns.items()]
+                yield pa.record_batch([pa.array(bucket[heads]), *arrays], names=["bucket", *columns])
 
     return run
 
 
-def exchange_words(pairs: DataFrame, classed: DataFrame, k: int, sweeps: int = WORD_SWEEPS) -> tuple[DataFrame, np.ndarray]:
+def packed(rows: DataFrame, buckets: int, **columns: type) -> DataFrame:
+    """Rows with an id as a row per bucket, or a few, with an array for each column."""
+    bucket = F.pmod("id", F.lit(buckets)).cast("int").alias("bucket")
+    dealt = rows.select(bucket, *columns).repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(_packed(columns), "bucket int, " + ", ".join(f"{c} binary" for c in columns))
+
+
+def _sorted(parts: DataFrame) -> DataFrame:
+    return parts.repartition("bucket").sortWithinPartitions("bucket")
+
+
+def exchange_words(pairs: DataFrame, classed: DataFrame, k: int, sweeps: int = WORD_SWEEPS, buckets: int = 32) -> tuple[DataFrame, np.ndarray]:
     """Exchange over all words, from the classes given: id and class of each word, and the class table.
 
-    ``pairs`` has the counts n of neighbouring words a and b, ``classed`` the id and class of every word and of the
-    end. A sweep takes every word to its best class at once and counts if it raises the information; the first
-    that does not ends the exchange.
+    ``pairs`` has the counts n of neighbouring words a and b, or blocks of them dealt to ``buckets``; ``classed``
+    the id and class of every word and of the end. A sweep takes every word to its best class at once
+    and counts if it raises the information; the first that does not ends the exchange.
     """
     spark = pairs.sparkSession
-    best = path = best_path = None
+    # The list, bounded, and the end.
+    near = classed.where(F.col("id") < TAIL).toArrow()
+    near = dict(zip(near.column("id").to_pylist(), near.column("class").to_pylist()))
+    listed = max(near, default=END_ID) + 1
+    known = np.zeros(listed + 1, np.int16)
+    for word, cls in near.items():
+        known[word + 1] = cls
+    classes, path = written_at(packed(classed, buckets, id=np.int64, **{"class": np.int16}), "classes")
+    blocks = pairs if "bucket" in pairs.columns else pairs.mapInArrow(_dealt(buckets), BLOCKS)
+    words = classes.select("bucket", F.lit(-1).alias("side"), F.col("id").alias("own"))
+    state, state_path = written_at(_sorted(blocks.unionByName(words, allowMissingColumns=True)).mapInArrow(_states(buckets, listed), STATE), "state")
+    forget(spark)
+    asked = state.where("asked").select("bucket", "unit", "id")
+    state = state.where("NOT asked").drop("asked")
+    best = best_path = None
     for sweep in range(sweeps + 1):
-        listed, tail = F.broadcast(classed.where(F.col("id") < TAIL)), classed.where(F.col("id") >= TAIL)
-        beside = classed.select("id", F.lit(-1).cast("long").alias("seen"), F.col("class").alias("n"))
+        sent = spark.sparkContext.broadcast(known)
+        answers = _sorted(asked.unionByName(classes.withColumn("unit", F.lit(-1)), allowMissingColumns=True)).mapInArrow(_answers, ANSWERS)
         # The table has what follows a word; what precedes it is needed to move on only.
-        for word, other, side in (("a", "b", 0), ("b", "a", k))[: 2 if sweep < sweeps else 1]:
-            for rows, known in ((pairs.where(F.col(other) < TAIL), listed), (pairs.where(F.col(other) >= TAIL), tail)):
-                met = rows.join(known.withColumnRenamed("id", other), other)
-                beside = beside.unionByName(met.select(F.col(word).alias("id"), (F.col("class") + side).alias("seen"), "n"))
-        summed = beside.groupBy("id", "seen").agg(F.sum("n").alias("n"))
-        profiles = summed.repartition("id").sortWithinPartitions("id", "seen").mapInArrow(_profiles, "id long, class long, seen binary, n binary")
+        profiles = _sorted(state.unionByName(answers, allowMissingColumns=True)).mapInArrow(_profiles(sent, k, 2 if sweep < sweeps else 1), PROFILES)
         profiles, profiles_path = written_at(profiles, "profiles")
-        # One sum per pair of classes.
+        # One sum per pair of classes, and per wide word and class beside it.
         cells = profiles.mapInArrow(_table(k), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        cell, n = cells.column("cell").to_numpy(), cells.column("n").to_numpy()
         table = np.zeros(k * k, dtype=np.int64)
-        table[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+        table[cell[cell >= 0]] = n[cell >= 0]
         table = table.reshape(k, k)
-        if best is not None and information(table) <= information(best[1]):
+        if best is not None and information(table) <= information(best[2]):
             forget(spark, profiles_path, path)
             break
-        former, best_path, best = best_path, path, (classed, table)
+        former, best_path, best = best_path, path, (classes, known, table)
         if sweep < sweeps:
-            classed, path = written_at(profiles.mapInArrow(_moved(table), "id long, class long"), "classes")
+            classes, path = written_at(profiles.where("NOT wide").mapInArrow(_moved(table), "bucket int, id binary, class binary"), "classes")
+            known = known.copy()
+            near = classes.mapInArrow(_unpacked_classes(True), "id long, class long").toArrow()
+            known[near.column("id").to_numpy() + 1] = near.column("class").to_numpy()
+            # Wide words, in order.
+            order = np.argsort(-1 - cell[cell < 0])
+            wide, times = (-1 - cell[cell < 0])[order], n[cell < 0][order]
+            words = _distinct(wide // (2 * k))
+            offsets = np.append(np.searchsorted(wide // (2 * k), words), len(wide))
+            known[words] = best_classes(known[words].astype(np.int64), offsets, wide % (2 * k), times, table)
         # No later sweep reads them.
         forget(spark, profiles_path, former)
-    return best
+    forget(spark, state_path)
+    classes, known, table = best
+    rows = classes.mapInArrow(_unpacked_classes(False), "id long, class long").where(F.col("id") >= WIDE)
+    few = spark.createDataFrame([(i - 1, int(known[i])) for i in range(min(WIDE, listed) + 1)], "id long, class long")
+    return rows.unionByName(few), table
 
 
 @dataclass
@@ -365,51 +618,86 @@ class Model:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.types + 1)))
 
 
-def _partial(frequent, model):
-    """One row per document with all that the listed words give, and one per document and pair with another word."""
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "a", "b", "times", "class_a", "class_b"]
+def _wanted(table: Frequent, words: list[bytes], buckets: int):
+    """Indices and units of the words; numbers of those outside the list, where their answers stand, and the requests."""
+    at, unit = table.look_up(words)
+    number = table.numbers(words, at)
+    asked = _distinct(number[at < 0])
+    place, requests = _requests(asked, buckets)
+    return at, unit, place[np.searchsorted(asked, number[at < 0])], requests
+
+
+def _asked(frequent, buckets: int):
+    """The words outside the list of each slice of texts, by bucket, and counts of neighbouring units."""
 
     def run(batches):
-        from pyspark import TaskContext
+        table, total = Frequent(*frequent.value), np.zeros(UNITS * UNITS, dtype=np.int64)
+        names = ["bucket", "unit", "id", "cell", "n"]
+        for row in _rows(batches):
+            offsets, codes, words = _trained(row)
+            _, unit, _, requests = _wanted(table, words, buckets)
+            after, _ = _with_ends(offsets, unit[codes], END)
+            total += np.bincount(np.concatenate([[END], after[:-1]])[: len(after)] * UNITS + after, minlength=UNITS * UNITS)
+            if requests:
+                k = len(requests)
+                arrays = [pa.array([q for q, _ in requests], pa.int32()), pa.array([row["unit"]] * k, pa.int64()), pa.array([x.tobytes() for _, x in requests], pa.binary())]
+                yield pa.record_batch([*arrays, pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names=names)
+        seen = np.flatnonzero(total)
+        empty = [pa.nulls(len(seen), t) for t in (pa.int32(), pa.int64(), pa.binary())]
+        yield pa.record_batch([*empty, pa.array(seen), pa.array(total[seen])], names=names)
 
-        table, m = Frequent(*frequent.value), model
-        row = TaskContext.get().partitionId() << 33
-        for part in slices(batches):
-            ids = part.column("doc_id").to_pylist()
-            offsets, codes, words = lower_words(part.column("text"))
-            at, unit = table.look_up(words)
-            wide = len(words) + 1
-            # The end is the last word. Words outside the list have the class of their ending until they are joined.
-            of = np.append(np.where(at >= 0, m.listed[at] if len(m.listed) else 0, m.of[unit]), m.of[END]).astype(np.int64)
-            number = np.append(table.numbers(words, at), END_ID)
-            counts = np.where(at >= 0, table.counts[at] if len(table.counts) else 0, 0)
-            # What a word gives wherever it stands; words outside the list are left to the join.
-            base = np.where(at >= 0, m.base(counts), 0.0)
-            emitted = np.where(at >= 0, np.log10((counts + ADD_WORD) / m.emission[of[:-1]]), 0.0)
-            after, ends = _with_ends(offsets, codes, len(words))
-            before = np.concatenate([[len(words)], after[:-1]])
-            there = number < TAIL
-            both = there[before] & there[after]
-            steps = np.where(both, m.transitions[of[before], of[after]], 0.0)
-            firsts = np.concatenate([[0], ends[:-1] + 1])
-            n = len(ids)
+    return run
+
+
+def _said(batches):
+    """Counts and classes of the words that each bucket was asked for; 0 and -1 for words never trained on."""
+    for bucket, rows in _by_bucket(batches):
+        own = [r for r in rows if r["unit"] is None]
+        ids, n, classes = _joined(r["id"] for r in own), _joined(r["n"] for r in own), _joined((r["class"] for r in own), np.int16)
+        order = np.argsort(ids)
+        ids, n, classes = ids[order], np.append(n[order], 0), np.append(classes[order], np.int16(-1))
+        known = np.append(ids, END_ID)
+        for r in rows:
+            if r["unit"] is not None:
+                asked = np.frombuffer(r["id"], np.int64)
+                at = np.searchsorted(ids, asked)
+                at[known[at] != asked] = len(ids)
+                arrays = [pa.array([x.tobytes()], pa.binary()) for x in (n[at], classes[at])]
+                yield pa.record_batch([pa.array([r["unit"]], pa.int64()), pa.array([bucket], pa.int32()), *arrays], names=["unit", "bucket", "n", "class"])
+
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _scored(frequent, model, buckets: int):
+    """One row per document, from slices of texts and the answers for their words, sorted by unit."""
+
+    def run(batches):
+        table, m = Frequent(*frequent.value), model.value
+        for _, rows in groupby(_rows(batches), key=lambda row: row["unit"]):
+            rows = list(rows)
+            row = next(r for r in rows if r["words"] is not None)
+            answers = sorted((r for r in rows if r["words"] is None), key=lambda r: r["bucket"])
+            offsets, codes, words = _texts(row)
+            at, unit, place, _ = _wanted(table, words, buckets)
+            listed = at >= 0
+            counts, of = np.zeros(len(words), np.int64), m.of[unit].astype(np.int64)
+            counts[listed], of[listed] = table.counts[at[listed]], m.listed[at[listed]]
+            counts[~listed] = _joined(r["n"] for r in answers)[place]
+            classes = _joined((r["class"] for r in answers), np.int16)[place]
+            # Words never trained on have the class of their ending.
+            of[~listed] = np.where(classes < 0, of[~listed], classes)
+            emitted, base = np.log10((counts + ADD_WORD) / m.emission[of]), m.base(counts)
+            ids, n = row["ids"], len(row["ids"])
+            after, ends = _with_ends(offsets, of[codes], m.of[END])
+            steps = m.transitions[np.concatenate([[m.of[END]], after[:-1]])[: len(after)], after]
+            firsts = np.concatenate([[0], ends[:-1] + 1])[:n]
             owner = np.repeat(np.arange(n), np.diff(offsets))
-            total = lambda v: np.bincount(owner, weights=v[codes], minlength=n) if len(codes) else np.zeros(n)
+            total = lambda v: np.bincount(owner, weights=v[codes], minlength=n) if len(codes) else np.zeros(n)  # noqa: E731, B023
             score = np.add.reduceat(steps, firsts) + total(emitted)
-            known = total((at >= 0).astype(np.float64)).astype(np.int64) + (m.ends > 0)
-            size = np.diff(offsets) + 1
-            bases = total(base) + m.base(m.ends)
-            held = [not learns(d) for d in ids]
-            rows = row + np.arange(n)
-            row += n
-            yield pa.record_batch([pa.array(rows), part.column("doc_id"), pa.array(held), pa.array(size), pa.array(known), pa.array(bases), pa.array(score), *[pa.nulls(n, pa.int64())] * 5], names=names)
-            rare = np.flatnonzero(~both)
-            if len(rare):
-                owner = np.repeat(np.arange(n), size)[rare]
-                pair, times = np.unique((owner * wide + before[rare]) * wide + after[rare], return_counts=True)
-                a, b, k = pair // wide % wide, pair % wide, len(pair)
-                empty = [pa.nulls(k, t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                yield pa.record_batch([pa.array(rows[pair // wide // wide]), *empty, *map(pa.array, (number[a], number[b], times.astype(np.int64), of[a], of[b]))], names=names)
+            known = total((counts > 0).astype(np.float64)).astype(np.int64) + (m.ends > 0)
+            arrays = [pa.array(ids, pa.int64()), pa.array([not learns(d) for d in ids], pa.bool_()), *map(pa.array, (np.diff(offsets) + 1, known, np.full(n, m.tokens), total(base) + m.base(m.ends), score))]
+            yield pa.record_batch(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return run
 
@@ -442,7 +730,8 @@ def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _scores(source: DataFrame, frequent_words: int) -> DataFrame:
     spark = source.sparkSession
-    vocabulary = written(source.mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
+    coded = written(source.mapInArrow(_coded, CODED), "coded")
+    vocabulary = written(coded.mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
     trained = F.col("doc_id").isNull() | (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != HELD_OUT)
     ends = source.where(trained).count()
     words, types = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -452,23 +741,20 @@ def _scores(source: DataFrame, frequent_words: int) -> DataFrame:
     listed = [bytes(r["word"]) for r in top]
     units = np.array([i if i < OWN else ending(w) for i, w in enumerate(listed)], dtype=np.int64)
     frequent = spark.sparkContext.broadcast(({w: i for i, w in enumerate(listed)}, np.array([r["n"] for r in top], dtype=np.int64), units))
-    counted, counted_path = written_at(source.mapInArrow(_pairs(frequent), "a long, b long, n long"), "pairs")
+    buckets = buckets_for(spark, int(words))
+    asked = written(coded.mapInArrow(_asked(frequent, buckets), "bucket int, unit long, id binary, cell long, n long"), "asked")
     # UNITS * UNITS sums at most.
-    summed = counted.where(F.col("a") < END_ID).groupBy("a").agg(F.sum("n").alias("n")).toArrow()
+    summed = asked.where("bucket IS NULL").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     cells = np.zeros(UNITS * UNITS, dtype=np.int64)
-    cells[END_ID - 1 - summed.column("a").to_numpy()] = summed.column("n").to_numpy()
+    cells[summed.column("cell").to_numpy()] = summed.column("n").to_numpy()
     classes = classes_for(int(types))
     of = exchange(cells.reshape(UNITS, UNITS), classes)
     k = classes + 1
     numbered = written(vocabulary.mapInArrow(_numbered(frequent), "id long, n long, unit long"), "numbered")
     start = F.element_at(F.array(*[F.lit(int(c)) for c in of]), (F.col("unit") + 1).cast("int")).cast("long")
     the_end = spark.createDataFrame([(END_ID, classes)], "id long, class long")
-    # Pairs of all tasks together, a word's beside each other, so that each sweep folds its followers where they lie.
-    pairs = counted.where(F.col("a") >= END_ID).repartition("a").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    pairs, pairs_path = written_at(pairs, "pairs")
-    forget(spark, counted_path)
-    classed, steps = exchange_words(pairs, numbered.select("id", start.alias("class")).unionByName(the_end), k)
-    forget(spark, pairs_path)
+    pairs = coded.mapInArrow(_pairs(frequent, buckets), BLOCKS)
+    classed, steps = exchange_words(pairs, numbered.select("id", start.alias("class")).unionByName(the_end), k, buckets=buckets)
     transitions = np.log10((steps + ADD_TRANSITION) / (steps.sum(axis=1, keepdims=True) + ADD_TRANSITION * k))
     # Every training token follows one, so a class has as many as its column.
     emission = steps.sum(axis=0) + ADD_WORD
@@ -477,31 +763,9 @@ def _scores(source: DataFrame, frequent_words: int) -> DataFrame:
     mine = np.zeros(len(listed), dtype=np.int64)
     for i, cls in classed.where((F.col("id") >= 0) & (F.col("id") < TAIL)).collect():
         mine[i] = cls
-    model = Model(mine, of, transitions, emission, int(words) + ends, int(types) + (ends > 0), ends)
-    kinds = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, a long, b long, times long, class_a long, class_b long"
-    parts = written(source.mapInArrow(_partial(frequent, model), kinds), "partial")
+    model = spark.sparkContext.broadcast(Model(mine, of, transitions, emission, int(words) + ends, int(types) + (ends > 0), ends))
     tail = numbered.where(F.col("id") >= TAIL).select("id", "n").join(classed, "id")
-    rare = parts.where("a IS NOT NULL").select("row", "a", "b", "times", "class_a", "class_b")
-    said = tail.select(F.col("id").alias("b"), "n", F.col("class").alias("joined_b"))
-    rare = rare.where(F.col("b") >= TAIL).join(said, "b", "left").unionByName(rare.where(F.col("b") < TAIL), allowMissingColumns=True)
-    said = tail.select(F.col("id").alias("a"), F.col("class").alias("joined_a"))
-    rare = rare.where(F.col("a") >= TAIL).join(said, "a", "left").unionByName(rare.where(F.col("a") < TAIL), allowMissingColumns=True)
-    # One row per pair of classes.
-    step = spark.createDataFrame([(i, j, float(transitions[i, j])) for i in range(k) for j in range(k)], "class_a long, class_b long, step double")
-    rare = rare.withColumn("class_a", F.coalesce("joined_a", "class_a")).withColumn("class_b", F.coalesce("joined_b", "class_b"))
-    rare = rare.join(F.broadcast(step), ["class_a", "class_b"])
-    divisor = F.element_at(F.array(*[F.lit(float(x)) for x in emission]), (F.col("class_b") + 1).cast("int"))
-    count, unlisted = F.coalesce("n", F.lit(0)), F.col("b") >= TAIL
-    rare = rare.select(
-        "row", F.when(F.col("n").isNull(), 0).otherwise(F.col("times")).alias("n_known"),
-        F.when(unlisted, F.col("times") * F.log10((count + 0.5) / F.lit(model.tokens + 0.5 * (model.types + 1)))).otherwise(0.0).alias("base"),
-        (F.col("times") * (F.col("step") + F.when(unlisted, F.log10((count + ADD_WORD) / divisor)).otherwise(0.0))).alias("score"),
-    ).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_known", "base", "score")])
-    own = parts.where("a IS NULL").select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score")
-    more = rare.select("row", F.col("n_known").alias("k"), F.col("base").alias("b"), F.col("score").alias("s"))
-    joined = own.join(more, "row", "left")
-    add = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
-    return joined.select(
-        "doc_id", "held_out", "n_tokens", add("n_known", "k").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
-        add("base", "b").alias("base_score"), add("score", "s").alias("score"),
-    )
+    told = asked.where("bucket IS NOT NULL").select("bucket", "unit", "id").unionByName(packed(tail, buckets, id=np.int64, n=np.int64, **{"class": np.int16}), allowMissingColumns=True)
+    said = _sorted(told).mapInArrow(_said, "unit long, bucket int, n binary, class binary")
+    parts = coded.unionByName(said, allowMissingColumns=True).repartition("unit").sortWithinPartitions("unit")
+    return parts.mapInArrow(_scored(frequent, model, buckets), SCORED)

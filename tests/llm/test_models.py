@@ -456,6 +456,46 @@ def test_the_last_pass_of_the_exchange_counts_followers_only(spark, monkeypatch)
     assert (table == want).all()
 
 
+def test_classes_do_not_depend_on_the_buckets(spark):
+    """Wide, listed and other words; pairs of every kind, counts beyond 16 bits and a word beside itself."""
+    rng = np.random.default_rng(6)
+    ids = [brown.END_ID, *range(60), *(brown.TAIL | int(x) for x in rng.integers(0, brown.TAIL, 60))]
+    pairs = Counter((ids[a], ids[b]) for a, b in rng.integers(0, len(ids), (3_000, 2)))
+    pairs[ids[40], ids[100]] += 70_000
+    rows = spark.createDataFrame([(a, b, n) for (a, b), n in pairs.items()], "a long, b long, n long")
+    k = 6
+    first = {i: j % (k - 1) for j, i in enumerate(ids[1:])} | {brown.END_ID: k - 1}
+    classed = spark.createDataFrame([*first.items()], "id long, class long")
+    found = []
+    for buckets in (1, 7):
+        classes, table = brown.exchange_words(rows, classed, k, sweeps=2, buckets=buckets)
+        found.append(dict(classes.collect()))
+        assert set(found[-1]) == set(ids)
+        want = np.zeros((k, k), np.int64)
+        for (a, b), n in pairs.items():
+            want[found[-1][a], found[-1][b]] += n
+        assert (table == want).all()
+    assert found[0] == found[1] != first
+
+
+def test_pairs_travel_as_arrays(spark, monkeypatch):
+    """No scratch table of the exchange has a row per pair of words, however many shuffle partitions there are."""
+    sizes, write = {}, brown.written_at
+
+    def spied(df, name):
+        made, path = write(df, name)
+        sizes[name] = max(sizes.get(name, 0), made.count())
+        return made, path
+
+    monkeypatch.setattr(brown, "written_at", spied)
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(80)) for _ in range(200)]
+    pairs = {p for i, t in enumerate(texts) if brown.learns(i) for p in zip([None, *t.split()], [*t.split(), None])}
+    assert len(pairs) > 10_000
+    assert len(brown.scores(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3), frequent_words=300).collect()) == 200
+    assert max(sizes.values()) < 2_000, sizes
+
+
 def test_exchange_holds_few_cells_at_a_time():
     rng = np.random.default_rng(5)
     k, sizes = 200, rng.integers(2, 8, 20_000)
