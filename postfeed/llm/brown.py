@@ -18,11 +18,12 @@ from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postfeed.llm.common import _Codes, forget, lower_words, ragged_binary, settled, slices, word_hashes, written, written_at
+from postfeed.llm.common import _Codes, forget, joined_words, lower_tokens, ragged_binary, settled, slices, split_words, word_hashes, written, written_at
 
 # Remainder of crc32(id as text) modulo FOLDS that marks rows the model never learns from.
 FOLDS, HELD_OUT = 5, 1
@@ -41,14 +42,17 @@ ADD_TRANSITION, ADD_WORD = 0.5, 0.5
 # Cells of a product of word profiles and class table that a task holds: few enough for a core's cache.
 CELLS = 1 << 16
 
+# Neighbouring classes up to which words with equally many are summed together.
+FEW_CELLS = 8
+
 # Cells of words and classes in which a task folds neighbours at a time.
 PROFILE_CELLS = 1 << 20
 
 # Training words for which there is a bucket.
 BUCKET_TOKENS = 1 << 20
 
-# Distinct words that a task counts before it sends them on, and words whose pairs it counts.
-SEND, SEND_PAIRS = 400_000, 2_000_000
+# Distinct words that a task counts before it sends them on, and words whose pairs it counts; bytes of words for either.
+SEND, SEND_PAIRS, SEND_BYTES = 400_000, 2_000_000, 64 << 20
 
 # The most frequent words, and the end: their neighbours are too many for one bucket, so their pairs lie with the neighbour.
 WIDE = 32
@@ -86,9 +90,9 @@ def _coded(batches):
 
     unit = TaskContext.get().partitionId() << 33
     for part in slices(batches):
-        offsets, codes, words = lower_words(part.column("text"))
+        offsets, codes, words = lower_tokens(part.column("text"))
         arrays = [pa.array([unit]), pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64()))]
-        arrays += [pa.array([x], pa.binary()) for x in (offsets.tobytes(), codes.astype(np.int32).tobytes(), b" ".join(words))]
+        arrays += [pa.array([x], pa.binary()) for x in (offsets.tobytes(), codes.astype(np.int32).tobytes(), joined_words(words))]
         yield pa.record_batch(arrays, names=["unit", "ids", "offsets", "codes", "words"])
         unit += 1
 
@@ -100,35 +104,41 @@ def _rows(batches):
             yield {name: column[i].as_py() for name, column in zip(names, columns)}
 
 
-def _texts(row: dict) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Offsets, codes and words of a slice."""
-    words = row["words"].split(b" ") if row["words"] else []
-    return np.frombuffer(row["offsets"], np.int64), np.frombuffer(row["codes"], np.int32).astype(np.int64), words
+def _texts(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and codes of a slice."""
+    return np.frombuffer(row["offsets"], np.int64), np.frombuffer(row["codes"], np.int32).astype(np.int64)
 
 
-def _trained(row: dict) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Those of the training rows of a slice; the words are all."""
-    offsets, codes, words = _texts(row)
+def _trained(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the training rows of a slice."""
+    offsets, codes = _texts(row)
     mine, sizes = np.fromiter(map(learns, row["ids"]), bool, len(row["ids"])), np.diff(offsets)
-    return np.concatenate([[0], np.cumsum(sizes[mine])]).astype(np.int64), codes[np.repeat(mine, sizes)], words
+    return np.concatenate([[0], np.cumsum(sizes[mine])]).astype(np.int64), codes[np.repeat(mine, sizes)]
 
 
 def _counted(batches):
-    counts: dict[bytes, int] = {}
-
-    def sent():
-        return pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+    def folded():
+        coded = pa.concat_arrays(words).dictionary_encode()
+        sums = np.bincount(coded.indices.to_numpy(zero_copy_only=False), weights=np.concatenate(counts), minlength=len(coded.dictionary))
+        return coded.dictionary, sums.astype(np.int64)
 
+    words, counts, size, held = [], [], 0, 0
     for row in _rows(batches):
-        _, codes, words = _trained(row)
-        for word, n in zip(words, np.bincount(codes, minlength=len(words)).tolist()):
-            if n:
-                counts[word] = counts.get(word, 0) + n
-        if len(counts) > SEND:
-            yield sent()
-            counts = {}
-    if counts:
-        yield sent()
+        _, codes = _trained(row)
+        n = np.bincount(codes)
+        seen = np.flatnonzero(n)
+        if len(seen):
+            words.append(split_words(row["words"]).take(pa.array(seen)))
+            counts.append(n[seen])
+            size, held = size + len(seen), held + words[-1].nbytes
+        if size > 3 * SEND or held > SEND_BYTES:
+            word, n = folded()
+            words, counts, size, held = [word], [n], len(word), word.nbytes
+            if size > SEND or held > SEND_BYTES // 2:
+                yield pa.record_batch([word, pa.array(n)], names=["word", "n"])
+                words, counts, size, held = [], [], 0, 0
+    if words:
+        yield pa.record_batch([*map(pa.array, folded())], names=["word", "n"])
 
 
 @dataclass
@@ -139,12 +149,17 @@ class Frequent:
     counts: np.ndarray
     units: np.ndarray
 
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Index of each word, -1 if it is not in the list."""
+        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+
     def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Index of each word, -1 if it is not in the list, and its unit."""
-        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        """Index of each word and its unit."""
+        at = self.places(words)
         unit = np.where(at >= 0, self.units[at] if len(self.units) else 0, 0)
-        other = np.flatnonzero(at < 0)
-        unit[other] = OWN + (word_hashes([words[i][-3:] for i in other.tolist()]) % np.uint64(ENDINGS)).astype(np.int64)
+        other, endings = np.flatnonzero(at < 0), _Codes()
+        code = np.fromiter((endings[words[i][-3:]] for i in other.tolist()), np.int64, len(other))
+        unit[other] = (OWN + (word_hashes(list(endings)) % np.uint64(ENDINGS)).astype(np.int64))[code]
         return at, unit
 
     def numbers(self, words: list[bytes], at: np.ndarray) -> np.ndarray:
@@ -184,26 +199,31 @@ def _pairs(frequent, buckets: int):
         table = Frequent(*frequent.value)
 
         def sent():
-            keys = np.sort(np.concatenate(held))
+            # No word is empty; the end has code 0.
+            coded = pa.concat_arrays(words).dictionary_encode()
+            code, at, keys = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1, 0, []
+            for (offsets, codes), mine in zip(texts, words):
+                after, _ = _with_ends(offsets, code[at : at + len(mine)][codes], 0)
+                keys.append(np.concatenate([[0], after[:-1]]) << 32 | after)
+                at += len(mine)
+            keys = np.sort(np.concatenate(keys))
             heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             n, keys = np.diff(np.append(heads, len(keys))), keys[heads]
-            words = list(known)[1:]
-            number = np.concatenate([[END_ID], table.numbers(words, table.look_up(words)[0])])
+            known = joined_words(coded.dictionary).split()
+            number = np.concatenate([[END_ID], table.numbers(known, table.places(known))])
             yield from _blocks(number[keys >> 32], number[keys & 0xFFFFFFFF], n, buckets)
 
-        # No word is empty; the end has the first code.
-        known, held, size = _Codes({b"": 0}), [], 0
+        texts, words, size, held = [], [], 0, 0
         for row in _rows(batches):
-            offsets, codes, words = _trained(row)
-            code = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            after, _ = _with_ends(offsets, code[codes], 0)
-            if len(after):
-                held.append(np.concatenate([[0], after[:-1]]) << 32 | after)
-                size += len(after)
-            if size > SEND_PAIRS:
+            offsets, codes = _trained(row)
+            if len(offsets) > 1:
+                texts.append((offsets, codes))
+                words.append(split_words(row["words"]))
+                size, held = size + len(codes) + len(offsets) - 1, held + words[-1].nbytes
+            if size > SEND_PAIRS or held > SEND_BYTES:
                 yield from sent()
-                known, held, size = _Codes({b"": 0}), [], 0
-        if held:
+                texts, words, size, held = [], [], 0, 0
+        if texts:
             yield from sent()
 
     return run
@@ -480,20 +500,44 @@ def best_classes(own: np.ndarray, offsets: np.ndarray, seen: np.ndarray, n: np.n
     stay = np.bincount(word, weights=n * np.log(cell - n + ADD_TRANSITION), minlength=len(own))
     stay -= size * (np.log(np.maximum(rows[own] - size, 0) + ADD_TRANSITION * k) + np.log(np.maximum(cols[own] - size, 0) + ADD_WORD))
     best = own.copy()
-    at = 0
-    while at < len(own):
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CELLS // k, side="right")) - 1)
-        a, b = offsets[at], offsets[end]
-        cells = beside.take(seen[a:b], axis=0)
-        cells *= n[a:b, None]
-        gain = np.add.reduceat(cells, offsets[at:end] - a, axis=0)
-        gain -= size[at:end, None] * both
-        mine = np.arange(end - at), own[at:end]
-        gain[mine] = stay[at:end]
+
+    def choose(words, gain):
+        gain -= size[words, None] * both
+        gain[np.arange(len(words)), own[words]] = stay[words]
         # A word stays where nothing is better; the class of the end is no word's.
         to = gain[:, : k - 1].argmax(axis=1)
-        moves = (own[at:end] != k - 1) & (gain[np.arange(end - at), to] > stay[at:end] + 1e-9)
-        best[at:end] = np.where(moves, to, own[at:end])
+        moves = (own[words] != k - 1) & (gain[np.arange(len(words)), to] > stay[words] + 1e-9)
+        best[words] = np.where(moves, to, own[words])
+
+    # Two or three blocks are held at a time.
+    sizes, step = np.diff(offsets), max(1, CELLS // (2 * k))
+    # Words with as many neighbours each are summed a neighbour at a time, all at once.
+    for neighbours in range(1, FEW_CELLS + 1):
+        alike = np.flatnonzero(sizes == neighbours)
+        for at in range(0, len(alike), step):
+            words = alike[at : at + step]
+            gain, more = None, None
+            for cell in offsets[words] + np.arange(neighbours)[:, None]:
+                cells = beside.take(seen[cell], axis=0)
+                cells *= n[cell, None]
+                # The first is added last, as in a sum of a slice.
+                if gain is None:
+                    gain = cells
+                elif more is None:
+                    more = cells
+                else:
+                    more += cells
+            choose(words, gain if more is None else gain + more)
+    rest = np.flatnonzero((sizes < 1) | (sizes > FEW_CELLS))
+    ends = np.concatenate([[0], np.cumsum(sizes[rest])]).astype(np.int64)
+    at = 0
+    while at < len(rest):
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] + CELLS // k, side="right")) - 1)
+        words = rest[at:end]
+        cell = np.repeat(offsets[words] - ends[at:end], sizes[words]) + np.arange(ends[at], ends[end])
+        cells = beside.take(seen[cell], axis=0)
+        cells *= n[cell, None]
+        choose(words, np.add.reduceat(cells, ends[at:end] - ends[at], axis=0))
         at = end
     return best
 
@@ -634,8 +678,8 @@ def _asked(frequent, buckets: int):
         table, total = Frequent(*frequent.value), np.zeros(UNITS * UNITS, dtype=np.int64)
         names = ["bucket", "unit", "id", "cell", "n"]
         for row in _rows(batches):
-            offsets, codes, words = _trained(row)
-            _, unit, _, requests = _wanted(table, words, buckets)
+            offsets, codes = _trained(row)
+            _, unit, _, requests = _wanted(table, row["words"].split(), buckets)
             after, _ = _with_ends(offsets, unit[codes], END)
             total += np.bincount(np.concatenate([[END], after[:-1]])[: len(after)] * UNITS + after, minlength=UNITS * UNITS)
             if requests:
@@ -678,7 +722,7 @@ def _scored(frequent, model, buckets: int):
             rows = list(rows)
             row = next(r for r in rows if r["words"] is not None)
             answers = sorted((r for r in rows if r["words"] is None), key=lambda r: r["bucket"])
-            offsets, codes, words = _texts(row)
+            (offsets, codes), words = _texts(row), row["words"].split()
             at, unit, place, _ = _wanted(table, words, buckets)
             listed = at >= 0
             counts, of = np.zeros(len(words), np.int64), m.of[unit].astype(np.int64)
@@ -731,7 +775,7 @@ def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _scores(source: DataFrame, frequent_words: int) -> DataFrame:
     spark = source.sparkSession
     coded = written(source.mapInArrow(_coded, CODED), "coded")
-    vocabulary = written(coded.mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
+    vocabulary, path = written_at(coded.mapInArrow(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
     trained = F.col("doc_id").isNull() | (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != HELD_OUT)
     ends = source.where(trained).count()
     words, types = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -751,6 +795,8 @@ def _scores(source: DataFrame, frequent_words: int) -> DataFrame:
     of = exchange(cells.reshape(UNITS, UNITS), classes)
     k = classes + 1
     numbered = written(vocabulary.mapInArrow(_numbered(frequent), "id long, n long, unit long"), "numbered")
+    # Nothing reads it any more, nor what was shuffled to count it.
+    forget(spark, path)
     start = F.element_at(F.array(*[F.lit(int(c)) for c in of]), (F.col("unit") + 1).cast("int")).cast("long")
     the_end = spark.createDataFrame([(END_ID, classes)], "id long, class long")
     pairs = coded.mapInArrow(_pairs(frequent, buckets), BLOCKS)

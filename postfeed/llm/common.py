@@ -107,18 +107,38 @@ class _Codes(dict):
         return code
 
 
-def lower_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Words of each text, A-Z lower-cased: offsets of the texts, code of each word, the coded words.
+def lower_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of each text, A-Z lower-cased: offsets of the texts, code of each word, the coded words as binary.
 
     A word is a run of bytes other than blank, tab, line feed, vertical tab, form feed and
     carriage return. Null is the empty text.
     """
-    codes, counts, found = _Codes(), [], []
-    for text in texts.to_pylist():
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        counts.append(len(words))
-        found.extend(map(codes.__getitem__, words))
-    return np.concatenate([[0], np.cumsum(counts)]).astype(np.int64), np.array(found, dtype=np.int64), list(codes)
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    offsets, words = np.asarray(parts.offsets).astype(np.int64), parts.flatten().cast(pa.binary())
+    offsets -= offsets[0]
+    # Blanks at either end of a text leave an empty part there.
+    full = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+    if not full.all():
+        offsets = np.concatenate([[0], np.cumsum(full)])[offsets].astype(np.int64)
+        words = words.filter(pa.array(full))
+    coded = words.dictionary_encode()
+    return offsets, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def joined_words(words: pa.Array) -> bytes:
+    """Words without blanks, a blank between them."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b" ")[0].as_py()
+
+
+def split_words(joined: bytes) -> pa.Array:
+    """The words that were joined."""
+    return pc.split_pattern(pa.array([joined], pa.binary()), b" ").flatten() if joined else pa.array([], pa.binary())
+
+
+def lower_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The same with the coded words as a list."""
+    offsets, codes, words = lower_tokens(texts)
+    return offsets, codes, joined_words(words).split()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

@@ -7,16 +7,20 @@ import random
 import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from odd_rows import ODD, SF_DIR, extra
-from postfeed.llm import brown, quality, urls, vectors
+from postfeed.llm import brown, common, quality, urls, vectors
 from postfeed.llm.common import min_labels
 from postfeed.llm.queries import op1_url_filter
+from postfeed.session import scratch_root
 
 
 def words(text):
@@ -507,3 +511,80 @@ def test_exchange_holds_few_cells_at_a_time():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 25 << 20
+
+
+def test_best_classes_are_those_of_a_plain_sum():
+    """Words with few and with many neighbouring classes, alike and not, and a word that keeps its class."""
+    rng = np.random.default_rng(7)
+    k, sizes = 50, np.concatenate([rng.integers(1, 2 * brown.FEW_CELLS, 3_000), rng.integers(60, 90, 40)])
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    seen = np.concatenate([rng.choice(2 * k, size, replace=False) for size in sizes])
+    n, own, table = rng.integers(1, 4, offsets[-1]), rng.integers(0, k, len(sizes)), rng.integers(200, 10_000, (k, k))
+    got = brown.best_classes(own, offsets, seen, n, table)
+    rows, cols, log = table.sum(axis=1), table.sum(axis=0), math.log
+    for word in [*range(0, 3_000, 50), *range(3_000, 3_040, 5)]:
+        cells = [(int(c), int(m)) for c, m in zip(seen[offsets[word] : offsets[word + 1]], n[offsets[word] : offsets[word + 1]])]
+        size, gains = sum(m for c, m in cells if c < k), []
+        for to in range(k):
+            less = [(m, size) if to == own[word] else (0, 0) for _, m in cells]
+            gain = sum(m * log((table[to, c] if c < k else table[c - k, to]) - out + brown.ADD_TRANSITION) for (c, m), (out, _) in zip(cells, less))
+            out = size if to == own[word] else 0
+            gains.append(gain - size * (log(rows[to] - out + brown.ADD_TRANSITION * k) + log(cols[to] - out + brown.ADD_WORD)))
+        best = int(np.argmax(gains[: k - 1]))
+        assert got[word] == (best if own[word] != k - 1 and gains[best] > gains[own[word]] + 1e-9 else own[word]), word
+
+
+def test_words_are_cut_by_columns(monkeypatch):
+    """Texts are cut and coded as arrays: no call for each word, and the words are those of a plain split."""
+    rng = random.Random(9)
+    marks = [" ", "  ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\xa0", "\u2028", "\0", "a", "B", "Z", "\u00c9", "\u0130", "\U0001f600", "yz"]
+    texts = [None, "", " ", *("".join(rng.choices(marks, k=rng.randrange(1, 30))) for _ in range(500))]
+    want = [(t or "").encode().lower().split() for t in texts]
+    monkeypatch.setattr(common._Codes, "__missing__", lambda self, key: pytest.fail("a call for each word"))
+    for cut in (0, 1, 7):
+        offsets, codes, words = common.lower_words(pa.array(texts).slice(cut))
+        assert [[words[c] for c in codes[a:b]] for a, b in zip(offsets, offsets[1:])] == want[cut:]
+        assert list(dict.fromkeys(w for t in want[cut:] for w in t)) == words
+    assert common.split_words(common.joined_words(pa.array(words, pa.binary()))).to_pylist() == words
+    assert common.split_words(b"").to_pylist() == [] and common.joined_words(pa.array([], pa.binary())) == b""
+
+
+@pytest.mark.parametrize("most", [(400_000, 2_000_000, 64 << 20), (3, 50, 64 << 20), (400_000, 2_000_000, 30)])
+def test_counts_and_pairs_do_not_depend_on_when_they_are_sent(monkeypatch, most):
+    monkeypatch.setattr(brown, "SEND", most[0])
+    monkeypatch.setattr(brown, "SEND_PAIRS", most[1])
+    monkeypatch.setattr(brown, "SEND_BYTES", most[2])
+    texts = [(i, " ".join(f"w{(i * k) % 37}" for k in range(1, 2 + i % 40)) if i % 9 else "") for i in range(60)]
+    rows = []
+    for at in range(0, 60, 4):
+        offsets, codes, coded = common.lower_tokens(pa.array([t for _, t in texts[at : at + 4]]))
+        rows.append({"ids": [i for i, _ in texts[at : at + 4]], "offsets": offsets.tobytes(), "codes": codes.astype(np.int32).tobytes(), "words": common.joined_words(coded)})
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema([("ids", pa.list_(pa.int64())), *((c, pa.binary()) for c in ("offsets", "codes", "words"))]))
+    learnt = [words(t) for i, t in texts if brown.learns(i)]
+    counts = Counter()
+    for sent in brown._counted([batch]):
+        counts.update(dict(zip(*(c.to_pylist() for c in sent.columns))))
+    assert counts == Counter(w for t in learnt for w in t)
+    listed = [f"w{i}".encode() for i in range(37)]
+    frequent = SimpleNamespace(value=({w: i for i, w in enumerate(listed)}, np.ones(37, np.int64), np.zeros(37, np.int64)))
+    pairs = Counter()
+    for r in brown._rows(brown._pairs(frequent, 3)([batch])):
+        kind = np.int32 if r["small"] else np.int64
+        if r["side"] == 0:
+            own, other = np.frombuffer(r["own"], kind), np.frombuffer(r["other"], kind)
+            for x, y, n in zip(own.tolist(), other.tolist(), brown._widened(r["n"], len(own)).tolist()):
+                pairs[x, y] += n
+    number = lambda w: brown.END_ID if w is None else listed.index(w)
+    assert pairs == Counter((number(x), number(y)) for t in learnt for x, y in zip([None, *t], [*t, None]))
+
+
+def test_what_counted_the_vocabulary_is_gone_before_the_pairs(spark, monkeypatch):
+    left, real = [], brown.exchange_words
+
+    def exchange_words(*args, **more):
+        left.extend(p.name for p in Path(scratch_root(spark), "postfeed").glob("vocabulary-*"))
+        return real(*args, **more)
+
+    monkeypatch.setattr(brown, "exchange_words", exchange_words)
+    assert brown.scores(spark.createDataFrame([(1, "a b c a"), (2, None)], "doc_id long, text string")).count() == 2
+    assert left == []
