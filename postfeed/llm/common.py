@@ -48,12 +48,12 @@ def few(df: DataFrame) -> DataFrame:
 _open: list[list[str]] = []
 
 
-def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def written_at(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     """The DataFrame as a table in the shared scratch folder, and the table's path."""
     path = scratch_path(df.sparkSession, name)
     if _open:
         _open[-1].append(path)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

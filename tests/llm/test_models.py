@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from odd_rows import ODD, SF_DIR, extra
 from postfeed.llm import brown, common, quality, urls, vectors
 from postfeed.llm.common import min_labels
+from postfeed.llm.graph import components
 from postfeed.llm.queries import op1_url_filter
 from postfeed.session import scratch_root
 
@@ -276,6 +277,52 @@ def test_no_link_is_missed_in_spaces_with_a_main_direction(spark, monkeypatch, k
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
 
 
+def test_vectors_are_not_dealt_to_every_cell_they_visit(spark, monkeypatch):
+    """Without a main direction a vector visits most cells, but it is shuffled and stored a few times only; then all goes."""
+    monkeypatch.setattr(vectors, "CELL", 50)
+    rng = np.random.default_rng(5)
+    near = rng.normal(size=(2000, 64))
+    rows = [(i, v) for i, v in enumerate(np.concatenate([near, near[:500] + rng.normal(0, 0.02, (500, 64))]).tolist())]
+    embeddings = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    jvm, scratch = spark.sparkContext._jvm, Path(scratch_root(spark)) / "postfeed"
+    folders = [scratch, *map(Path, jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())]
+    files = lambda: {f: f.stat().st_size for top in folders for f in top.rglob("*") if f.is_file()}
+    before, tables, held = set(files()), set(scratch.glob("*")), []
+
+    def measured(links):
+        held.append(sum(n for f, n in files().items() if f not in before))
+        return components(links)
+
+    monkeypatch.setattr(vectors, "components", measured)
+    got = vectors.near_vectors(embeddings, block=100)
+    want = brute_vectors(rows)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == want
+    assert sum(n > 0 for n, _ in want.values()) == 1000
+    assert held[0] <= 4 * 8 * 64 * len(rows)
+    assert {t.name.rsplit("-", 1)[0] for t in set(scratch.glob("*")) - tables} == {"near-vectors"}
+
+
+@pytest.mark.parametrize("block", [2048, 30])
+def test_vectors_of_all_kinds_against_brute_force(spark, block):
+    """Single and double precision, lengths beside one another, one dense group, ids that repeat."""
+    rng = np.random.default_rng(6)
+    dense = rng.normal(size=40) + rng.normal(0, 0.03, (150, 40))
+    wide = np.concatenate([dense, rng.normal(size=(100, 40)), np.float32(rng.normal(size=(100, 40))), np.float32(dense[:50])])
+    short = np.concatenate([rng.normal(size=(60, 3)), np.float32(rng.normal(size=(60, 3)))])
+    rows = [(7 * i % 1009, v) for i, v in enumerate(wide.tolist())]
+    other = [(2000 + i, v) for i, v in enumerate(short.tolist())]
+    want = brute_vectors(rows) | brute_vectors(other)
+    rows += other
+    got = vectors.near_vectors(spark.createDataFrame(rows + rows[:10], "vec_id long, embedding array<double>").repartition(3), block=block).collect()
+    assert len(got) == len(rows) + 10
+    more = {i: n for i, (n, _) in want.items()}
+    for i, v in rows[:10]:
+        for k, u in rows:
+            if len(u) == len(v) and (k == i or vectors.unit(np.array([u])) @ vectors.unit(np.array([v])).T >= vectors.COSINE):
+                more[k] += 1
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (more[i], c) for i, (_, c) in want.items()}
+
+
 def test_odd_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [3.0, 0.0]), (2, [3.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [1.0, None]), (7, [float("nan"), 1.0]), (8, [float("inf"), 1.0]),
             (None, [1.0, 0.0]), (9, [1.0, 0.0, 0.0]), (10, [1e300, 1e290]), (11, [-1.0, 0.0]), (12, [1e-300, 0.0])]
