@@ -284,22 +284,30 @@ def test_vectors_are_not_dealt_to_every_cell_they_visit(spark, monkeypatch):
     near = rng.normal(size=(2000, 64))
     rows = [(i, v) for i, v in enumerate(np.concatenate([near, near[:500] + rng.normal(0, 0.02, (500, 64))]).tolist())]
     embeddings = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
-    jvm, scratch = spark.sparkContext._jvm, Path(scratch_root(spark)) / "postfeed"
-    folders = [scratch, *map(Path, jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())]
-    files = lambda: {f: f.stat().st_size for top in folders for f in top.rglob("*") if f.is_file()}
-    before, tables, held = set(files()), set(scratch.glob("*")), []
+    taken, held = [], []
+
+    def path_taken(*args):
+        taken.append(common_path(*args))
+        return taken[-1]
+
+    def files(folders):
+        return {f: f.stat().st_size for top in folders for f in Path(top.removeprefix("file://")).rglob("*") if f.is_file()}
 
     def measured(links):
-        held.append(sum(n for f, n in files().items() if f not in before))
+        held.append(sum(n for f, n in files([*taken, *local]).items() if f not in before))
         return components(links)
 
+    common_path = common.scratch_path
+    monkeypatch.setattr(common, "scratch_path", path_taken)
+    local = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    before = set(files(local))
     monkeypatch.setattr(vectors, "components", measured)
     got = vectors.near_vectors(embeddings, block=100)
     want = brute_vectors(rows)
     assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == want
     assert sum(n > 0 for n, _ in want.values()) == 1000
     assert held[0] <= 4 * 8 * 64 * len(rows)
-    assert {t.name.rsplit("-", 1)[0] for t in set(scratch.glob("*")) - tables} == {"near-vectors"}
+    assert [t.rsplit("/", 1)[1].rsplit("-", 1)[0] for t in taken if files([t])] == ["near-vectors"]
 
 
 @pytest.mark.parametrize("block", [2048, 30])
